@@ -236,20 +236,23 @@ def date_evidence(now: Column, **raw: Column) -> Column:
     choices = []
     for source, confidence in EVIDENCE_CONFIDENCE.items():
         if source in raw:
-            choices.append(
-                let(
-                    evidence_timestamp(raw[source], now),
-                    lambda t, s=source, c=confidence: F.when(t.isNotNull(), evidence(t, F.lit(s), F.lit(c))),
-                )
-            )
-    missing = evidence(F.lit(None).cast("timestamp"), F.lit(None).cast("string"), F.lit(0.0))
-    return F.coalesce(*choices, missing)
+            choices.append(known_evidence(evidence_timestamp(raw[source], now), source, confidence))
+    return F.coalesce(*choices, no_evidence())
 
 
-def evidence(published_at: Column, source: Column, confidence: Column) -> Column:
+def _evidence(published_at: Column, source: Column, confidence: Column) -> Column:
     return F.struct(published_at.alias("published_at"), source.alias("source"), confidence.alias("confidence"))
 
 
+def known_evidence(published_at: Column, source: str, confidence: float) -> Column:
+    """Evidence struct, or null when there is no date."""
+    return let(published_at, lambda t: F.when(t.isNotNull(), _evidence(t, F.lit(source), F.lit(confidence))))
+
+
+def no_evidence() -> Column:
+    return _evidence(F.lit(None).cast("timestamp"), F.lit(None).cast("string"), F.lit(0.0))
+
+
 def age_hours(published_at: Column, now: Column) -> Column:
     return (F.unix_micros(now) - F.unix_micros(published_at)) / F.lit(1_000_000.0) / F.lit(3600.0)
 
@@ -258,7 +261,9 @@ def retry_after_seconds(header: Column, now: Column) -> Column:
     """Seconds to wait from a Retry-After header: a number or an HTTP date."""
     def wait(text):
         until = (F.unix_micros(mail_timestamp(text)) - F.unix_micros(now)) / F.lit(1_000_000.0)
-        return F.greatest(F.lit(0.0), F.coalesce(text.try_cast("double"), until))
+        return let(
+            F.coalesce(text.try_cast("double"), until), lambda s: F.when(s.isNotNull(), F.greatest(F.lit(0.0), s))
+        )
 
     return let(strip(header), lambda text: F.when(text != "", wait(text)))
 

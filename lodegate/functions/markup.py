@@ -9,7 +9,9 @@ from lodegate.functions.binding import let
 from lodegate.functions.dates import (
     ARTICLE_CONFIDENCE,
     first_page_timestamp,
+    known_evidence,
     mentioned_relative_timestamp,
+    no_evidence,
 )
 from lodegate.functions.text import strip
 from lodegate.functions.readers import (
@@ -88,24 +90,8 @@ def article_date(pieces: Column, body: Column, now: Column) -> Column:
         "time": first_page_timestamp(pieces["time_dates"]),
         "relative": mentioned_relative_timestamp(F.substring(body, 1, 1000), now),
     }
-    choices = [
-        let(
-            at,
-            lambda t, s=source: F.when(
-                t.isNotNull(),
-                F.struct(
-                    t.alias("published_at"), F.lit(s).alias("source"), F.lit(ARTICLE_CONFIDENCE[s]).alias("confidence")
-                ),
-            ),
-        )
-        for source, at in found.items()
-    ]
-    nothing = F.struct(
-        F.lit(None).cast("timestamp").alias("published_at"),
-        F.lit(None).cast("string").alias("source"),
-        F.lit(0.0).alias("confidence"),
-    )
-    return F.coalesce(*choices, nothing)
+    choices = [known_evidence(at, source, ARTICLE_CONFIDENCE[source]) for source, at in found.items()]
+    return F.coalesce(*choices, no_evidence())
 
 
 def article_author(pieces: Column) -> Column:

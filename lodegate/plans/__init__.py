@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-_MODULES = ("identities",)
+_MODULES = ("identities", "gates")
 
 
 def load_queries():
