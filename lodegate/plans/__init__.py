@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-_MODULES = ("identities", "gates")
+_MODULES = ("identities", "gates", "documents")
 
 
 def load_queries():

@@ -46,8 +46,10 @@ def compare(spark, folder: str, name: str, connection) -> str:
         return f"columns {sorted(frame.columns)} != {sorted(names)}"
     if len(mine) != len(theirs):
         return f"{len(mine)} rows != {len(theirs)}; extra {list(set(mine) - set(theirs))[:3]}; missing {list(set(theirs) - set(mine))[:3]}"
-    wrong = [(a, b) for a, b in zip(mine, theirs) if a != b]
-    return f"{len(wrong)} rows differ, first {wrong[0]}" if wrong else ""
+    if mine == theirs:
+        return ""
+    extra, missing = sorted(set(mine) - set(theirs)), sorted(set(theirs) - set(mine))
+    return f"{len(extra)} rows differ: {extra[:2]} instead of {missing[:2]}"
 
 
 if __name__ == "__main__":
