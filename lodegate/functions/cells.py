@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def canonical_json(text: pd.Series) -> pd.Series:
     """JSON with sorted keys, spaces after separators and ASCII escapes."""
     return text.map(lambda value: json.dumps(json.loads(value), sort_keys=True), na_action="ignore")
@@ -31,7 +31,7 @@ def cell(column: Column, data_type: T.DataType) -> Column:
     return F.coalesce(text, F.lit(""))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _float_text(values: pd.Series) -> pd.Series:
     return values.map(lambda value: repr(float(value)), na_action="ignore")
 

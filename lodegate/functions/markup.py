@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, functions as F, types as T
 
 from lodegate.functions.binding import let
 from lodegate.functions.dates import (
@@ -23,13 +23,21 @@ from lodegate.functions.readers import (
     read_with,
 )
 
-ARTICLE_PIECES = (
-    "title string, author string, article_text string, paragraph_text string, page_text string, "
-    "linked_data array<string>, meta_dates array<string>, time_dates array<string>"
+
+
+def _record(texts: tuple[str, ...], lists: tuple[str, ...] = ()) -> T.StructType:
+    return T.StructType(
+        [T.StructField(name, T.StringType()) for name in texts]
+        + [T.StructField(name, T.ArrayType(T.StringType())) for name in lists]
+    )
+
+
+ARTICLE_PIECES = _record(
+    ("title", "author", "article_text", "paragraph_text", "page_text"), ("linked_data", "meta_dates", "time_dates")
 )
-EVIDENCE_PIECES = "json_ld string, meta string, time string, visible string, relative string"
-FEED_ROWS = "array<struct<" + ", ".join(f"{name}: string" for name in (*FEED_ELEMENTS, "href")) + ">>"
-ATOM_ROWS = "array<struct<id: string, published: string, title: string, summary: string, authors: array<string>>>"
+EVIDENCE_PIECES = _record(("json_ld", "meta", "time", "visible", "relative"))
+FEED_ROWS = T.ArrayType(_record((*FEED_ELEMENTS, "href")))
+ATOM_ROWS = T.ArrayType(_record(("id", "published", "title", "summary"), ("authors",)))
 
 # Shortest text taken as an article body, and shortest body kept over a fallback.
 MIN_ARTICLE_CHARS = 150

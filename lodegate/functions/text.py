@@ -6,7 +6,7 @@ import sys
 from functools import cache
 
 import pandas as pd
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, functions as F, types as T
 
 from lodegate.functions.names import entity_key_text
 
@@ -105,7 +105,7 @@ def entity_key(name: Column) -> Column:
     return F.when(ascii_only, F.replace(kept, F.lit(" "))).otherwise(_unicode_key(F.when(~ascii_only, name)))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _unicode_key(names: pd.Series) -> pd.Series:
     return names.map(lambda name: entity_key_text(name, LEGAL_FORMS), na_action="ignore")
 

@@ -6,7 +6,7 @@ import json
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from lodegate.functions.binding import let
 from lodegate.functions.markup import is_object, kind
@@ -54,7 +54,12 @@ def token_usage(usage: Column, field: str) -> Column:
 
 # Merging ---------------------------------------------------------------------
 
-_LEAVES = "array<struct<path: string, kind: string, item: string, value: string, position: int, copy: int>>"
+_LEAVES = T.ArrayType(
+    T.StructType(
+        [T.StructField(name, T.StringType()) for name in ("path", "kind", "item", "value")]
+        + [T.StructField(name, T.IntegerType()) for name in ("position", "copy")]
+    )
+)
 
 
 def _same(value):
@@ -94,7 +99,7 @@ def _leaf_rows(payloads: pd.Series) -> pd.Series:
     return payloads.map(lambda text: list(_leaves(json.loads(text))), na_action="ignore")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _rebuild(groups: pd.Series) -> pd.Series:
     def build(nodes) -> str:
         merged: dict = {}

@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-_MODULES = ("identities", "gates", "documents")
+_MODULES = ("identities", "gates", "documents", "extractions")
 
 
 def load_queries():

@@ -12,7 +12,9 @@ from lodegate.operators.enrichment import read_articles
 from lodegate.plans.registry import derive, plain, query, table
 from lodegate.sources import archive, directories, feeds
 
-_NOW = F.lit("2024-01-30 12:00:00+00:00").cast("timestamp")
+def _now():
+    return F.lit("2024-01-30 12:00:00+00:00").cast("timestamp")
+
 
 # Entities that occur in the given pages, for the reference SQL.
 UNESCAPE = "replace(replace(replace(replace(replace(replace({0}, '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&copy;', '©'), '&middot;', '·'), '&amp;', '&')"
@@ -33,7 +35,7 @@ shown AS (SELECT page_id, {_squeezed('title')} AS title, {_squeezed(_BARE.format
 SELECT page_id, nullif(title, '') AS title, CASE WHEN length(article) >= 150 THEN article ELSE page END AS body,
   CAST(NULL AS VARCHAR) AS author, CAST(NULL AS VARCHAR) AS date_source FROM shown""")
 def page_article(spark: SparkSession, folder: str) -> DataFrame:
-    read = read_articles(table(spark, folder, "pages").select("page_id", "html"), "html", F.lit(""), _NOW)
+    read = read_articles(table(spark, folder, "pages").select("page_id", "html"), "html", F.lit(""), _now())
     return read.select(
         "page_id",
         F.col("article_title").alias("title"),
@@ -68,7 +70,7 @@ SELECT page_id, CASE page_id % 6 WHEN 0 THEN 'json_ld' WHEN 1 THEN 'meta' WHEN 2
 FROM told""")
 def page_dates(spark: SparkSession, folder: str) -> DataFrame:
     """Dates and authors; an unclosed tag inside navigation hides the rest of its page."""
-    read = read_articles(derive(spark, folder, DATED_PAGES), "html", F.lit(""), _NOW)
+    read = read_articles(derive(spark, folder, DATED_PAGES), "html", F.lit(""), _now())
     return read.select(
         "page_id",
         F.col("article_date.source").alias("date_source"),
@@ -86,7 +88,7 @@ SELECT page_id, CASE page_id % 6 WHEN 4 THEN 'relative' WHEN 5 THEN 'meta' END A
 def page_date_evidence(spark: SparkSession, folder: str) -> DataFrame:
     """Date evidence rules for any page; fewer notations of the same places count here."""
     read = derive(spark, folder, DATED_PAGES).withColumn("p", evidence_pieces(F.col("html")))
-    chosen = date_evidence(_NOW, **{k: F.col(f"p.{k}") for k in ("json_ld", "meta", "time", "visible", "relative")})
+    chosen = date_evidence(_now(), **{k: F.col(f"p.{k}") for k in ("json_ld", "meta", "time", "visible", "relative")})
     return read.select("page_id", chosen.alias("e")).select(
         "page_id", F.col("e.source").alias("date_source"), utc_text(F.col("e.published_at")).alias("published_at")
     )
@@ -139,7 +141,7 @@ def _feed_documents(spark: SparkSession, folder: str) -> DataFrame:
 SELECT o_orderkey, item_position, canonical_url, title, description, author, strftime(published_at, '%Y-%m-%dT%H:%M:%S.%fZ') AS published_at,
   CASE WHEN published_at IS NOT NULL THEN 'rss' END AS date_source, CAST(CASE WHEN published_at IS NOT NULL THEN 0.85 ELSE 0 END AS DOUBLE) AS date_confidence FROM items""")
 def feed_items(spark: SparkSession, folder: str) -> DataFrame:
-    items = feeds.feed_items(_feed_documents(spark, folder), "body", _NOW)
+    items = feeds.feed_items(_feed_documents(spark, folder), "body", _now())
     return items.withColumn("published_at", utc_text(F.col("published_at"))).drop("url")
 
 
@@ -147,7 +149,7 @@ def feed_items(spark: SparkSession, folder: str) -> DataFrame:
 SELECT o_orderkey, item_position, title, coalesce(author, 'Unknown company') AS company, item_position = 0 AS is_remote,
   CASE item_position WHEN 0 THEN 'Design' ELSE 'Research' END AS role_family FROM items""")
 def job_postings(spark: SparkSession, folder: str) -> DataFrame:
-    jobs = feeds.job_candidates(feeds.feed_items(_feed_documents(spark, folder), "body", _NOW))
+    jobs = feeds.job_candidates(feeds.feed_items(_feed_documents(spark, folder), "body", _now()))
     return jobs.select("o_orderkey", "item_position", "title", "company", "is_remote", "role_family")
 
 

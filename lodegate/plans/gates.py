@@ -24,7 +24,9 @@ from lodegate.operators.freshness import (
 from lodegate.plans.registry import derive, plain, query
 
 NOW = "2024-01-30 12:00:00"
-_NOW = F.lit(NOW + "+00:00").cast("timestamp")
+def _now():
+    return F.lit(NOW + "+00:00").cast("timestamp")
+
 
 # Events as candidates: the event type is the source, the user decides where the date came from.
 CANDIDATES = """
@@ -48,7 +50,7 @@ final AS (SELECT *, CASE reason WHEN 'fresh' THEN 'ACCEPT' WHEN 'future_date' TH
 
 
 def _decided(spark: SparkSession, folder: str) -> DataFrame:
-    decision = freshness_decision(F.col("published_at"), F.col("date_source"), F.col("date_confidence"), _NOW)
+    decision = freshness_decision(F.col("published_at"), F.col("date_source"), F.col("date_confidence"), _now())
     candidates = derive(spark, folder, CANDIDATES).withColumn("published_at", F.col("published_at").cast("timestamp"))
     return candidates.select("event_id", "source_id", "user_id", decision.alias("d")).select(
         "event_id", "source_id", "user_id", "d.*"
@@ -167,7 +169,7 @@ def parsed_dates(spark: SparkSession, folder: str) -> DataFrame:
     return derive(spark, folder, WRITTEN).select(
         "o_orderkey",
         "raw",
-        utc_text(evidence_timestamp(F.col("raw"), _NOW)).alias("evidence_at"),
+        utc_text(evidence_timestamp(F.col("raw"), _now())).alias("evidence_at"),
         utc_text(page_timestamp(F.col("raw"))).alias("page_at"),
     )
 
@@ -191,8 +193,8 @@ def relative_dates(spark: SparkSession, folder: str) -> DataFrame:
     return derive(spark, folder, AGO).select(
         "event_id",
         "raw",
-        utc_text(relative_timestamp(raw, _NOW)).alias("whole_text_at"),
-        utc_text(mentioned_relative_timestamp(raw, _NOW)).alias("mentioned_at"),
+        utc_text(relative_timestamp(raw, _now())).alias("whole_text_at"),
+        utc_text(mentioned_relative_timestamp(raw, _now())).alias("mentioned_at"),
     )
 
 
@@ -217,7 +219,7 @@ SELECT o_orderkey, source, strftime(CASE WHEN source = 'relative' THEN TIMESTAMP
 FROM chosen""")
 def date_priority(spark: SparkSession, folder: str) -> DataFrame:
     sources = ("json_ld", "meta", "time", "rss", "relative")
-    chosen = date_evidence(_NOW, **{name: F.col(name) for name in sources})
+    chosen = date_evidence(_now(), **{name: F.col(name) for name in sources})
     return derive(spark, folder, EVIDENCE).select("o_orderkey", chosen.alias("e")).select(
         "o_orderkey", "e.source", utc_text(F.col("e.published_at")).alias("published_at"), "e.confidence"
     )
@@ -235,5 +237,5 @@ SELECT event_id, header, CASE event_id % 5 WHEN 0 THEN user_id::DOUBLE WHEN 1 TH
   WHEN 3 THEN greatest(0.0, (user_id % 24 - 12) * 3600.0 + 900.0)::DOUBLE END AS seconds FROM raw""")
 def retry_after(spark: SparkSession, folder: str) -> DataFrame:
     return derive(spark, folder, HEADERS).select(
-        "event_id", "header", retry_after_seconds(F.col("header"), _NOW).alias("seconds")
+        "event_id", "header", retry_after_seconds(F.col("header"), _now()).alias("seconds")
     )
