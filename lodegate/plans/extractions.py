@@ -43,6 +43,18 @@ FROM {documents}
 """
 TARGET = 60
 
+
+def _size(text: str) -> str:
+    return f"ceil(length({text}) / 4.0)::DOUBLE"
+
+
+_OUT = "STRUCT(section VARCHAR, text VARCHAR)[]"
+_FULL = f"(a.n > 0 AND a.n + {_size('x.text')} > {TARGET})"
+_TEXT = f"CASE WHEN {_FULL} OR a.n = 0 THEN x.text ELSE a.text || chr(10) || chr(10) || x.text END"
+_SECTION = f"CASE WHEN {_FULL} OR a.n = 0 THEN x.section ELSE coalesce(a.section, x.section) END"
+_TOTAL = f"CASE WHEN {_FULL} THEN {_size('x.text')} ELSE a.n + {_size('x.text')} END"
+_FLUSHED = f"CASE WHEN {_FULL} THEN list_append(a.out, {{'section': a.section, 'text': a.text}}) ELSE a.out END"
+
 # Sequential folds over the lines, the sentences and the pieces of each document.
 CHUNK_SQL = f"""
 raw AS ({plain(HEADED)}),
@@ -54,17 +66,27 @@ grouped AS (SELECT *, sum(CASE WHEN heading OR line = '' THEN 1 ELSE 0 END) OVER
 blocks AS (SELECT doc_id, block, any_value(section) AS section, string_agg(line, ' ' ORDER BY n) AS body FROM grouped WHERE NOT heading AND line <> '' GROUP BY doc_id, block),
 sentences AS (SELECT doc_id, block, section, body, ceil(length(body) / 4.0) <= {TARGET} AS fits,
   list_filter(string_split(regexp_replace(body, '([.!?])\\s+', '\\1' || chr(1), 'g'), chr(1)), lambda s: s <> '') AS parts FROM blocks),
-packed AS (SELECT doc_id, block, section, CASE WHEN fits THEN [body] ELSE list_reduce(parts, lambda a, x: CASE
-    WHEN ceil(length(x.text) / 4.0) > {TARGET} THEN {{'text': '', 'out': list_concat(list_concat(a.out, CASE WHEN a.n > 0 AND a.n + ceil(length(x.text) / 4.0) > {TARGET} THEN [a.text] ELSE []::VARCHAR[] END),
-        list_transform(range(0, length(x.text), {TARGET * 4}), lambda i: substr(x.text, i + 1, {TARGET * 4}))), 'n': 0.0}}
-    WHEN a.n > 0 AND a.n + ceil(length(x.text) / 4.0) > {TARGET} THEN {{'text': x.text, 'out': list_append(a.out, a.text), 'n': ceil(length(x.text) / 4.0)}}
-    ELSE {{'text': CASE WHEN a.n > 0 THEN a.text || ' ' || x.text ELSE x.text END, 'out': a.out, 'n': a.n + ceil(length(x.text) / 4.0)}} END,
-    {{'text': '', 'out': []::VARCHAR[], 'n': 0.0}}) END AS state FROM
-  (SELECT doc_id, block, section, body, fits, list_transform(parts, lambda s: {{'text': s, 'out': []::VARCHAR[], 'n': 0.0}}) AS parts FROM sentences) s)
+split AS (SELECT doc_id, block, section, CASE WHEN fits THEN {{'text': body, 'out': []::VARCHAR[], 'n': 1.0::DOUBLE}} ELSE list_reduce(parts, lambda a, x: CASE
+    WHEN {_size('x.text')} > {TARGET} THEN {{'text': '', 'out': list_concat(list_concat(a.out, CASE WHEN a.n > 0 THEN [a.text] ELSE []::VARCHAR[] END),
+        list_transform(range(0, length(x.text), {TARGET * 4}), lambda i: substr(x.text, i + 1, {TARGET * 4}))), 'n': 0.0::DOUBLE}}
+    WHEN a.n > 0 AND a.n + {_size('x.text')} > {TARGET} THEN {{'text': x.text, 'out': list_append(a.out, a.text), 'n': {_size('x.text')}}}
+    ELSE {{'text': CASE WHEN a.n > 0 THEN a.text || ' ' || x.text ELSE x.text END, 'out': a.out, 'n': a.n + {_size('x.text')}}} END,
+    {{'text': '', 'out': []::VARCHAR[], 'n': 0.0::DOUBLE}}) END AS state FROM
+  (SELECT doc_id, block, section, body, fits, list_transform(parts, lambda s: {{'text': s, 'out': []::VARCHAR[], 'n': 0.0::DOUBLE}}) AS parts FROM sentences) s),
+pieces AS (SELECT doc_id, block, section, list_concat(state.out, CASE WHEN state.n > 0 THEN [state.text] ELSE []::VARCHAR[] END) AS texts FROM split),
+flat AS (SELECT doc_id, block, section, unnest(texts) AS text, unnest(range(len(texts))) AS p FROM pieces),
+fed AS (SELECT doc_id, list({{'text': text, 'section': section, 'n': 0.0::DOUBLE, 'out': []::{_OUT}}} ORDER BY block, p) AS rows FROM flat GROUP BY doc_id),
+packed AS (SELECT doc_id, list_reduce(rows, lambda a, x: CASE WHEN {_TOTAL} >= {TARGET}
+    THEN {{'text': '', 'section': NULL::VARCHAR, 'n': 0.0::DOUBLE, 'out': list_append({_FLUSHED}, {{'section': {_SECTION}, 'text': {_TEXT}}})}}
+    ELSE {{'text': {_TEXT}, 'section': {_SECTION}, 'n': {_TOTAL}, 'out': {_FLUSHED}}} END,
+    {{'text': '', 'section': NULL::VARCHAR, 'n': 0.0::DOUBLE, 'out': []::{_OUT}}}) AS state FROM fed),
+final AS (SELECT doc_id, list_concat(state.out, CASE WHEN state.n > 0 THEN [{{'section': state.section, 'text': state.text}}] ELSE []::{_OUT} END) AS chunks FROM packed),
+told AS (SELECT doc_id, unnest(range(len(chunks))) AS sequence, unnest(chunks) AS chunk FROM final)
 """
 
 
-@query()
+@query(f"""WITH {CHUNK_SQL}
+SELECT doc_id || ':' || sequence AS chunk_id, doc_id, sequence, chunk.section AS section, chunk.text AS text, CAST(ceil(length(chunk.text) / 4.0) AS BIGINT) AS token_estimate FROM told""")
 def chunk_documents(spark: SparkSession, folder: str) -> DataFrame:
     rows = derive(spark, folder, HEADED).select("doc_id", F.inline(chunking.document_chunks(F.col("text"), TARGET)))
     return rows.select(
