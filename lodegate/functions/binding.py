@@ -15,6 +15,20 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def json_value(text: Column) -> Column:
+    """The single JSON value a text holds; null when broken or followed by anything else.
+
+    The parser stops after the first value. What follows cannot close both an
+    array and an object, so a text that parses inside both has nothing after it.
+    """
+    listed = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
+    held = F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}")))
+    return let(
+        F.when(held.isNotNull(), listed),
+        lambda v: F.when(F.try_variant_get(v, "$[1]", "variant").isNull(), F.try_variant_get(v, "$[0]", "variant")),
+    )
+
+
 def matched(text: Column, pattern: str, groups: int, body: Callable[[Callable[[int], Column]], Column]) -> Column:
     """``body(group)`` when the anchored ``pattern`` matches, else null.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, functions as F, types as T
 
-from lodegate.functions.binding import let
+from lodegate.functions.binding import json_value, let
 from lodegate.functions.dates import (
     ARTICLE_CONFIDENCE,
     first_page_timestamp,
@@ -162,7 +162,7 @@ def linked_data_nodes(script: Column, nested: bool = False) -> Column:
         found = F.when(kind(value) == "ARRAY", items).when(kind(value) == "OBJECT", own_nodes(value))
         return F.filter(found, is_object)
 
-    return F.coalesce(let(F.try_parse_json(script), nodes), F.array().cast("array<variant>"))
+    return F.coalesce(let(json_value(script), nodes), F.array().cast("array<variant>"))
 
 
 def text_field(node: Column, path: str) -> Column:

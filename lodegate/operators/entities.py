@@ -73,25 +73,30 @@ def _letter_counts(texts: list[str]) -> np.ndarray:
 def _best_in_group(names: pd.DataFrame, seeds: pd.DataFrame) -> pd.DataFrame:
     """Best scoring seed of one seed group for every name of one name group.
 
-    Shared letters bound the score from above, so most pairs are never aligned.
+    Shared letters bound a score from above. Seeds are aligned from the highest
+    bound down until the bound falls below the best score found.
     """
-    seeds = seeds.sort_values("entity_id")
+    ids, seed_keys = seeds["entity_id"].tolist(), seeds["seed_key"].tolist()
+    seed_letters, seed_lengths = _letter_counts(seed_keys), np.array([len(key) for key in seed_keys])
+    matchers: dict[int, SequenceMatcher] = {}
+    found = []
     keys = names["name_key"].tolist()
-    counts, lengths = _letter_counts(keys), np.array([len(key) for key in keys])
-    best, entity = np.full(len(keys), -1.0), np.empty(len(keys), dtype=object)
-    matcher = SequenceMatcher()
-    for seed_key, entity_id, letters in zip(
-        seeds["seed_key"], seeds["entity_id"], _letter_counts(seeds["seed_key"].tolist())
-    ):
-        total = np.maximum(lengths + len(seed_key), 1)
-        bound = np.where(lengths + len(seed_key) == 0, 1.0, 2.0 * np.minimum(counts, letters).sum(axis=1) / total)
-        matcher.set_seq2(seed_key)
-        for row in np.flatnonzero(bound >= best):
-            matcher.set_seq1(keys[row])
-            score = matcher.ratio()
-            if score >= best[row]:
-                best[row], entity[row] = score, entity_id
-    return pd.DataFrame({"name_key": keys, "entity_id": entity, "confidence": best})
+    for key, letters in zip(keys, _letter_counts(keys)):
+        total = seed_lengths + len(key)
+        shared = np.minimum(seed_letters, letters).sum(axis=1)
+        bound = np.where(total == 0, 1.0, 2.0 * shared / np.maximum(total, 1))
+        best = (-1.0, "")
+        for at in np.argsort(-bound, kind="stable"):
+            if bound[at] < best[0]:
+                break
+            if at not in matchers:
+                matchers[at] = SequenceMatcher(b=seed_keys[at])
+            matchers[at].set_seq1(key)
+            best = max(best, (matchers[at].ratio(), ids[at]))
+        found.append(best)
+    return pd.DataFrame(
+        {"name_key": keys, "entity_id": [b[1] if ids else None for b in found], "confidence": [b[0] for b in found]}
+    )
 
 
 def best_matches(names: DataFrame, seeds: DataFrame) -> DataFrame:
@@ -191,5 +196,6 @@ def mapping_rows(resolved: DataFrame, name: str, source: Column, record_id: Colu
 
 def latest_mappings(log: DataFrame, order: str) -> DataFrame:
     """Last mapping written per raw name and source."""
-    last = log.groupBy("rawName", "source").agg(F.max(order).alias(order)).select(order)
-    return log.join(last, [order], "left_semi")
+    others = [c for c in log.columns if c not in ("rawName", "source", order)]
+    last = log.groupBy("rawName", "source").agg(F.max(F.struct(order, *others)).alias("_last"))
+    return last.select("rawName", "source", "_last.*")

@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from lodegate.functions.binding import let
+from lodegate.functions.binding import json_value, let
 from lodegate.functions.markup import is_object, kind
 from lodegate.functions.text import unfenced
 
@@ -41,7 +41,7 @@ def prompt(text: Column, schema: dict, context: Column | None = None) -> Column:
 
 def parsed_answer(answer: Column) -> Column:
     """The JSON object of an answer as a variant; null for anything else."""
-    return let(F.try_parse_json(unfenced(answer)), lambda v: F.when(is_object(v), v))
+    return let(json_value(unfenced(answer)), lambda v: F.when(is_object(v), v))
 
 
 def token_usage(usage: Column, field: str) -> Column:

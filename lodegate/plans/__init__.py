@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-_MODULES = ("identities", "gates", "documents", "extractions")
+_MODULES = ("identities", "gates", "documents", "extractions", "entities", "records")
 
 
 def load_queries():

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lodegate.functions.binding import let
+from lodegate.functions.binding import json_value, let
 from lodegate.functions.identity import arxiv_url, canonical_url
 from lodegate.functions.markup import is_object, kind
 from lodegate.functions.text import present
@@ -32,7 +32,7 @@ def _strictly_true(row: Column, field: str) -> Column:
 def archive_rows(pages: DataFrame, body: str) -> DataFrame:
     """Row objects of each page; a page without a list of rows raises an error."""
     others = [c for c in pages.columns if c != body]
-    listed = F.try_variant_get(F.try_parse_json(F.col(body)), "$.rows", "array<variant>")
+    listed = F.try_variant_get(json_value(F.col(body)), "$.rows", "array<variant>")
     checked = F.coalesce(listed, F.raise_error("Archive page has no rows list").cast("array<variant>"))
     return (
         pages.select(*others, F.posexplode(checked).alias("row_position", "_wrapped"))
