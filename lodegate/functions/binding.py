@@ -8,13 +8,31 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def filled(text: Column) -> Column:
+    """The text itself, or null when it is empty."""
+    return let(text, lambda t: F.when(t != "", t))
+
+
+def stage(
+    df: DataFrame, columns: dict[str, Column], keep: Callable[[Column], Column] | None = None
+) -> DataFrame:
+    """Add or replace columns and keep the rows where ``keep(new columns)`` holds.
+
+    The columns come out of a generator, so later filters and projections read
+    the values instead of repeating the expressions behind them.
+    """
+    rows = F.array(F.struct(*[value.alias(name) for name, value in columns.items()]))
+    kept = rows if keep is None else F.filter(rows, keep)
+    return df.select(*[c for c in df.columns if c not in columns], F.inline(kept))
+
+
 def json_value(text: Column) -> Column:
     """The single JSON value a text holds; null when broken or followed by anything else.
 
@@ -36,5 +54,5 @@ def matched(text: Column, pattern: str, groups: int, body: Callable[[Callable[[i
     All groups come from one match.
     """
     joined = "\x00".join(f"${i}" for i in range(1, groups + 1))
-    found = F.when(text.rlike(pattern), F.split(F.regexp_replace(text, pattern, joined), r"\x00"))
+    found = let(text, lambda t: F.when(t.rlike(pattern), F.split(F.regexp_replace(t, pattern, joined), r"\x00")))
     return let(found, lambda g: F.when(g.isNotNull(), body(lambda i: F.get(g, F.lit(i - 1)))))

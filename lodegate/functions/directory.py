@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from lodegate.functions.binding import let
+from lodegate.functions.binding import filled, let
 from lodegate.functions.markup import integer_field, kind, text_field
 
 # JSON-LD types read as organizations and as products.
@@ -17,7 +17,7 @@ MAKER_FIELDS = ("brand", "manufacturer", "author", "provider")
 
 def address_text(node: Column, path: str = "$.address") -> Column:
     parts = [text_field(node, f"{path}.{field}") for field in ADDRESS_FIELDS]
-    return F.coalesce(text_field(node, path), F.nullif(F.concat_ws(", ", *parts), F.lit("")))
+    return F.coalesce(text_field(node, path), filled(F.concat_ws(", ", *parts)))
 
 
 def founding_year(node: Column, path: str = "$.foundingDate") -> Column:

@@ -13,6 +13,7 @@ TRACKING_KEYS = ("fbclid", "gclid", "mc_cid", "mc_eid")
 
 _PARTS = r"(?s)^(?i:https?)://([^/?#]*)([^?#]*)(?:\?([^#]*))?(?:#.*)?$"
 _HOST_PORT = r"(?s)^(?:\[([^\]]*)\]|([^:\[]*))(?::(.*))?$"
+_PLAIN = r"^https?://[a-z0-9.-]+(?:/[A-Za-z0-9._~/@:-]*)?(?:#[!-~]*)?$"
 _UNIT = "\x1f"
 
 
@@ -24,7 +25,7 @@ def _clean(url: Column) -> Column:
 def _percent_decode(text: Column) -> Column:
     """Decode escapes; broken escapes and plus signs stay as they are."""
     safe = F.replace(F.regexp_replace(text, "%(?![0-9A-Fa-f]{2})", "%25"), F.lit("+"), F.lit("%2B"))
-    return F.try_url_decode(safe)
+    return F.when(F.contains(text, F.lit("%")), F.try_url_decode(safe)).otherwise(text)
 
 
 def _replace_all(text: Column, pairs: tuple[tuple[str, str], ...]) -> Column:
@@ -34,14 +35,13 @@ def _replace_all(text: Column, pairs: tuple[tuple[str, str], ...]) -> Column:
 
 
 def _encode_path(text: Column) -> Column:
-    return _replace_all(
-        F.url_encode(text),
-        (("+", "%20"), ("%7E", "~"), ("*", "%2A"), ("%2F", "/"), ("%3A", ":"), ("%40", "@"), ("%25", "%")),
-    )
+    pairs = (("+", "%20"), ("%7E", "~"), ("*", "%2A"), ("%2F", "/"), ("%3A", ":"), ("%40", "@"), ("%25", "%"))
+    return F.when(text.rlike("^[A-Za-z0-9._~/:@%-]*$"), text).otherwise(_replace_all(F.url_encode(text), pairs))
 
 
 def _encode_form(text: Column) -> Column:
-    return _replace_all(F.url_encode(text), (("%7E", "~"), ("*", "%2A")))
+    encoded = _replace_all(F.url_encode(text), (("%7E", "~"), ("*", "%2A")))
+    return F.when(text.rlike("^[A-Za-z0-9._~-]*$"), text).otherwise(encoded)
 
 
 def _decode_form(text: Column) -> Column:
@@ -51,13 +51,13 @@ def _decode_form(text: Column) -> Column:
 def query_pairs(query: Column) -> Column:
     """Array of (k, v) structs of a query string; blank values are kept."""
     pieces = F.filter(F.split(query, "&"), lambda piece: piece != "")
-    return F.transform(
-        pieces,
-        lambda piece: F.struct(
-            _decode_form(F.regexp_extract(piece, r"(?s)^([^=]*)", 1)).alias("k"),
-            _decode_form(F.regexp_extract(piece, r"(?s)^[^=]*=(.*)$", 1)).alias("v"),
-        ),
-    )
+
+    def pair(piece):
+        key = F.substring_index(piece, "=", 1)
+        value = F.substring(piece, F.length(key) + 2, F.length(piece))
+        return F.struct(_decode_form(key).alias("k"), _decode_form(value).alias("v"))
+
+    return F.transform(pieces, pair)
 
 
 def encode_pairs(pairs: Column) -> Column:
@@ -87,9 +87,10 @@ def _canonical(parts: dict[str, Column]) -> Column:
     authority = F.when(default_port, parts["host"]).otherwise(
         F.concat(parts["host"], F.lit(":"), parts["port"].cast("string"))
     )
+    decoded = let(F.when(parts["path"] == "", "/").otherwise(parts["path"]), _percent_decode)
     path = let(
-        _encode_path(_percent_decode(F.when(parts["path"] == "", "/").otherwise(parts["path"]))),
-        lambda p: F.when(p == "/", p).otherwise(F.regexp_replace(p, "/+$", "")),
+        let(decoded, _encode_path),
+        lambda p: F.when((p == "/") | ~F.endswith(p, F.lit("/")), p).otherwise(F.rtrim(p, F.lit("/"))),
     )
     kept = F.filter(
         query_pairs(parts["query"]),
@@ -102,8 +103,22 @@ def _canonical(parts: dict[str, Column]) -> Column:
 
 
 def canonical_url(raw: Column) -> Column:
-    """One spelling per address; null when ``raw`` is not an absolute http(s) URL."""
-    return _address(raw, _canonical)
+    """One spelling per address; null when ``raw`` is not an absolute http(s) URL.
+
+    Addresses already plain in host and path skip the general rules.
+    """
+
+    def spelled(url):
+        tail = F.regexp_replace(url, "^https?://|#.*$", "")
+        plain = let(
+            tail,
+            lambda t: F.when(t.rlike("^[^/]+/?$"), F.concat(F.rtrim(t, F.lit("/")), F.lit("/"))).otherwise(
+                F.rtrim(t, F.lit("/"))
+            ),
+        )
+        return F.when(url.rlike(_PLAIN), F.concat(F.lit("https://"), plain)).otherwise(_address(url, _canonical))
+
+    return let(raw, spelled)
 
 
 def is_http_url(raw: Column) -> Column:

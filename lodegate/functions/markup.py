@@ -5,7 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, functions as F, types as T
 
-from lodegate.functions.binding import json_value, let
+from lodegate.functions.binding import filled, json_value, let
 from lodegate.functions.dates import (
     ARTICLE_CONFIDENCE,
     first_page_timestamp,
@@ -169,7 +169,7 @@ def text_field(node: Column, path: str) -> Column:
     """Trimmed JSON string at ``path``; null for other types and blank text."""
     return let(
         F.try_variant_get(node, path, "variant"),
-        lambda v: F.when(kind(v) == "STRING", F.nullif(strip(F.try_variant_get(v, "$", "string")), F.lit(""))),
+        lambda v: F.when(kind(v) == "STRING", filled(strip(F.try_variant_get(v, "$", "string")))),
     )
 
 

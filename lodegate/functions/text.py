@@ -8,11 +8,14 @@ from functools import cache
 import pandas as pd
 from pyspark.sql import Column, functions as F, types as T
 
+from lodegate.functions.binding import filled, let
 from lodegate.functions.names import entity_key_text
 
 # The whitespace characters recognised by Python's str.split.
 WHITESPACE = r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
+_UNCOLLAPSED = f"[{WHITESPACE.replace('-' + chr(92) + 'x20', '-' + chr(92) + 'x1f')}]|^ | $|  "
+
 # Keyword and role family, in order of precedence.
 ROLE_FAMILIES = (
     ("engineer", "Engineering"),
@@ -30,17 +33,23 @@ LEGAL_FORMS = (
 
 
 def strip(text: Column) -> Column:
-    return F.regexp_replace(text, f"^[{WHITESPACE}]+|[{WHITESPACE}]+$", "")
+    trimmed = lambda t: F.regexp_replace(t, f"^[{WHITESPACE}]+|[{WHITESPACE}]+$", "")
+    return let(text, lambda t: F.when(t.rlike(f"^[{WHITESPACE}]|[{WHITESPACE}]$"), trimmed(t)).otherwise(t))
 
 
 def collapse(text: Column) -> Column:
     """Runs of whitespace become one space; none is left at either end."""
-    return F.regexp_replace(F.regexp_replace(text, f"[{WHITESPACE}]+", " "), "^ | $", "")
+
+    def collapsed(t):
+        single = F.regexp_replace(t, f"[{WHITESPACE}]+", " ")
+        return F.when(t.rlike(_UNCOLLAPSED), F.trim(single)).otherwise(t)
+
+    return let(text, collapsed)
 
 
 def present(text: Column) -> Column:
     """Collapsed text, or null when nothing is left."""
-    return F.nullif(collapse(text), F.lit(""))
+    return filled(collapse(text))
 
 
 @cache

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from lodegate.functions.binding import stage
 from lodegate.functions.directory import PRICING_MODELS
 from lodegate.functions.identity import repository_url
 from lodegate.functions.markup import article_author, article_body, article_date, article_pieces
 from lodegate.functions.text import casefold, is_remote, role_family
-from lodegate.scale import lookup_join
+from lodegate.scale import lookup_join, parallel
 
 
 def hydrate(candidates: DataFrame, papers: DataFrame, order: str) -> DataFrame:
@@ -45,7 +46,7 @@ def add_repository(candidates: DataFrame, repositories: DataFrame, order: str) -
     or has no usable metadata rejects.
     """
     usable = repositories.filter((F.col("stars") >= 0) & (F.coalesce("full_name", F.lit("")) != ""))
-    keyed = candidates.withColumn("normalized_url", repository_url(F.col("github_url")))
+    keyed = stage(candidates, {"normalized_url": repository_url(F.col("github_url"))})
     joined = lookup_join(
         keyed, usable.select("normalized_url", "full_name", "stars"), ["normalized_url"], "left", spread=F.col(order)
     )
@@ -66,14 +67,15 @@ def needed_lookups(candidates: DataFrame) -> DataFrame:
 
 def read_articles(pages: DataFrame, html: str, fallback: Column, now: Column) -> DataFrame:
     """Add article_title, article_body, article_author and article_date to pages."""
-    read = pages.withColumn("_pieces", article_pieces(F.col(html)))
-    read = read.withColumn("article_body", article_body(F.col("_pieces"), fallback))
-    return read.withColumns(
+    read = stage(parallel(pages), {"_pieces": article_pieces(F.col(html))})
+    read = stage(read, {"article_body": article_body(F.col("_pieces"), fallback)})
+    return stage(
+        read,
         {
             "article_title": F.col("_pieces.title"),
             "article_author": article_author(F.col("_pieces")),
             "article_date": article_date(F.col("_pieces"), F.col("article_body"), now),
-        }
+        },
     ).drop("_pieces")
 
 
@@ -107,7 +109,8 @@ def enrich_news(candidates: DataFrame, pages: DataFrame, order: str, now: Column
 def enrich_jobs(candidates: DataFrame, pages: DataFrame, order: str, now: Column) -> DataFrame:
     joined = _join_articles(candidates, pages, "description", order, now)
     has = F.col("html").isNotNull()
-    words = casefold(F.concat_ws(" ", "title", "article_body"))
+    joined = stage(joined, {"_words": casefold(F.concat_ws(" ", "title", "article_body"))})
+    words = F.col("_words")
     changes = {
         **_from_article(has, "description"),
         "is_remote": F.col("is_remote") | (has & is_remote(words)),

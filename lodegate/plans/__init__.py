@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-_MODULES = ("identities", "gates", "documents", "extractions", "entities", "records")
+_MODULES = ("identities", "gates", "documents", "extractions", "entities", "records", "states")
 
 
 def load_queries():

@@ -18,6 +18,18 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
+def parallel(df: DataFrame) -> DataFrame:
+    """Spread rows that would be read by fewer tasks than there are cores.
+
+    For work that costs far more per row than moving the row. Large inputs
+    already come in more partitions and stay as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df._jdf.queryExecution().toRdd().getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores)
+
+
 def hot_keys(df: DataFrame, keys: Sequence[str], limit: int = HOT_KEY_LIMIT) -> DataFrame:
     """Keys holding more than 1/limit of the rows: never more than ``limit`` of them."""
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))

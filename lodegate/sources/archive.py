@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lodegate.functions.binding import json_value, let
+from lodegate.functions.binding import json_value, let, stage
 from lodegate.functions.identity import arxiv_url, canonical_url
 from lodegate.functions.markup import is_object, kind
 from lodegate.functions.text import present
+from lodegate.scale import parallel
 
 _TEXT_FIELDS = ("paper_url", "paper_url_abs", "repo_url", "paper_title", "paper_arxiv_id", "framework")
 _FLAG_FIELDS = ("is_official", "mentioned_in_paper", "mentioned_in_github")
@@ -35,7 +36,7 @@ def archive_rows(pages: DataFrame, body: str) -> DataFrame:
     listed = F.try_variant_get(json_value(F.col(body)), "$.rows", "array<variant>")
     checked = F.coalesce(listed, F.raise_error("Archive page has no rows list").cast("array<variant>"))
     return (
-        pages.select(*others, F.posexplode(checked).alias("row_position", "_wrapped"))
+        parallel(pages).select(*others, F.posexplode(checked).alias("row_position", "_wrapped"))
         .withColumn("row", F.try_variant_get("_wrapped", "$.row", "variant"))
         .filter(is_object(F.col("row")))
         .drop("_wrapped")
@@ -47,13 +48,17 @@ def archive_candidates(rows: DataFrame, *, official_only: bool = True) -> DataFr
     others = [c for c in rows.columns if c != "row"]
     row = F.col("row")
     wanted = rows.filter(_strictly_true(row, "is_official")) if official_only else rows
-    read = wanted.select(
-        *others, *[_text(row, f).alias(f"_{f}") for f in _TEXT_FIELDS], *[_flag(row, f).alias(f"_{f}") for f in _FLAG_FIELDS]
+    fields = {f"_{f}": _text(row, f) for f in _TEXT_FIELDS} | {f"_{f}": _flag(row, f) for f in _FLAG_FIELDS}
+    complete = stage(
+        wanted,
+        fields,
+        keep=lambda r: ~F.exists(F.array(*[r[f"_{f}"] for f in _TEXT_FIELDS[:5]]), lambda v: v.isNull()),
+    )
+    addressed = stage(
+        complete,
+        {"_paper": arxiv_url(F.col("_paper_url_abs")), "_canonical": canonical_url(F.col("_paper_url"))},
+        keep=lambda r: r["_paper"].isNotNull() & r["_canonical"].isNotNull(),
     )
-    complete = read.filter(" AND ".join(f"_{f} IS NOT NULL" for f in _TEXT_FIELDS[:5]))
-    addressed = complete.withColumns(
-        {"_paper": arxiv_url(F.col("_paper_url_abs")), "_canonical": canonical_url(F.col("_paper_url"))}
-    ).filter(F.col("_paper").isNotNull() & F.col("_canonical").isNotNull())
     return addressed.select(
         *others,
         F.col("_paper_url").alias("original_url"),
