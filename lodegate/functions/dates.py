@@ -220,37 +220,46 @@ def page_timestamp(raw: Column) -> Column:
     )
 
 
-def first_page_timestamp(candidates: Column) -> Column:
-    """First parseable entry of an array of date strings."""
-    return F.get(F.filter(F.transform(candidates, page_timestamp), lambda t: t.isNotNull()), F.lit(0))
+def dated_text(raw: Column, source: str, confidence: float) -> Column:
+    """A date string with the place it was found in."""
+    return F.struct(raw.alias("raw"), F.lit(source).alias("source"), F.lit(confidence).alias("confidence"))
 
 
-def date_evidence(now: Column, **raw: Column) -> Column:
-    """Struct (published_at, source, confidence) of the most trusted parseable date.
+def no_evidence() -> Column:
+    return F.struct(
+        F.lit(None).cast("timestamp").alias("published_at"),
+        F.lit(None).cast("string").alias("source"),
+        F.lit(0.0).alias("confidence"),
+    )
 
-    Keyword names are the keys of EVIDENCE_CONFIDENCE; missing ones are skipped.
-    """
-    unknown = set(raw) - set(EVIDENCE_CONFIDENCE)
-    if unknown:
-        raise ValueError(f"Unknown date evidence: {sorted(unknown)}")
-    choices = []
-    for source, confidence in EVIDENCE_CONFIDENCE.items():
-        if source in raw:
-            choices.append(known_evidence(evidence_timestamp(raw[source], now), source, confidence))
-    return F.coalesce(*choices, no_evidence())
 
+def first_evidence(candidates: Column, parse: Callable[[Column], Column]) -> Column:
+    """Struct (published_at, source, confidence) of the first parseable dated text.
 
-def _evidence(published_at: Column, source: Column, confidence: Column) -> Column:
-    return F.struct(published_at.alias("published_at"), source.alias("source"), confidence.alias("confidence"))
+    Later texts are not parsed once one was understood.
+    """
 
+    def step(found, text):
+        tried = F.struct(
+            parse(text["raw"]).alias("published_at"), text["source"].alias("source"), text["confidence"].alias("confidence")
+        )
+        return F.when(found["published_at"].isNotNull(), found).otherwise(tried)
 
-def known_evidence(published_at: Column, source: str, confidence: float) -> Column:
-    """Evidence struct, or null when there is no date."""
-    return let(published_at, lambda t: F.when(t.isNotNull(), _evidence(t, F.lit(source), F.lit(confidence))))
+    return F.aggregate(
+        candidates, no_evidence(), step, lambda found: F.when(found["published_at"].isNotNull(), found).otherwise(no_evidence())
+    )
 
 
-def no_evidence() -> Column:
-    return _evidence(F.lit(None).cast("timestamp"), F.lit(None).cast("string"), F.lit(0.0))
+def date_evidence(now: Column, **raw: Column) -> Column:
+    """Evidence of the most trusted parseable date.
+
+    Keyword names are the keys of EVIDENCE_CONFIDENCE; missing ones are skipped.
+    """
+    unknown = set(raw) - set(EVIDENCE_CONFIDENCE)
+    if unknown:
+        raise ValueError(f"Unknown date evidence: {sorted(unknown)}")
+    texts = [dated_text(raw[source], source, trust) for source, trust in EVIDENCE_CONFIDENCE.items() if source in raw]
+    return first_evidence(F.array(*texts), lambda text: evidence_timestamp(text, now))
 
 
 def age_hours(published_at: Column, now: Column) -> Column:

@@ -8,10 +8,10 @@ from pyspark.sql import Column, functions as F, types as T
 from lodegate.functions.binding import filled, json_value, let
 from lodegate.functions.dates import (
     ARTICLE_CONFIDENCE,
-    first_page_timestamp,
-    known_evidence,
+    dated_text,
+    first_evidence,
     mentioned_relative_timestamp,
-    no_evidence,
+    page_timestamp,
 )
 from lodegate.functions.text import strip
 from lodegate.functions.readers import (
@@ -92,14 +92,26 @@ def article_date(pieces: Column, body: Column, now: Column) -> Column:
             lambda node: F.array(*[text_field(node, f"$.{k}") for k in ("datePublished", "dateCreated", "dateModified")]),
         )
     )
-    found = {
-        "json_ld": first_page_timestamp(F.filter(dates, lambda d: d.isNotNull())),
-        "meta": first_page_timestamp(pieces["meta_dates"]),
-        "time": first_page_timestamp(pieces["time_dates"]),
-        "relative": mentioned_relative_timestamp(F.substring(body, 1, 1000), now),
-    }
-    choices = [known_evidence(at, source, ARTICLE_CONFIDENCE[source]) for source, at in found.items()]
-    return F.coalesce(*choices, no_evidence())
+    marked = {"json_ld": F.filter(dates, lambda d: d.isNotNull()), "meta": pieces["meta_dates"], "time": pieces["time_dates"]}
+    tagged = [_tagged(texts, source) for source, texts in marked.items()]
+    ago = let(
+        mentioned_relative_timestamp(F.substring(body, 1, 1000), now),
+        lambda at: F.when(
+            at.isNotNull(),
+            F.struct(
+                at.alias("published_at"), F.lit("relative").alias("source"),
+                F.lit(ARTICLE_CONFIDENCE["relative"]).alias("confidence"),
+            ),
+        ),
+    )
+    return let(
+        first_evidence(F.concat(*tagged), page_timestamp),
+        lambda found: F.when(found["published_at"].isNotNull(), found).otherwise(F.coalesce(ago, found)),
+    )
+
+
+def _tagged(texts: Column, source: str) -> Column:
+    return F.transform(texts, lambda raw: dated_text(raw, source, ARTICLE_CONFIDENCE[source]))
 
 
 def article_author(pieces: Column) -> Column:

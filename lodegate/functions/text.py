@@ -53,31 +53,48 @@ def present(text: Column) -> Column:
 
 
 @cache
-def _fold_rules() -> tuple[str, str, tuple[tuple[str, str], ...]]:
-    """Characters whose Unicode case folding differs from lower case."""
-    source, target, longer = [], [], []
-    for code in range(sys.maxunicode + 1):
-        char = chr(code)
-        folded = char.casefold()
-        if folded == char or char.lower() != char:
-            continue
-        if len(folded) == 1:
-            source.append(char)
-            target.append(folded)
-        else:
-            longer.append((char, folded))
-    return "".join(source), "".join(target), tuple(longer)
+def _fold_rules() -> dict[str, str]:
+    """Lower-case characters whose Unicode case folding is something else."""
+    return {
+        char: char.casefold()
+        for char in map(chr, range(sys.maxunicode + 1))
+        if char.casefold() != char and char.lower() == char
+    }
 
 
 def casefold(text: Column) -> Column:
-    source, target, longer = _fold_rules()
-    lowered = F.lower(text)
-    single = F.translate(lowered, source, target)
-    expanded = single
-    for char, folded in longer:
-        expanded = F.replace(expanded, F.lit(char), F.lit(folded))
-    rare = "[" + "".join(char for char, _ in longer) + "]"
-    return F.when(text.rlike(r"^[\x00-\x7f]*$"), lowered).when(single.rlike(rare), expanded).otherwise(single)
+    """Full Unicode case folding; the rarer rules run only for texts that may need them."""
+    rules = _fold_rules()
+
+    def substituted(value, pairs):
+        for char, folded in pairs:
+            value = F.replace(value, F.lit(char), F.lit(folded))
+        return value
+
+    near = [(char, folded) for char, folded in rules.items() if char <= "\xff"]
+    far = [(char, folded) for char, folded in rules.items() if char > "\xff"]
+    single = [(char, folded) for char, folded in far if len(folded) == 1]
+    longer = [(char, folded) for char, folded in far if len(folded) > 1]
+    chars = lambda pairs: "".join(char for char, _ in pairs)
+
+    def folded_far(value):
+        mapped = let(
+            value,
+            lambda v: F.when(
+                v.rlike(f"[{chars(single)}]"), F.translate(v, chars(single), "".join(f for _, f in single))
+            ).otherwise(v),
+        )
+        return let(mapped, lambda v: F.when(v.rlike(f"[{chars(longer)}]"), substituted(v, longer)).otherwise(v))
+
+    def folded(low):
+        return F.when(~low.rlike(r"[^\x00-\x7f]"), low).otherwise(
+            let(
+                substituted(low, near),
+                lambda v: F.when(v.rlike(r"[^\x00-\xff]"), folded_far(v)).otherwise(v),
+            )
+        )
+
+    return let(F.lower(text), folded)
 
 
 def content_key_text(text: Column) -> Column:

@@ -9,6 +9,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from lodegate.functions.binding import stage
 from lodegate.functions.text import entity_key, strip
 from lodegate.scale import lookup_join
 from lodegate.session import materialize
@@ -29,9 +30,12 @@ def alias_keys(seeds: DataFrame) -> DataFrame:
     """
     names = F.concat(F.array("canonical_name"), F.coalesce("aliases", F.array().cast("array<string>")))
     return (
-        seeds.select("entity_id", F.explode(names).alias("name"))
-        .select(entity_key(F.col("name")).alias("entity_key"), "entity_id")
-        .filter(F.col("entity_key") != "")
+        stage(
+            seeds.select("entity_id", F.explode(names).alias("name")),
+            {"entity_key": entity_key(F.col("name"))},
+            keep=lambda r: r["entity_key"] != "",
+        )
+        .select("entity_key", "entity_id")
         .distinct()
     )
 
@@ -134,7 +138,7 @@ def resolve_names(
     Adds canonical_name, canonical_entity_id, method, confidence and status.
     Names equal to an alias key match exactly; only the keys left over are scored.
     """
-    keyed = names.select("raw_name", entity_key(F.col("raw_name")).alias("name_key"))
+    keyed = stage(names.select("raw_name"), {"name_key": entity_key(F.col("raw_name"))})
     aliases = alias_keys(seeds).select(F.col("entity_key").alias("name_key"), "entity_id")
     exact = materialize(lookup_join(keyed, aliases, ["name_key"], "left", spread=F.col("raw_name")), "exact-matches")
     blank = strip(F.col("raw_name")) == ""

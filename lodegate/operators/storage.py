@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from lodegate.functions.binding import stage
 from lodegate.functions.identity import canonical_url, content_hash, raw_document_id, storage_key
 from lodegate.scale import lookup_join
 from lodegate.session import materialize
@@ -15,9 +16,11 @@ def raw_documents(responses: DataFrame) -> DataFrame:
     """Evidence rows of responses with source_id, request_url, response_url, status_code,
     headers (map), body (binary) and retrieved_at; addresses that are not http(s) drop out."""
     typed = F.try_element_at("headers", F.lit("content-type"))
-    keyed = responses.withColumns(
-        {"canonical_url": canonical_url(F.col("response_url")), "content_hash": content_hash(F.col("body")), "content_type": typed}
-    ).filter(F.col("canonical_url").isNotNull())
+    keyed = stage(
+        responses,
+        {"canonical_url": canonical_url(F.col("response_url")), "content_hash": content_hash(F.col("body")), "content_type": typed},
+        keep=lambda r: r["canonical_url"].isNotNull(),
+    )
     source = F.col("source_id")
     return keyed.select(
         raw_document_id(source, F.col("canonical_url"), F.col("content_hash")).alias("raw_document_id"),

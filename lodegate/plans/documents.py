@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from lodegate.functions.binding import stage
 from lodegate.functions.dates import date_evidence, utc_text
 from lodegate.functions.directory import card_pricing
 from lodegate.functions.markup import evidence_pieces, is_thin_page
 from lodegate.functions.text import casefold, is_remote, role_family
 from lodegate.operators.enrichment import read_articles
 from lodegate.plans.registry import derive, plain, query, table
+from lodegate.scale import parallel
 from lodegate.sources import archive, directories, feeds
 
 def _now():
@@ -326,7 +328,7 @@ SELECT doc_id, contains(w, 'remote') AS is_remote, CASE WHEN contains(w, 'engine
   CASE WHEN contains(w, 'free') AND NOT contains(w, 'trial') THEN 'FREE' WHEN contains(w, 'paid') OR contains(w, 'pricing') THEN 'PAID'
     WHEN contains(w, 'enterprise') OR contains(w, 'contact') THEN 'ENTERPRISE' ELSE 'FREEMIUM' END AS pricing_model FROM low""")
 def keyword_rules(spark: SparkSession, folder: str) -> DataFrame:
-    folded = derive(spark, folder, TITLES).select("doc_id", casefold(F.col("words")).alias("words"))
+    folded = stage(parallel(derive(spark, folder, TITLES)), {"words": casefold(F.col("words"))})
     words = F.col("words")
     return folded.select(
         "doc_id", is_remote(words).alias("is_remote"), role_family(words).alias("role_family"), card_pricing(words).alias("pricing_model")

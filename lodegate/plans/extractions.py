@@ -20,6 +20,7 @@ from lodegate.operators.extraction import (
     token_usage,
 )
 from lodegate.plans.registry import derive, plain, query, table
+from lodegate.scale import parallel
 
 
 @query("SELECT doc_id, CAST(ceil(length(text) / 4.0) AS BIGINT) AS tokens FROM documents")
@@ -88,7 +89,7 @@ told AS (SELECT doc_id, unnest(range(len(chunks))) AS sequence, unnest(chunks) A
 @query(f"""WITH {CHUNK_SQL}
 SELECT doc_id || ':' || sequence AS chunk_id, doc_id, sequence, chunk.section AS section, chunk.text AS text, CAST(ceil(length(chunk.text) / 4.0) AS BIGINT) AS token_estimate FROM told""")
 def chunk_documents(spark: SparkSession, folder: str) -> DataFrame:
-    rows = derive(spark, folder, HEADED).select("doc_id", F.inline(chunking.document_chunks(F.col("text"), TARGET)))
+    rows = parallel(derive(spark, folder, HEADED)).select("doc_id", F.inline(chunking.document_chunks(F.col("text"), TARGET)))
     return rows.select(
         F.concat_ws(":", F.col("doc_id").cast("string"), F.col("sequence").cast("string")).alias("chunk_id"),
         "doc_id", "sequence", "section", "text", "token_estimate",
@@ -98,7 +99,7 @@ def chunk_documents(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def accepted_chunks(spark: SparkSession, folder: str) -> DataFrame:
     """Chunks after a provider limited to 40 tokens refused the larger ones."""
-    documents = derive(spark, folder, HEADED)
+    documents = parallel(derive(spark, folder, HEADED))
     return documents.select("doc_id", F.inline(chunking.accepted_chunks(F.col("text"), 200, 40)))
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from lodegate.functions.binding import stage
 from lodegate.functions.dates import (
     date_evidence,
     evidence_timestamp,
@@ -22,6 +23,7 @@ from lodegate.operators.freshness import (
     since_watermark,
 )
 from lodegate.plans.registry import derive, plain, query
+from lodegate.scale import parallel
 
 NOW = "2024-01-30 12:00:00"
 def _now():
@@ -166,7 +168,7 @@ parsed AS (SELECT o_orderkey, raw, CASE o_orderkey % 13
 SELECT o_orderkey, raw, strftime(evidence_at, '%Y-%m-%dT%H:%M:%S.%fZ') AS evidence_at,
   strftime(page_at, '%Y-%m-%dT%H:%M:%S.%fZ') AS page_at FROM parsed""")
 def parsed_dates(spark: SparkSession, folder: str) -> DataFrame:
-    return derive(spark, folder, WRITTEN).select(
+    return parallel(derive(spark, folder, WRITTEN)).select(
         "o_orderkey",
         "raw",
         utc_text(evidence_timestamp(F.col("raw"), _now())).alias("evidence_at"),
@@ -220,7 +222,7 @@ FROM chosen""")
 def date_priority(spark: SparkSession, folder: str) -> DataFrame:
     sources = ("json_ld", "meta", "time", "rss", "relative")
     chosen = date_evidence(_now(), **{name: F.col(name) for name in sources})
-    return derive(spark, folder, EVIDENCE).select("o_orderkey", chosen.alias("e")).select(
+    return stage(parallel(derive(spark, folder, EVIDENCE)).select("o_orderkey", *sources), {"e": chosen}).select(
         "o_orderkey", "e.source", utc_text(F.col("e.published_at")).alias("published_at"), "e.confidence"
     )
 

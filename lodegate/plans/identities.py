@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lodegate.functions import identity
+from lodegate.functions.binding import stage
 from lodegate.functions.text import content_key_text
 from lodegate.operators.dedupe import claim, claim_keys, duplicate_counts, merge_index, unseen
 from lodegate.plans.registry import derive, plain, query, table
-from lodegate.scale import first_per_key
+from lodegate.scale import first_per_key, parallel
 
 # Spellings of every page address: as given, with credentials, with tracking
 # and unordered parameters, with ports and odd characters, and one invalid.
@@ -62,8 +63,17 @@ def canonical_url(spark: SparkSession, folder: str) -> DataFrame:
 @query(f"WITH {CANONICAL_SQL} SELECT url_id, canonical_url FROM canonical WHERE canonical_url IS NOT NULL "
        "QUALIFY row_number() OVER (PARTITION BY canonical_url ORDER BY url_id) = 1")
 def url_dedupe_first(spark: SparkSession, folder: str) -> DataFrame:
-    urls = derive(spark, folder, URLS).select("url_id", identity.canonical_url(F.col("url")).alias("canonical_url"))
-    return first_per_key(urls.filter(F.col("canonical_url").isNotNull()), ["canonical_url"], "url_id")
+    return first_per_key(canonical_urls(spark, folder), ["canonical_url"], "url_id")
+
+
+def canonical_urls(spark: SparkSession, folder: str) -> DataFrame:
+    """Every valid spelling of a page address with its canonical form."""
+    valid = stage(
+        derive(spark, folder, URLS),
+        {"canonical_url": identity.canonical_url(F.col("url"))},
+        keep=lambda r: r["canonical_url"].isNotNull(),
+    )
+    return valid.drop("url")
 
 
 RESPONSES = """
@@ -88,8 +98,9 @@ SELECT page_id, canonical_url, content_hash, sha256(source_id || chr(31) || cano
 FROM links""")
 def raw_document_identity(spark: SparkSession, folder: str) -> DataFrame:
     source = F.col("source_id")
-    keyed = derive(spark, folder, RESPONSES).withColumns(
-        {"canonical_url": identity.canonical_url(F.col("url")), "content_hash": identity.content_hash(F.col("html"))}
+    keyed = stage(
+        derive(spark, folder, RESPONSES),
+        {"canonical_url": identity.canonical_url(F.col("url")), "content_hash": identity.content_hash(F.col("html"))},
     )
     return keyed.select(
         "page_id",
@@ -144,7 +155,7 @@ checked AS (SELECT *, regexp_matches(authority, '^(www[.])?github[.]com(:(80|443
 SELECT p_partkey, url, CASE WHEN usable THEN 'https://github.com/' || lower(names[1]) || '/' || lower(name) END AS repository_url,
   CASE WHEN usable THEN lower(names[1]) END AS owner, CASE WHEN usable THEN lower(name) END AS repository FROM checked""")
 def repository_url(spark: SparkSession, folder: str) -> DataFrame:
-    named = derive(spark, folder, REPOSITORY_LINKS).withColumn("repository_url", identity.repository_url(F.col("url")))
+    named = stage(derive(spark, folder, REPOSITORY_LINKS), {"repository_url": identity.repository_url(F.col("url"))})
     return named.withColumns(
         {
             "owner": identity.repository_owner(F.col("repository_url")),
@@ -161,7 +172,7 @@ FINGERPRINT_SQL = (
 
 @query(f"SELECT doc_id, {FINGERPRINT_SQL} AS fingerprint FROM documents")
 def content_fingerprint(spark: SparkSession, folder: str) -> DataFrame:
-    documents = table(spark, folder, "documents").select("doc_id", "text")
+    documents = parallel(table(spark, folder, "documents").select("doc_id", "text"))
     return documents.select("doc_id", identity.content_hash(content_key_text(F.col("text"))).alias("fingerprint"))
 
 
@@ -179,9 +190,8 @@ FROM {documents}
 
 def _arrival_keys(spark: SparkSession, folder: str) -> DataFrame:
     url_key, content_key = claim_keys(F.col("source_id"), F.col("url"), F.col("text"))
-    return derive(spark, folder, ARRIVALS).select(
-        "doc_id", "source_id", url_key.alias("url_key"), content_key.alias("content_key")
-    )
+    arrivals = stage(parallel(derive(spark, folder, ARRIVALS)), {"url_key": url_key, "content_key": content_key})
+    return arrivals.select("doc_id", "source_id", "url_key", "content_key")
 
 
 ARRIVAL_SQL = f"""

@@ -10,6 +10,7 @@ from lodegate.operators import enrichment, export, storage
 from lodegate.operators.records import violations
 from lodegate.plans.documents import _BARE, _squeezed
 from lodegate.plans.registry import derive, plain, query, table
+from lodegate.scale import parallel
 from lodegate.sources.pagination import offset_pages, path_pages, query_pages, start_pages
 
 PAPERS = """
@@ -149,7 +150,7 @@ SELECT p_partkey, CASE p_partkey % 14 WHEN 1 THEN 'recordId:invalid' WHEN 3 THEN
   WHEN 8 THEN 'content.startupName:missing' WHEN 9 THEN 'content.pricingModel:invalid' WHEN 10 THEN 'content.resolutionConfidence:invalid' WHEN 11 THEN 'content.resolutionConfidence:invalid' WHEN 12 THEN 'content.canonicalEntityId:invalid'
   WHEN 13 THEN 'record:invalid' ELSE '' END AS problems FROM part""")
 def record_problems(spark: SparkSession, folder: str) -> DataFrame:
-    records = derive(spark, folder, PRODUCT_RECORDS)
+    records = parallel(derive(spark, folder, PRODUCT_RECORDS))
     return records.select("p_partkey", F.array_join(violations(F.col("payload"), "PRODUCT"), ",").alias("problems"))
 
 

@@ -15,7 +15,7 @@ from lodegate.plans.documents import (
     PRODUCT_PAGES,
 )
 from lodegate.plans.entities import SEEDS
-from lodegate.plans.identities import CANONICAL_SQL, URLS
+from lodegate.plans.identities import CANONICAL_SQL, canonical_urls
 from lodegate.plans.records import _SHOWN
 from lodegate.plans.registry import derive, query, table
 from lodegate.scale import first_per_key
@@ -44,10 +44,8 @@ SELECT sha256('pages' || chr(31) || canonical_url) AS record_id, canonical_url,
 FROM firsts JOIN pages p ON p.page_id = url_id // 5 JOIN shown s ON s.page_id = p.page_id""")
 def article_records(spark: SparkSession, folder: str) -> DataFrame:
     """Every spelling of every page address, the first per canonical address, with its article."""
-    urls = derive(spark, folder, URLS).select(
-        "url_id", identity.canonical_url(F.col("url")).alias("canonical_url"), F.floor(F.col("url_id") / 5).alias("page_id")
-    )
-    first = first_per_key(urls.filter(F.col("canonical_url").isNotNull()), ["canonical_url"], "url_id")
+    urls = canonical_urls(spark, folder).withColumn("page_id", F.floor(F.col("url_id") / 5))
+    first = first_per_key(urls, ["canonical_url"], "url_id")
     landed = first.join(table(spark, folder, "pages").select("page_id", "html"), "page_id")
     read = read_articles(landed, "html", F.lit(""), _noon())
     return read.select(

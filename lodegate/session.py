@@ -57,6 +57,8 @@ def build_session(
     extra: dict[str, str] | None = None,
 ) -> SparkSession:
     builder = SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false")
+    # Capturing a call site per column costs more than building the plan itself.
+    builder = builder.config("spark.python.sql.dataFrameDebugging.enabled", "false")
     if master is not None:
         builder = builder.master(master)
     if shuffle_partitions is not None:
