@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import pyarrow as pa
+from pyspark.sql import Column, functions as F, types as T
 
-import pandas as pd
-from pyspark.sql import Column, functions as F
-
-from lodegate.functions.binding import let
+from lodegate.functions.batches import arrow_rows
 from lodegate.functions.segments import chunks, chunks_within
 from lodegate.functions.text import estimate_tokens
 
-CHUNKS = "array<struct<sequence: int, section: string, text: string, token_estimate: long>>"
-SETTLED_CHUNKS = "array<struct<sequence: int, section: string, text: string, token_estimate: long, refused: boolean>>"
+_CHUNK = [
+    T.StructField("sequence", T.IntegerType()),
+    T.StructField("section", T.StringType()),
+    T.StructField("text", T.StringType()),
+    T.StructField("token_estimate", T.LongType()),
+]
+CHUNKS = T.ArrayType(T.StructType(_CHUNK))
+SETTLED_CHUNKS = T.ArrayType(T.StructType([*_CHUNK, T.StructField("refused", T.BooleanType())]))
 
 # Fixed value: chunk size used when none is given.
 DEFAULT_TARGET_TOKENS = 5000
@@ -22,9 +26,9 @@ def document_chunks(text: Column, target_tokens: int = DEFAULT_TARGET_TOKENS) ->
     if target_tokens < 1:
         raise ValueError("target_tokens must be positive")
 
-    @F.pandas_udf(CHUNKS)
-    def split(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda value: chunks(value, target_tokens), na_action="ignore")
+    @F.arrow_udf(CHUNKS)
+    def split(texts: pa.Array) -> pa.Array:
+        return arrow_rows(texts, lambda value: chunks(value, target_tokens), CHUNKS)
 
     return split(text)
 
@@ -34,9 +38,9 @@ def accepted_chunks(text: Column, target_tokens: int, limit_tokens: int) -> Colu
     if target_tokens < 1 or limit_tokens < 1:
         raise ValueError("token counts must be positive")
 
-    @F.pandas_udf(SETTLED_CHUNKS)
-    def split(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda value: chunks_within(value, target_tokens, limit_tokens), na_action="ignore")
+    @F.arrow_udf(SETTLED_CHUNKS)
+    def split(texts: pa.Array) -> pa.Array:
+        return arrow_rows(texts, lambda value: chunks_within(value, target_tokens, limit_tokens), SETTLED_CHUNKS)
 
     return split(text)
 

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, functions as F, types as T
 
+from lodegate.functions.batches import arrow_rows
 from lodegate.functions.binding import filled, json_value, let
 from lodegate.functions.dates import (
     ARTICLE_CONFIDENCE,
@@ -53,24 +54,24 @@ MIN_USEFUL_BYTES = 150
 MARKER_WINDOW_BYTES = 4096
 
 
-@F.pandas_udf(ARTICLE_PIECES)
-def article_pieces(html: pd.Series) -> pd.DataFrame:
-    return pd.DataFrame([read_with(ArticleReader(), page or "").pieces() for page in html])
+@F.arrow_udf(ARTICLE_PIECES)
+def article_pieces(html: pa.Array) -> pa.Array:
+    return arrow_rows(html, lambda page: read_with(ArticleReader(), page).pieces(), ARTICLE_PIECES)
 
 
-@F.pandas_udf(EVIDENCE_PIECES)
-def evidence_pieces(html: pd.Series) -> pd.DataFrame:
-    return pd.DataFrame([read_with(EvidenceReader(), page or "").found for page in html])
+@F.arrow_udf(EVIDENCE_PIECES)
+def evidence_pieces(html: pa.Array) -> pa.Array:
+    return arrow_rows(html, lambda page: read_with(EvidenceReader(), page).found, EVIDENCE_PIECES)
 
 
-@F.pandas_udf(FEED_ROWS)
-def feed_rows(body: pd.Series) -> pd.Series:
-    return body.map(lambda raw: read_feed(bytes(raw)), na_action="ignore")
+@F.arrow_udf(FEED_ROWS)
+def feed_rows(body: pa.Array) -> pa.Array:
+    return arrow_rows(body, read_feed, FEED_ROWS)
 
 
-@F.pandas_udf(ATOM_ROWS)
-def atom_rows(body: pd.Series) -> pd.Series:
-    return body.map(lambda raw: read_atom(bytes(raw)), na_action="ignore")
+@F.arrow_udf(ATOM_ROWS)
+def atom_rows(body: pa.Array) -> pa.Array:
+    return arrow_rows(body, read_atom, ATOM_ROWS)
 
 
 def article_body(pieces: Column, fallback: Column) -> Column:

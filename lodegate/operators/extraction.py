@@ -5,9 +5,10 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from lodegate.functions.batches import arrow_rows
 from lodegate.functions.binding import json_value, let
 from lodegate.functions.markup import is_object, kind
 from lodegate.functions.text import unfenced
@@ -94,13 +95,13 @@ def _leaves(value, path: tuple[str, ...] = ()) -> Iterator[dict]:
         yield row
 
 
-@F.pandas_udf(_LEAVES)
-def _leaf_rows(payloads: pd.Series) -> pd.Series:
-    return payloads.map(lambda text: list(_leaves(json.loads(text))), na_action="ignore")
+@F.arrow_udf(_LEAVES)
+def _leaf_rows(payloads: pa.Array) -> pa.Array:
+    return arrow_rows(payloads, lambda text: list(_leaves(json.loads(text))), _LEAVES)
 
 
-@F.pandas_udf(T.StringType())
-def _rebuild(groups: pd.Series) -> pd.Series:
+@F.arrow_udf(T.StringType())
+def _rebuild(groups: pa.Array) -> pa.Array:
     def build(nodes) -> str:
         merged: dict = {}
         objects = {(): merged}
@@ -117,7 +118,7 @@ def _rebuild(groups: pd.Series) -> pd.Series:
             objects[path[:-1]][path[-1]] = value
         return json.dumps(merged, sort_keys=True)
 
-    return groups.map(build, na_action="ignore")
+    return arrow_rows(groups, build, T.StringType())
 
 
 def merge_extractions(parts: DataFrame, key: str, order: str, payload: str) -> DataFrame:
