@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import Column, functions as F
 
 # Job types a worker knows.
@@ -33,6 +35,7 @@ def worker_outcome(
     error_type: Column,
     attempts: Column,
     *,
+    known_types: Collection[str] = JOB_TYPES,
     max_retries: int = 3,
     base: float = 0.5,
     cap: float = 8.0,
@@ -41,7 +44,7 @@ def worker_outcome(
 
     ``error_type`` is the name of the failure, null on success.
     """
-    known = F.coalesce(job_type.isin(*JOB_TYPES), F.lit(False))
+    known = F.coalesce(job_type.isin(*known_types), F.lit(False))
     spent = attempts >= max_retries
     outcome = (
         F.when(~known, "dead_lettered").when(error_type.isNull(), "processed").when(spent, "dead_lettered").otherwise("retried")

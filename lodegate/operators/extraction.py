@@ -12,6 +12,7 @@ from lodegate.functions.batches import arrow_rows
 from lodegate.functions.binding import json_value, let
 from lodegate.functions.markup import is_object, kind
 from lodegate.functions.text import unfenced
+from lodegate.scale import lookup_join
 
 # Fixed value: instructions at the head of every prompt.
 INSTRUCTIONS = (
@@ -53,6 +54,61 @@ def token_usage(usage: Column, field: str) -> Column:
     )
 
 
+# Facts asked of a model per record kind, with type and default.
+FACTS = {
+    "job": (("company", "text", None), ("is_remote", "flag", False), ("role_family", "text", None)),
+    "news": (("summary", "text", None), ("category", "text", "AI"), ("primary_entity", "text", None)),
+    "startup": (("employee_count", "integer", None), ("headquarters", "text", None), ("founded_year", "integer", None)),
+    "product": (("pricing_model", "text", "FREEMIUM"), ("startup_name", "text", None)),
+}
+_FACT_TYPES = {"text": "string", "flag": "boolean", "integer": "bigint"}
+
+
+def facts(answer: Column, record_kind: str) -> Column:
+    """Typed facts of a model answer; null when it is no object or a fact has the wrong type.
+
+    A missing fact takes its default and a null one stays null, unless the fact
+    has a default. Other keys are ignored.
+    """
+    fields = FACTS[record_kind]
+
+    def read(value, type_name):
+        text = F.try_variant_get(value, "$", "string")
+        if type_name == "text":
+            return F.when(kind(value) == "STRING", text)
+        if type_name == "flag":
+            words = F.lower(text)
+            return F.when(words.isin("true", "1", "yes", "on", "t", "y"), F.lit(True)).when(
+                words.isin("false", "0", "no", "off", "f", "n"), F.lit(False)
+            )
+        number = text.try_cast("double")
+        return F.when((kind(value) != "BOOLEAN") & (number == F.floor(number)), number.cast("bigint"))
+
+    def fact(node, name, type_name, default):
+        value = F.try_variant_get(node, f"$.{name}", "variant")
+
+        def judged(v):
+            empty = F.is_variant_null(v)
+            got = F.when(v.isNull(), F.lit(default).cast(_FACT_TYPES[type_name])).when(~empty, read(v, type_name))
+            wrong = F.coalesce(empty & F.lit(default is not None), F.lit(False)) | (
+                v.isNotNull() & ~F.coalesce(empty, F.lit(False)) & read(v, type_name).isNull()
+            )
+            return F.struct(got.alias("value"), wrong.alias("wrong"))
+
+        return let(value, judged).alias(name)
+
+    def typed(node):
+        return let(
+            F.struct(*[fact(node, *field) for field in fields]),
+            lambda found: F.when(
+                ~F.exists(F.array(*[found[name]["wrong"] for name, *_ in fields]), lambda wrong: wrong),
+                F.struct(*[found[name]["value"].alias(name) for name, *_ in fields]),
+            ),
+        )
+
+    return let(parsed_answer(answer), lambda node: F.when(node.isNotNull(), typed(node)))
+
+
 # Merging ---------------------------------------------------------------------
 
 _LEAVES = T.ArrayType(
@@ -156,7 +212,7 @@ def merge_extractions(parts: DataFrame, key: str, order: str, payload: str) -> D
     )
     lists = chosen.filter(F.col("kind") == "list").select(key, "path", "_from")
     kept = (
-        earliest.join(lists, [key, "path"])
+        lookup_join(earliest, lists, [key, "path"], "inner", spread=F.col("item"))
         .filter((F.col("copy") == 0) | (F.col("_at._seq") == F.col("_from")))
         .groupBy(key, "path")
         .agg(F.transform(F.array_sort(F.collect_list("_at")), lambda at: at["value"]).alias("items"))

@@ -84,6 +84,11 @@ def insert_new(incoming: DataFrame, path: str, key: str, order: str) -> DataFram
     return flagged
 
 
+def append_lines(rows: DataFrame, path: str) -> None:
+    """Append rows to a folder of JSON lines, nulls written out."""
+    rows.write.mode("append").option("ignoreNullFields", False).json(path)
+
+
 def latest_per_key(rows: DataFrame, key: str, order: str) -> DataFrame:
     """Last write wins: the row with the largest order per key."""
     last = rows.groupBy(key).agg(F.max(order).alias(order)).select(order)

@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lodegate.functions import chunking
+from lodegate.functions.binding import stage
 from lodegate.functions.retrying import backoff_seconds, falls_back, is_transient_status, worker_outcome
 from lodegate.functions.text import estimate_tokens, unfenced
 from lodegate.operators import enrichment
 from lodegate.operators.extraction import (
     INSTRUCTIONS,
+    facts,
     fallback_order,
     fallback_result,
     labelled_text,
@@ -127,6 +129,30 @@ def parsed_answers(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+FACT_ANSWERS = """
+SELECT conv_id * 100 + turn AS answer_id, '{{' || CASE turn % 4 WHEN 0 THEN '"company":"' || role || '",' WHEN 1 THEN '"company":null,' WHEN 2 THEN '"company":7,' ELSE '' END || '"other":1,'
+  || CASE conv_id % 5 WHEN 0 THEN '"is_remote":true' WHEN 1 THEN '"is_remote":"no"' WHEN 2 THEN '"is_remote":null' WHEN 3 THEN '"is_remote":2' ELSE '"x":0' END || '}}' || CASE WHEN conv_id % 11 = 0 THEN ',' ELSE '' END AS answer
+FROM {conversations}
+"""
+
+
+@query("""
+SELECT conv_id * 100 + turn AS answer_id, ok AS valid, CASE WHEN ok AND turn % 4 = 0 THEN role END AS company, CASE WHEN ok THEN conv_id % 5 = 0 END AS is_remote
+FROM (SELECT *, conv_id % 11 <> 0 AND turn % 4 <> 2 AND conv_id % 5 NOT IN (2, 3) AS ok FROM conversations)""")
+def answer_facts(spark: SparkSession, folder: str) -> DataFrame:
+    """Typed facts of model answers; a wrong type makes the whole answer invalid."""
+    read = stage(derive(spark, folder, FACT_ANSWERS), {"f": facts(F.col("answer"), "job")})
+    return read.select("answer_id", F.col("f").isNotNull().alias("valid"), "f.company", "f.is_remote")
+
+
+@query(f"WITH {CHUNK_SQL} SELECT doc_id, count(*) AS chunks, CAST(sum(ceil(length(chunk.text) / 4.0)) AS BIGINT) AS tokens FROM told GROUP BY doc_id")
+def document_tokens(spark: SparkSession, folder: str) -> DataFrame:
+    """Chunks and estimated input tokens per document."""
+    rows = parallel(derive(spark, folder, HEADED)).select("doc_id", chunking.document_chunks(F.col("text"), TARGET).alias("c"))
+    total = F.aggregate("c", F.lit(0).cast("bigint"), lambda sum_, chunk: sum_ + chunk["token_estimate"])
+    return rows.filter(F.size("c") > 0).select("doc_id", F.size("c").cast("bigint").alias("chunks"), total.alias("tokens"))
+
+
 _SCHEMA = {"type": "object", "properties": {"company": {"type": "string"}}}
 _SCHEMA_TEXT = (
     "{\n  \"properties\": {\n    \"company\": {\n      \"type\": \"string\"\n    }\n  },\n  \"type\": \"object\"\n}"

@@ -11,7 +11,7 @@ from lodegate.plans.gates import DECIDED_SQL, _now
 from lodegate.plans.registry import derive, plain, query, table
 from lodegate.session import scratch_path
 from lodegate.streaming.gate import ingest_stream, watermarks
-from lodegate.streaming.queue import decode_job, encode_job, run_workers
+from lodegate.streaming.queue import Handlers, decode_job, encode_job, run_workers
 
 # Requests arrive in bursts: the time of an event is cut to the hour.
 REQUESTS = """
@@ -138,7 +138,10 @@ def stream_workers(spark: SparkSession, folder: str) -> DataFrame:
     jobs = _jobs(_event_stream(spark, folder)).select(decode_job(F.col("job")).alias("d")).select("d.*")
     target = scratch_path(spark, "workers")
     failing = F.when(F.col("payload")["type"] == "error", "ConnectionError")
-    run_workers(jobs, lambda rows: rows.withColumn("error_type", failing), target).awaitTermination()
+    handlers = Handlers()
+    for job_type in ("FETCH_URL", "PARSE_DOCUMENT", "EXPORT_RECORD"):
+        handlers.register(job_type, lambda rows: rows.withColumn("error_type", failing))
+    run_workers(jobs, handlers, target).awaitTermination()
     none = F.lit(None).cast("string")
     parts = [
         spark.read.parquet(f"{target}/{place}").select(

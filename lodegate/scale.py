@@ -32,7 +32,7 @@ def parallel(df: DataFrame) -> DataFrame:
 
 def hot_keys(df: DataFrame, keys: Sequence[str], limit: int = HOT_KEY_LIMIT) -> DataFrame:
     """Keys holding more than 1/limit of the rows: never more than ``limit`` of them."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    counts = df.na.drop(subset=list(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     total = df.agg(F.count(F.lit(1))).scalar()
     return counts.filter(F.col("_rows") * limit > total).select(*keys)
 
@@ -57,8 +57,10 @@ def skew_join(
     if how not in {"inner", "left", "left_semi", "left_anti"}:
         raise ValueError(f"skew_join does not support {how!r}")
     hot = F.broadcast(hot_keys(left, keys, limit).withColumn("_hot", F.lit(True)))
+    # Null keys match nothing, so any salt does; without one they would meet in one task.
+    keyless = F.exists(F.array(*[F.col(key).isNull() for key in keys]), lambda absent: absent)
     salted_left = left.join(hot, list(keys), "left").withColumn(
-        "_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(spread), F.lit(salts))).otherwise(F.lit(0))
+        "_salt", F.when(F.col("_hot") | keyless, F.pmod(F.xxhash64(spread), F.lit(salts))).otherwise(F.lit(0))
     ).drop("_hot")
     salted_right = right.join(hot, list(keys), "left").withColumn(
         "_salt",
@@ -85,12 +87,16 @@ def lookup_join(
     return skew_join(left, right, keys, how, spread=spread)
 
 
-def first_per_key(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
+def first_per_key(df: DataFrame, keys: Sequence[str], order: str, *, wide: bool = False) -> DataFrame:
     """The row with the smallest ``order`` per key; ``order`` must be unique.
 
-    The minimum is combined on the map side from the narrow columns, then the
-    winners are joined back on the unique order column, so no task ever holds
-    the rows of one key.
+    The minimum is combined on the map side, so no task ever holds the rows of
+    one key. Narrow rows travel inside the minimum, in one pass. For ``wide``
+    rows only the order is compared, and the winners are joined back on it.
     """
-    winners = df.groupBy(*keys).agg(F.min(order).alias(order)).select(order)
-    return df.join(winners, [order], "left_semi")
+    if wide:
+        winners = df.groupBy(*keys).agg(F.min(order).alias(order)).select(order)
+        return df.join(winners, [order], "left_semi")
+    others = [c for c in df.columns if c not in keys and c != order]
+    first = df.groupBy(*keys).agg(F.min(F.struct(order, *others)).alias("_first"))
+    return first.select(*keys, "_first.*").select(*df.columns)

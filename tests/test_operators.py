@@ -62,7 +62,8 @@ def test_hot_keys_are_few(spark):
 
 def test_first_per_key(spark):
     frame = spark.range(100).select("id", (F.col("id") % 7).alias("k"))
-    assert sorted(r["id"] for r in first_per_key(frame, ["k"], "id").collect()) == list(range(7))
+    for wide in (False, True):
+        assert sorted(tuple(r) for r in first_per_key(frame, ["k"], "id", wide=wide).collect()) == [(i, i) for i in range(7)]
 
 
 def test_running_values_cross_slices(spark):
