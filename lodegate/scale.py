@@ -33,7 +33,7 @@ def parallel(df: DataFrame) -> DataFrame:
 def hot_keys(df: DataFrame, keys: Sequence[str], limit: int = HOT_KEY_LIMIT) -> DataFrame:
     """Keys holding more than 1/limit of the rows: never more than ``limit`` of them."""
     counts = df.na.drop(subset=list(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    total = df.agg(F.count(F.lit(1))).scalar()
+    total = counts.agg(F.sum("_rows")).scalar()
     return counts.filter(F.col("_rows") * limit > total).select(*keys)
 
 
