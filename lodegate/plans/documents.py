@@ -167,7 +167,7 @@ WITH items AS (
 SELECT * FROM items""")
 def quick_feed_scan(spark: SparkSession, folder: str) -> DataFrame:
     """Pattern scan of the same feeds, which also reads broken documents."""
-    return feeds.first_items(derive(spark, folder, FEEDS), "o_orderkey", "xml").filter("item_position < 10")
+    return feeds.first_items(derive(spark, folder, FEEDS), "o_orderkey", "xml")
 
 
 @query("SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey * 10 + l_linenumber) <= 10")
@@ -212,7 +212,7 @@ def failed_atom_documents(spark: SparkSession, folder: str) -> DataFrame:
 # Archive pages of two wrapped rows per order, with gaps and wrong types.
 ARCHIVE_PAGES = """
 SELECT o_orderkey, '{{"rows":[{{"row":{{"paper_url":"https://papers.example.org/paper/p' || CAST(o_orderkey AS STRING) || '/","paper_title":" Paper  ' || CAST(o_orderkey AS STRING)
-  || '","paper_arxiv_id":"2401.' || CAST(10000 + o_orderkey % 90000 AS STRING) || '","paper_url_abs":"http://arxiv.org/abs/2401.' || CAST(10000 + o_orderkey % 90000 AS STRING)
+  || '","paper_arxiv_id":"' || CAST(CAST(2401 + floor(o_orderkey / 90000) AS BIGINT) AS STRING) || '.' || CAST(10000 + o_orderkey % 90000 AS STRING) || '","paper_url_abs":"http://arxiv.org/abs/' || CAST(CAST(2401 + floor(o_orderkey / 90000) AS BIGINT) AS STRING) || '.' || CAST(10000 + o_orderkey % 90000 AS STRING)
   || 'v1","repo_url":' || CASE WHEN o_orderkey % 6 = 0 THEN 'null' ELSE '"https://github.com/c' || CAST(o_custkey AS STRING) || '/R"' END || ',"is_official":' || CASE WHEN o_orderkey % 4 = 0 THEN '"true"' ELSE 'true' END
   || ',"mentioned_in_paper":true,"framework":' || CASE WHEN o_orderkey % 2 = 0 THEN '"torch"' ELSE '5' END || '}}}},{{"row":[1]}},7,{{"row":{{"is_official":true}}}}]}}' AS body, o_custkey
 FROM {orders}
@@ -220,7 +220,7 @@ FROM {orders}
 
 
 @query("""
-SELECT o_orderkey, 'https://papers.example.org/paper/p' || o_orderkey AS canonical_url, 'https://arxiv.org/abs/2401.' || (10000 + o_orderkey % 90000) AS paper_url,
+SELECT o_orderkey, 'https://papers.example.org/paper/p' || o_orderkey AS canonical_url, 'https://arxiv.org/abs/' || (2401 + o_orderkey // 90000) || '.' || (10000 + o_orderkey % 90000) AS paper_url,
   'Paper ' || o_orderkey AS title, 'https://github.com/c' || o_custkey || '/R' AS github_url, CASE WHEN o_orderkey % 2 = 0 THEN 'torch' END AS framework,
   true AS mentioned_in_paper, false AS mentioned_in_github
 FROM orders WHERE o_orderkey % 4 <> 0 AND o_orderkey % 6 <> 0""")

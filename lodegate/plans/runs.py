@@ -108,8 +108,8 @@ def job_records(spark: SparkSession, folder: str) -> DataFrame:
 
 
 ARCHIVE_BIBLIOGRAPHY = """
-SELECT '2401.' || CAST(10000 + o_orderkey % 90000 AS STRING) AS arxiv_id, 'https://arxiv.org/abs/2401.' || CAST(10000 + o_orderkey % 90000 AS STRING) AS paper_url, 'Title ' || CAST(o_orderkey AS STRING) AS title,
-  CAST(o_orderdate AS TIMESTAMP) AS published_at, o_orderpriority AS abstract FROM {orders} WHERE o_orderkey % 5 <> 0 AND o_orderkey < 90000
+SELECT CAST(CAST(2401 + floor(o_orderkey / 90000) AS BIGINT) AS STRING) || '.' || CAST(10000 + o_orderkey % 90000 AS STRING) AS arxiv_id, 'https://arxiv.org/abs/' || CAST(CAST(2401 + floor(o_orderkey / 90000) AS BIGINT) AS STRING) || '.' || CAST(10000 + o_orderkey % 90000 AS STRING) AS paper_url, 'Title ' || CAST(o_orderkey AS STRING) AS title,
+  CAST(o_orderdate AS TIMESTAMP) AS published_at, o_orderpriority AS abstract FROM {orders} WHERE o_orderkey % 5 <> 0
 """
 ARCHIVE_REPOSITORIES = """
 SELECT 'https://github.com/c' || CAST(c_custkey AS STRING) || '/r' AS normalized_url, 'c' || CAST(c_custkey AS STRING) || '/R' AS full_name, CAST(c_custkey AS BIGINT) AS stars FROM {customer} WHERE c_custkey % 4 <> 0
@@ -117,9 +117,9 @@ SELECT 'https://github.com/c' || CAST(c_custkey AS STRING) || '/r' AS normalized
 
 
 @query("""
-WITH papers AS (SELECT *, o_orderkey % 90000 AS k FROM orders WHERE o_orderkey % 4 <> 0 AND o_orderkey % 6 <> 0),
+WITH papers AS (SELECT * FROM orders WHERE o_orderkey % 4 <> 0 AND o_orderkey % 6 <> 0),
 joined AS (SELECT p.o_orderkey, b.o_orderkey IS NOT NULL AS known, b.o_orderkey AS bk, c_custkey FROM papers p
-  LEFT JOIN orders b ON b.o_orderkey = p.k AND b.o_orderkey % 5 <> 0 LEFT JOIN customer c ON c.c_custkey = p.o_custkey AND c.c_custkey % 4 <> 0)
+  LEFT JOIN orders b ON b.o_orderkey = p.o_orderkey AND b.o_orderkey % 5 <> 0 LEFT JOIN customer c ON c.c_custkey = p.o_custkey AND c.c_custkey % 4 <> 0)
 SELECT o_orderkey, sha256('papers_with_code' || chr(31) || 'https://papers.example.org/paper/p' || o_orderkey) AS record_id, CASE WHEN NOT known THEN 'metadata_missing' WHEN c_custkey IS NULL THEN 'repository_unverified' END AS reject_reason,
   CASE WHEN known THEN 'Title ' || bk ELSE 'Paper ' || o_orderkey END AS title, c_custkey AS stars,
   CASE WHEN NOT known THEN 'content.published_date:missing' ELSE '' END AS problems FROM joined""")
