@@ -7,7 +7,6 @@ from pyspark.sql import Column, functions as F, types as T
 
 from lodegate.functions.batches import arrow_rows
 from lodegate.functions.segments import chunks, chunks_within
-from lodegate.functions.text import estimate_tokens
 
 _CHUNK = [
     T.StructField("sequence", T.IntegerType()),

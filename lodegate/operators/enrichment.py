@@ -46,7 +46,7 @@ def add_repository(candidates: DataFrame, repositories: DataFrame, order: str) -
     or has no usable metadata rejects.
     """
     usable = repositories.filter((F.col("stars") >= 0) & (F.coalesce("full_name", F.lit("")) != ""))
-    keyed = stage(candidates, {"normalized_url": repository_url(F.col("github_url"))})
+    keyed = stage(parallel(candidates), {"normalized_url": repository_url(F.col("github_url"))})
     joined = lookup_join(
         keyed, usable.select("normalized_url", "full_name", "stars"), ["normalized_url"], "left", spread=F.col(order)
     )

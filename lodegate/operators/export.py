@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Collection, Mapping
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from lodegate.functions.cells import canonical_json, tabularize
+from lodegate.functions.cells import tabularize
+from lodegate.operators.running import running
 
 # Export tabs in order and the table behind each.
 TAB_TABLES = {
@@ -61,9 +64,7 @@ def _sorted_nested(cells: str) -> Column:
 
 
 @F.pandas_udf(T.StringType())
-def _normalize_list(texts):
-    import json
-
+def _normalize_list(texts: pd.Series) -> pd.Series:
     def normal(text):
         return json.dumps([None if item is None else json.dumps(json.loads(item), sort_keys=True) for item in json.loads(text)])
 
@@ -80,8 +81,7 @@ def header_union(rows: DataFrame, cells: str, order: str) -> DataFrame:
 
 def headers_of(rows: DataFrame, cells: str, order: str) -> list[str]:
     """Header list for the writers; as long as the widest schema, never the data."""
-    found = [row["header"] for row in header_union(rows, cells, order).orderBy("position").collect()]
-    return found or [EMPTY_HEADER]
+    return [row["header"] for row in header_union(rows, cells, order).orderBy("position").collect()]
 
 
 def matrix(rows: DataFrame, cells: str, order: str, headers: list[str]) -> DataFrame:
@@ -153,13 +153,12 @@ def value_ranges(tab: str, rows: DataFrame, cells: str, order: str, rows_per_req
     batch, so a tab of any size is sent in parts by the tasks that hold them.
     """
     check_tabs([tab])
-    from lodegate.operators.running import running
-
     headers = headers_of(rows, cells, order)
-    numbered = running(matrix(rows, cells, order, headers), [], [order], sums={"_n": F.lit(1).cast("long")}) if headers != [EMPTY_HEADER] else None
     spark = rows.sparkSession
-    head = spark.createDataFrame([(0, f"'{tab}'!A1", [headers])], "batch long, range string, values array<array<string>>")
-    if numbered is not None:
+    shown = [headers or [EMPTY_HEADER]]
+    head = spark.createDataFrame([(0, f"'{tab}'!A1", shown)], "batch long, range string, values array<array<string>>")
+    if headers:
+        numbered = running(matrix(rows, cells, order, headers), [], [order], sums={"_n": F.lit(1).cast("long")})
         batches = (
             numbered.withColumn("batch", F.floor((F.col("_n") - 1) / rows_per_request) + 1)
             .groupBy("batch")
