@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lodegate.llm.bagminhash import near_classes
+from lodegate.llm.chat import digests, read_back, windows
 from lodegate.llm.context import prepare, table
+from lodegate.llm.packing import pack
 from lodegate.llm.quality import judge
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,6 +24,17 @@ def query(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessi
     return run
 
 
+# Its texts hold the markers and the escape of templates.
+_MARKERS = r"\### Assistant: </turn> ok"
+
+
+@query
+def op1_chat_windows(spark: SparkSession, folder: str) -> DataFrame:
+    given = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    own = spark.createDataFrame([(-7, 0, "user", _MARKERS), (-7, 1, "assistant", _MARKERS)], given.schema)
+    return digests(read_back(windows(given.unionByName(own))))
+
+
 @query
 def op2_bagminhash(spark: SparkSession, folder: str) -> DataFrame:
     """doc_id and the id of its near-duplicate class, the smallest doc_id in it."""
@@ -34,3 +47,8 @@ def op5_weak_supervision(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "kept", F.round("p_good", 9).alias("p_good"),
     )
+
+
+@query
+def op8_shortest_pack_first(spark: SparkSession, folder: str) -> DataFrame:
+    return pack(table(spark, folder, "documents"))
