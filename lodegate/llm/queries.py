@@ -11,6 +11,8 @@ from lodegate.llm.chat import digests, read_back, windows
 from lodegate.llm.context import prepare, table
 from lodegate.llm.packing import pack
 from lodegate.llm.quality import judge
+from lodegate.llm.warc import capture_records, captures, read_records, resolved, write_archives
+from lodegate.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -49,6 +51,26 @@ def op5_weak_supervision(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op6_warc_transactions(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_path(spark, "archives")
+    write_archives(capture_records(table(spark, folder, "pages")), path)
+    return resolved(captures(read_records(spark, path)))
+
+
+ORACLES["op6_warc_transactions"] = """
+WITH p AS (
+    SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha256(coalesce(html, '')) AS d FROM pages
+), f AS (
+    SELECT *, min(page_id) OVER (PARTITION BY d) AS first FROM p
+)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, d AS payload_digest,
+       CASE WHEN n >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 100 AND page_id <> first THEN first END AS refers_to
+FROM f
+"""
+
+
 @query
 def op8_shortest_pack_first(spark: SparkSession, folder: str) -> DataFrame:
     return pack(table(spark, folder, "documents"))
