@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from lodegate.llm.bagminhash import near_classes
 from lodegate.llm.chat import digests, read_back, windows
 from lodegate.llm.context import prepare, table
+from lodegate.llm.mainhtml import extract
 from lodegate.llm.packing import pack
 from lodegate.llm.quality import judge
 from lodegate.llm.warc import capture_records, captures, read_records, resolved, write_archives
@@ -74,3 +75,8 @@ FROM f
 @query
 def op8_shortest_pack_first(spark: SparkSession, folder: str) -> DataFrame:
     return pack(table(spark, folder, "documents"))
+
+
+@query
+def op10_line_blocks(spark: SparkSession, folder: str) -> DataFrame:
+    return extract(table(spark, folder, "pages"))
