@@ -11,6 +11,7 @@ from lodegate.llm.chat import digests, read_back, windows
 from lodegate.llm.context import prepare, table
 from lodegate.llm.mainhtml import extract
 from lodegate.llm.packing import pack
+from lodegate.llm.pseudonyms import pseudonymise
 from lodegate.llm.quality import judge
 from lodegate.llm.warc import capture_records, captures, read_records, resolved, write_archives
 from lodegate.session import scratch_path
@@ -44,6 +45,12 @@ def op2_bagminhash(spark: SparkSession, folder: str) -> DataFrame:
     return near_classes(table(spark, folder, "documents"))
 
 
+@query
+def op3_feistel_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
+    done = pseudonymise(table(spark, folder, "documents"))
+    return done.select("doc_id", "text", F.size("kinds").cast("long").alias("n_replaced"))
+
+
 @query
 def op5_weak_supervision(spark: SparkSession, folder: str) -> DataFrame:
     return judge(table(spark, folder, "documents")).select(
