@@ -7,7 +7,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lodegate.llm.bagminhash import near_classes
-from lodegate.llm.context import prepare, table
+from lodegate.llm.context import materialize, prepare, table
+from lodegate.llm.leaks import find_leaks
+from lodegate.llm.packing import pack
+from lodegate.llm.pseudonyms import masked
 from lodegate.llm.quality import judge
 from lodegate.session import scratch_path
 
@@ -25,9 +28,29 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return docs.join(classes.filter("doc_id = class_id").select("doc_id"), "doc_id", "left_semi")
 
 
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item, nor an edited copy of one."""
+    leaks = find_leaks(docs, table(prepare(spark), sf_dir, "benchmark"))
+    return docs.join(materialize(leaks.select("doc_id").distinct(), "leaking"), "doc_id", "left_anti")
+
+
+def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The same documents with pseudonyms for personal data, and their length with them."""
+    prepare(spark)
+    return docs.withColumn("text", masked(F.col("text"))).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents with their place in sequences of 1024 tokens."""
+    return pack(docs)
+
+
 STAGES = [
     ("quality", quality),
     ("near_duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("private_data", private_data),
+    ("packing", packing),
 ]
 
 # Posteriors, signatures, alignments, ciphers and token ids have no SQL form.

@@ -19,8 +19,9 @@ from functools import lru_cache
 from hashlib import blake2b
 from math import prod
 
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, functions as F
 
 from lodegate.llm.context import prepare, texts
 
@@ -269,5 +270,11 @@ def pseudonymise(docs: DataFrame, key_column: str = "doc_id", text: str = "text"
     return texts(docs, key_column, text).mapInArrow(_mask(key), "doc_id long, text string, kinds array<string>")
 
 
-def mask_column(texts_: pa.Array, key: bytes) -> pa.Array:
-    return pa.array([None if text is None else mask(text, key)[0] for text in texts_.to_pylist()], pa.string())
+def masked(text: Column, key: bytes = KEY) -> Column:
+    """The text column with pseudonyms; null stays null."""
+
+    @F.pandas_udf("string")
+    def run(values: pd.Series) -> pd.Series:
+        return values.map(lambda value: None if value is None else mask(value, key)[0])
+
+    return run(text)

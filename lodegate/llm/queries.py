@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from lodegate.llm.bagminhash import near_classes
 from lodegate.llm.chat import digests, read_back, windows
 from lodegate.llm.context import prepare, table
+from lodegate.llm.leaks import find_leaks
 from lodegate.llm.mainhtml import extract
 from lodegate.llm.packing import pack
 from lodegate.llm.pseudonyms import pseudonymise
@@ -79,6 +80,11 @@ FROM f
 """
 
 
+@query
+def op7_seed_and_align(spark: SparkSession, folder: str) -> DataFrame:
+    return find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 @query
 def op8_shortest_pack_first(spark: SparkSession, folder: str) -> DataFrame:
     return pack(table(spark, folder, "documents"))
