@@ -14,6 +14,7 @@ from lodegate.llm.mainhtml import extract
 from lodegate.llm.packing import pack
 from lodegate.llm.pseudonyms import pseudonymise
 from lodegate.llm.quality import judge
+from lodegate.llm.suffixes import without_repeats
 from lodegate.llm.warc import capture_records, captures, read_records, resolved, write_archives
 from lodegate.session import scratch_path
 
@@ -52,6 +53,13 @@ def op3_feistel_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
     return done.select("doc_id", "text", F.size("kinds").cast("long").alias("n_replaced"))
 
 
+@query
+def op4_two_stage_suffixes(spark: SparkSession, folder: str) -> DataFrame:
+    cut = without_repeats(table(spark, folder, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda total, span: total + span["stop"] - span["start"])
+    return cut.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+
+
 @query
 def op5_weak_supervision(spark: SparkSession, folder: str) -> DataFrame:
     return judge(table(spark, folder, "documents")).select(
