@@ -15,6 +15,7 @@ from lodegate.llm.packing import pack
 from lodegate.llm.pseudonyms import pseudonymise
 from lodegate.llm.quality import judge
 from lodegate.llm.suffixes import without_repeats
+from lodegate.llm.toxicity import score
 from lodegate.llm.warc import capture_records, captures, read_records, resolved, write_archives
 from lodegate.session import scratch_path
 
@@ -98,6 +99,11 @@ def op8_shortest_pack_first(spark: SparkSession, folder: str) -> DataFrame:
     return pack(table(spark, folder, "documents"))
 
 
+@query
+def op9_convolutional_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return score(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 @query
 def op10_line_blocks(spark: SparkSession, folder: str) -> DataFrame:
     return extract(table(spark, folder, "pages"))
