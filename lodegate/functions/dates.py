@@ -54,6 +54,9 @@ _MAIL = (
     r"(\d{1,2}):(\d{2})(?::(\d{2}))?(?:\s*([+-]\d{4})|\s+([A-Za-z]+))?(?:\s+\(.*\))?$"
 )
 
+# Midnight of the first day of the year 1.
+_YEAR_ONE_MICROS = -62_135_596_800_000_000
+
 
 def _or(text: Column, default: str) -> Column:
     return F.when(text == "", F.lit(default)).otherwise(text)
@@ -65,9 +68,10 @@ def _two(text: Column) -> Column:
 
 def _offset(text: Column) -> Column:
     """+hh, +hhmm or +hh:mm:ss in the one form a timestamp cast accepts."""
-    digits = F.rpad(F.regexp_replace(text, r"[^0-9]", ""), 4, "0")
+    digits = F.rpad(F.regexp_replace(F.split(text, r"\.", 2)[0], r"[^0-9]", ""), 6, "0")
+    part = lambda at: F.substring(digits, at, 2)
     return F.when(text == "", "+00:00").otherwise(
-        F.concat(F.substring(text, 1, 1), F.substring(digits, 1, 2), F.lit(":"), F.substring(digits, 3, 2))
+        F.concat(F.substring(text, 1, 1), part(1), F.lit(":"), part(3), F.lit(":"), part(5))
     )
 
 
@@ -148,14 +152,15 @@ def _month_day(text: Column, now: Column) -> Column:
 
 def _ago(amount: Column, unit: Column, now: Column) -> Column:
     seconds = F.when(F.startswith(unit, F.lit("minute")), 60).when(F.startswith(unit, F.lit("hour")), 3600).otherwise(86400)
-    micros = F.unix_micros(now) - amount.try_cast("long") * seconds.cast("long") * F.lit(1_000_000)
-    return F.timestamp_micros(micros)
+    span = F.try_multiply(F.try_multiply(amount.try_cast("long"), seconds.cast("long")), F.lit(1_000_000))
+    micros = F.try_subtract(F.unix_micros(now), span)
+    return F.timestamp_micros(F.when(micros >= _YEAR_ONE_MICROS, micros))
 
 
 def relative_timestamp(text: Column, now: Column) -> Column:
-    """The whole text is 'N minutes/hours/days ago' or 'yesterday'."""
+    """The whole text is 'N minutes/hours/days ago' or 'yesterday'; null if that is before the year 1."""
     folded = F.lower(text)
-    pattern = r"^(\d{1,9})\s+(minute|minutes|hour|hours|day|days)\s+ago$"
+    pattern = r"^(\d+)\s+(minute|minutes|hour|hours|day|days)\s+ago$"
     ago = matched(folded, pattern, 2, lambda g: _ago(g(1), g(2), now))
     yesterday = F.when(folded == "yesterday", F.timestamp_micros(F.unix_micros(now) - F.lit(86_400_000_000)))
     return F.coalesce(ago, yesterday)
@@ -163,7 +168,7 @@ def relative_timestamp(text: Column, now: Column) -> Column:
 
 def mentioned_relative_timestamp(text: Column, now: Column) -> Column:
     """The first 'N minutes/hours/days ago' anywhere in the text."""
-    pattern = r"(?is)^.*?(\d{1,9})\s+(minute|hour|day)s?\s+ago.*$"
+    pattern = r"(?is)^.*?(\d+)\s+(minute|hour|day)s?\s+ago.*$"
     return matched(text, pattern, 2, lambda g: _ago(g(1), F.lower(g(2)), now))
 
 
@@ -262,6 +267,10 @@ def date_evidence(now: Column, **raw: Column) -> Column:
     return first_evidence(F.array(*texts), lambda text: evidence_timestamp(text, now))
 
 
+# A decimal number; Spark's cast alone would take a type letter behind it.
+_NUMBER = r"^[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?$"
+
+
 def age_hours(published_at: Column, now: Column) -> Column:
     return (F.unix_micros(now) - F.unix_micros(published_at)) / F.lit(1_000_000.0) / F.lit(3600.0)
 
@@ -271,7 +280,7 @@ def retry_after_seconds(header: Column, now: Column) -> Column:
     def wait(text):
         until = (F.unix_micros(mail_timestamp(text)) - F.unix_micros(now)) / F.lit(1_000_000.0)
         return let(
-            F.coalesce(text.try_cast("double"), until), lambda s: F.when(s.isNotNull(), F.greatest(F.lit(0.0), s))
+            F.coalesce(F.when(text.rlike(_NUMBER), text.try_cast("double")), until), lambda s: F.when(s.isNotNull(), F.greatest(F.lit(0.0), s))
         )
 
     return let(strip(header), lambda text: F.when(text != "", wait(text)))

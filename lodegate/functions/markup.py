@@ -51,7 +51,6 @@ CHALLENGE_MARKERS = (
 )
 BLOCKED_STATUS = (403, 503)
 MIN_USEFUL_BYTES = 150
-MARKER_WINDOW_BYTES = 4096
 
 
 @F.arrow_udf(ARTICLE_PIECES)
@@ -96,7 +95,7 @@ def article_date(pieces: Column, body: Column, now: Column) -> Column:
     marked = {"json_ld": F.filter(dates, lambda d: d.isNotNull()), "meta": pieces["meta_dates"], "time": pieces["time_dates"]}
     tagged = [_tagged(texts, source) for source, texts in marked.items()]
     ago = let(
-        mentioned_relative_timestamp(F.substring(body, 1, 1000), now),
+        mentioned_relative_timestamp(body, now),
         lambda at: F.when(
             at.isNotNull(),
             F.struct(
@@ -126,10 +125,10 @@ def article_author(pieces: Column) -> Column:
 def is_thin_page(status: Column, body: Column) -> Column:
     """True when a response looks blocked or has too little content; ``body`` is binary."""
     upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-    head = F.translate(F.decode(F.substring(body, 1, MARKER_WINDOW_BYTES), "ISO-8859-1"), upper, lower)
+    text = F.translate(F.decode(body, "ISO-8859-1"), upper, lower)
     marked = F.lit(False)
     for marker in CHALLENGE_MARKERS:
-        marked = marked | F.contains(head, F.lit(marker))
+        marked = marked | F.contains(text, F.lit(marker))
     return status.isin(*BLOCKED_STATUS) | (F.octet_length(body) < MIN_USEFUL_BYTES) | marked
 
 

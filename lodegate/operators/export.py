@@ -56,7 +56,7 @@ def _cell(value: Column) -> Column:
 def _sorted_nested(cells: str) -> Column:
     """Rewrite the marked JSON cells with sorted keys, all cells of a row in one call."""
     entries = F.map_entries(cells)
-    nested = F.to_json(F.transform(entries, lambda e: F.when(F.startswith(e["value"], F.lit("\x00")), F.substring(e["value"], 2, 1 << 30))), {"ignoreNullFields": "false"})
+    nested = F.to_json(F.transform(entries, lambda e: F.when(F.startswith(e["value"], F.lit("\x00")), F.substr(e["value"], F.lit(2)))), {"ignoreNullFields": "false"})
     rewritten = F.from_json(_normalize_list(nested), T.ArrayType(T.StringType()))
     return F.map_from_arrays(
         F.map_keys(cells), F.zip_with(F.map_values(cells), rewritten, lambda old, new: F.coalesce(new, old))

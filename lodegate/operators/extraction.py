@@ -21,16 +21,9 @@ INSTRUCTIONS = (
     "Use null or empty values when evidence is absent. Do not guess, invent URLs, or infer missing facts.\n"
 )
 
-# Fixed value: characters of a description that reach a prompt.
-PROMPT_TEXT_CHARS = 2000
-
-
 def labelled_text(**fields: Column) -> Column:
-    """'Label: value' lines; the last field is cut to the prompt limit."""
-    *heads, last = fields.items()
-    lines = [F.concat(F.lit(f"{label}: "), value) for label, value in heads]
-    lines.append(F.concat(F.lit(f"{last[0]}: "), F.substring(last[1], 1, PROMPT_TEXT_CHARS)))
-    return F.concat_ws("\n", *lines)
+    """'Label: value' lines. Long texts are chunked first, a prompt each, and never cut."""
+    return F.concat_ws("\n", *[F.concat(F.lit(f"{label}: "), value) for label, value in fields.items()])
 
 
 def prompt(text: Column, schema: dict, context: Column | None = None) -> Column:

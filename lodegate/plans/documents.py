@@ -53,7 +53,7 @@ SELECT page_id, CASE page_id % 6
   WHEN 0 THEN '<script type="application/ld+json">[{{"@type":"Article"}},{{"@graph":[{{"dateCreated":"soon","dateModified":"2024-01-' || right('0' || CAST(1 + page_id % 28 AS STRING), 2) || 'T10:00:00Z","author":{{"name":"Writer ' || CAST(page_id AS STRING) || '"}}}}]}}]</script>'
   WHEN 1 THEN '<meta name="Author" content=" Desk ' || CAST(page_id AS STRING) || ' "><meta property="og:published_time" content="2024-01-' || right('0' || CAST(1 + page_id % 28 AS STRING), 2) || '">'
   WHEN 2 THEN '<time datetime="bad"></time><time data-time="' || CAST(1 + page_id % 28 AS STRING) || ' Jan 2024"></time>'
-  WHEN 3 THEN '<article>Posted ' || CAST(page_id % 20 AS STRING) || ' hours ago. </article>'
+  WHEN 3 THEN '<article>' || CASE WHEN page_id % 12 = 3 THEN repeat('At length. ', 200) ELSE '' END || 'Posted ' || CAST(page_id % 20 AS STRING) || ' hours ago. </article>'
   WHEN 4 THEN '<nav>3 days ago<br></nav>'
   ELSE '<script type="application/ld+json">{{"datePublished": broken}}</script><meta name="date" content="2024-01-05T05:00:00+02:00"/>' END || html AS html
 FROM {pages}
@@ -105,7 +105,7 @@ FROM {pages}
 
 
 @query(f"""WITH raw AS ({plain(ANSWERED)})
-SELECT page_id, status IN (403, 503) OR octet_length(encode(body)) < 150 OR regexp_matches(lower(substr(body, 1, 4096)),
+SELECT page_id, status IN (403, 503) OR octet_length(encode(body)) < 150 OR regexp_matches(lower(body),
   'cf-browser-verification|challenge-platform|just a moment|checking your browser|ddos protection by|attention required|datadome') AS thin FROM raw""")
 def thin_pages(spark: SparkSession, folder: str) -> DataFrame:
     answered = derive(spark, folder, ANSWERED)
@@ -163,11 +163,13 @@ def malformed_feeds(spark: SparkSession, folder: str) -> DataFrame:
 @query("""
 WITH items AS (
   SELECT o_orderkey, 0 AS item_position, 'https://shop.example.org/o/' || o_orderkey AS canonical_url, 'Order' || chr(10) || '  ' || o_orderkey || ' &amp; more' AS title,
-    'Remote  ' || o_orderpriority || '  design' AS description FROM orders)
-SELECT * FROM items""")
+    'Remote  ' || o_orderpriority || '  design' AS description FROM orders),
+more AS (SELECT o_orderkey, unnest(range(1, 26))::INT AS item_position FROM orders)
+SELECT * FROM items UNION ALL SELECT o_orderkey, item_position, 'https://t.example.org/', 'T', '' FROM more WHERE item_position <> 13""")
 def quick_feed_scan(spark: SparkSession, folder: str) -> DataFrame:
-    """Pattern scan of the same feeds, which also reads broken documents."""
-    return feeds.first_items(derive(spark, folder, FEEDS), "o_orderkey", "xml")
+    """Pattern scan of the same feeds, which also reads broken documents and any number of items."""
+    longer = F.regexp_replace("xml", "(?s)(<item>.*?</item>)", "$1" + "<item><title>T</title><link>https://t.example.org/</link></item>" * 12)
+    return feeds.first_items(derive(spark, folder, FEEDS).withColumn("xml", longer), "o_orderkey", "xml")
 
 
 @query("SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey * 10 + l_linenumber) <= 10")

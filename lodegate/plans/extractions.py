@@ -44,6 +44,7 @@ HEADED = """
 SELECT doc_id, '# Doc ' || CAST(doc_id AS STRING) || chr(10) || replace(replace(text, '. A', '.' || chr(10) || chr(10) || 'A'), '. T', '.' || chr(10) || '## Part T' || chr(10) || 'T') AS text
 FROM {documents}
 """
+HEADED_WITH_SOURCE = HEADED.replace("SELECT doc_id,", "SELECT doc_id, lang, source,")
 TARGET = 60
 
 
@@ -159,14 +160,16 @@ _SCHEMA_TEXT = (
 )
 
 
-@query(f"""
-SELECT doc_id, sha256('{INSTRUCTIONS}' || chr(10) || CASE WHEN doc_id % 2 = 0 THEN 'Source context: ' || source || chr(10) || chr(10) ELSE '' END || 'JSON schema:' || chr(10) || '{_SCHEMA_TEXT}'
-  || chr(10) || chr(10) || 'Source text:' || chr(10) || 'Title: ' || lang || chr(10) || 'Body: ' || substr(text, 1, 2000)) AS prompt_hash FROM documents""")
+@query(f"""WITH {CHUNK_SQL}
+SELECT doc_id, sequence, sha256('{INSTRUCTIONS}' || chr(10) || CASE WHEN doc_id % 2 = 0 THEN 'Source context: ' || source || chr(10) || chr(10) ELSE '' END || 'JSON schema:' || chr(10) || '{_SCHEMA_TEXT}'
+  || chr(10) || chr(10) || 'Source text:' || chr(10) || 'Title: ' || lang || chr(10) || 'Body: ' || chunk.text) AS prompt_hash FROM told JOIN documents USING (doc_id)""")
 def prompts(spark: SparkSession, folder: str) -> DataFrame:
-    documents = table(spark, folder, "documents")
+    """One prompt for each chunk of a document, so that all of its text is asked about."""
+    headed = derive(spark, folder, HEADED_WITH_SOURCE)
+    chunked = headed.select("doc_id", "lang", "source", F.inline(chunking.document_chunks(F.col("text"), TARGET)))
     text = labelled_text(Title=F.col("lang"), Body=F.col("text"))
     context = F.when(F.col("doc_id") % 2 == 0, F.col("source"))
-    return documents.select("doc_id", F.sha2(prompt(text, _SCHEMA, context), 256).alias("prompt_hash"))
+    return chunked.select("doc_id", "sequence", F.sha2(prompt(text, _SCHEMA, context), 256).alias("prompt_hash"))
 
 
 # One JSON part per turn with empty, scalar, nested, list and conflicting values.

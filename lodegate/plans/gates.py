@@ -179,7 +179,7 @@ def parsed_dates(spark: SparkSession, folder: str) -> DataFrame:
 AGO = """
 SELECT event_id, CASE event_id % 6 WHEN 0 THEN 'yesterday' WHEN 1 THEN CAST(user_id AS STRING) || ' Hours ago'
   WHEN 2 THEN '1 minute  ago' WHEN 3 THEN 'Updated ' || CAST(user_id AS STRING) || ' days ago by staff'
-  WHEN 4 THEN CAST(user_id AS STRING) || ' weeks ago' ELSE CAST(user_id AS STRING) || ' days ago' END AS raw, user_id AS n
+  WHEN 4 THEN CASE WHEN event_id % 5 = 0 THEN 'seen 10000000005 days ago' ELSE CAST(user_id AS STRING) || ' weeks ago' END ELSE CAST(user_id AS STRING) || ' days ago' END AS raw, user_id AS n
 FROM {events}
 """
 
@@ -229,7 +229,7 @@ def date_priority(spark: SparkSession, folder: str) -> DataFrame:
 
 HEADERS = """
 SELECT event_id, CASE event_id % 5 WHEN 0 THEN CAST(user_id AS STRING) WHEN 1 THEN ' ' || CAST(value AS STRING) || ' ' WHEN 2 THEN '-3'
-  WHEN 3 THEN 'Tue, 30 Jan 2024 ' || right('0' || CAST(user_id % 24 AS STRING), 2) || ':15:00 GMT' ELSE 'soon' END AS header, user_id, value
+  WHEN 3 THEN 'Tue, 30 Jan 2024 ' || right('0' || CAST(user_id % 24 AS STRING), 2) || ':15:00 GMT' ELSE CASE WHEN event_id % 2 = 0 THEN '5d' ELSE 'soon' END END AS header, user_id, value
 FROM {events}
 """
 

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 HOT_KEY_LIMIT = 1024
 SALTS = 64
 BROADCAST_BYTES = 8 * 1024 * 1024
+SPREAD_BYTES = 8 * 1024 * 1024
 
 
 def estimated_bytes(df: DataFrame) -> int:
@@ -21,11 +22,12 @@ def estimated_bytes(df: DataFrame) -> int:
 def parallel(df: DataFrame) -> DataFrame:
     """Spread rows that would be read by fewer tasks than there are cores.
 
-    For work that costs far more per row than moving the row. Large inputs
-    already come in more partitions and stay as they are.
+    For work that costs far more per row than moving the row. Decided by the size that
+    Catalyst estimates, without running anything: an input of at most ``SPREAD_BYTES`` per
+    core is moved, larger ones come in enough partitions and stay as they are, as do streams.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df._jdf.queryExecution().toRdd().getNumPartitions() >= cores:
+    if df.isStreaming or estimated_bytes(df) > cores * SPREAD_BYTES:
         return df
     return df.repartition(cores)
 
