@@ -6,7 +6,7 @@ import pyarrow as pa
 from pyspark.sql import Column, functions as F, types as T
 
 from lodegate.functions.batches import arrow_rows
-from lodegate.functions.segments import chunks, chunks_within
+from lodegate.functions.segments import chunks
 
 _CHUNK = [
     T.StructField("sequence", T.IntegerType()),
@@ -15,7 +15,6 @@ _CHUNK = [
     T.StructField("token_estimate", T.LongType()),
 ]
 CHUNKS = T.ArrayType(T.StructType(_CHUNK))
-SETTLED_CHUNKS = T.ArrayType(T.StructType([*_CHUNK, T.StructField("refused", T.BooleanType())]))
 
 # Fixed value: chunk size used when none is given.
 DEFAULT_TARGET_TOKENS = 5000
@@ -32,18 +31,6 @@ def document_chunks(text: Column, target_tokens: int = DEFAULT_TARGET_TOKENS) ->
     return split(text)
 
 
-def accepted_chunks(text: Column, target_tokens: int, limit_tokens: int) -> Column:
-    """Chunks after splitting again whatever a provider limited to ``limit_tokens`` refuses."""
-    if target_tokens < 1 or limit_tokens < 1:
-        raise ValueError("token counts must be positive")
-
-    @F.arrow_udf(SETTLED_CHUNKS)
-    def split(texts: pa.Array) -> pa.Array:
-        return arrow_rows(texts, lambda value: chunks_within(value, target_tokens, limit_tokens), SETTLED_CHUNKS)
-
-    return split(text)
-
-
 def sentences(text: Column) -> Column:
     """Sentences of a paragraph, split after . ! or ? and blank space."""
     return F.filter(F.split(text, r"(?U)(?<=[.!?])\s+"), lambda s: s != "")

@@ -79,10 +79,21 @@ def read_articles(pages: DataFrame, html: str, fallback: Column, now: Column) ->
     ).drop("_pieces")
 
 
+# Columns by which a record names the raw document it was made from.
+RAW_EVIDENCE = ("raw_document_id", "content_hash", "retrieved_at")
+
+
 def _join_articles(candidates: DataFrame, pages: DataFrame, body: str, order: str, now: Column) -> DataFrame:
-    """Candidates with their article; ``pages`` has original_url and html, one row per address."""
-    joined = lookup_join(candidates, pages.select("original_url", "html"), ["original_url"], "left", spread=F.col(order))
-    return read_articles(joined, "html", F.col(body), now)
+    """Candidates with their article; ``pages`` has original_url and html, one row per address.
+
+    Where ``pages`` has raw document columns too, a candidate with an article takes them over,
+    as its facts then come from that document.
+    """
+    raw = [name for name in RAW_EVIDENCE if name in pages.columns and name in candidates.columns]
+    landed = pages.select("original_url", "html", *[F.col(name).alias(f"_landed_{name}") for name in raw])
+    joined = lookup_join(candidates, landed, ["original_url"], "left", spread=F.col(order))
+    taken = {name: F.coalesce(F.col(f"_landed_{name}"), F.col(name)) for name in raw}
+    return read_articles(joined.withColumns(taken), "html", F.col(body), now)
 
 
 def _from_article(has: Column, body: str) -> dict[str, Column]:

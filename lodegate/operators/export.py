@@ -6,10 +6,11 @@ import json
 from collections.abc import Collection, Mapping
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from lodegate.functions.cells import tabularize
 from lodegate.operators.running import running
+from lodegate.session import materialize
 
 # Export tabs in order and the table behind each.
 TAB_TABLES = {
@@ -101,20 +102,37 @@ def tab_counts(tabs: Mapping[str, DataFrame]) -> DataFrame:
     return counts
 
 
+def _shown(tab: DataFrame | None) -> DataFrame | None:
+    """A tab's cells along its headers in the order of its key, or None if it has no row."""
+    if tab is None or tab.isEmpty():
+        return None
+    if "payload" not in tab.columns:
+        rows = tabularize(tab)
+        return rows.orderBy(rows.columns[0])
+    key = next(name for name in tab.columns if name != "payload")
+    celled = materialize(payload_cells(tab, "payload").select(F.col(key).alias("_key"), "cells"), "cells")
+    headers = headers_of(celled, "cells", "_key")
+    cell = lambda h: F.coalesce(F.try_element_at(F.col("cells"), F.lit(h)), F.lit(""))
+    return celled.orderBy("_key").select(*[cell(h).alias(h) for h in headers])
+
+
 def write_csv(tabs: Mapping[str, DataFrame], folder: str) -> dict[str, str]:
-    """Write each given tab as a folder of CSV parts with a header; returns the paths.
+    """Write every required tab as a folder of CSV parts with a header; returns the paths.
 
-    Columns of a tab are its headers. Parts stay in parallel; rows are ordered
-    inside and between parts by the first column.
+    A stored tab, with a JSON ``payload``, has the fields of its payloads as headers, in the order
+    in which they first appear; other tabs have their columns. A tab that is absent or has no row
+    has the header ``record`` alone. Parts stay in parallel; rows are ordered inside and between
+    parts by the tab's key.
     """
     check_tabs(tabs)
     paths = {}
     for name in REQUIRED_TABS:
-        if name not in tabs:
-            continue
-        rows = tabularize(tabs[name])
+        rows = _shown(tabs.get(name))
         paths[name] = f"{folder.rstrip('/')}/{file_name(name)}"
-        rows.orderBy(rows.columns[0]).write.mode("overwrite").option("header", True).option("emptyValue", "").option(
+        if rows is None:
+            spark = next(iter(tabs.values())).sparkSession if tabs else SparkSession.getActiveSession()
+            rows = spark.createDataFrame([], f"{EMPTY_HEADER} string")
+        rows.write.mode("overwrite").option("header", True).option("emptyValue", "").option(
             "escape", '"'
         ).csv(paths[name])
     return paths

@@ -99,13 +99,6 @@ def chunk_documents(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query()
-def accepted_chunks(spark: SparkSession, folder: str) -> DataFrame:
-    """Chunks after a provider limited to 40 tokens refused the larger ones."""
-    documents = parallel(derive(spark, folder, HEADED))
-    return documents.select("doc_id", F.inline(chunking.accepted_chunks(F.col("text"), 200, 40)))
-
-
 ANSWERS = """
 SELECT conv_id * 100 + turn AS answer_id, conv_id, turn, CASE turn % 5 WHEN 0 THEN '```json' || chr(10) || '{{"speaker":"' || role || '","chars":' || CAST(length(text) AS STRING) || '}}' || chr(10) || '```'
   WHEN 1 THEN '  {{"speaker":"' || role || '","chars":"many"}} ' WHEN 2 THEN '["' || role || '"]' WHEN 3 THEN 'Sure! {{"speaker":1}}' ELSE '```{{"speaker":null,"chars":1.5}}```' END AS answer

@@ -10,6 +10,7 @@ from lodegate.operators import enrichment, export, storage
 from lodegate.operators.records import violations
 from lodegate.plans.documents import _BARE, _squeezed
 from lodegate.plans.registry import derive, plain, query, table
+from lodegate.session import scratch_path
 from lodegate.scale import parallel
 from lodegate.sources.pagination import offset_pages, path_pages, query_pages, start_pages
 
@@ -203,16 +204,37 @@ def payload_matrix(spark: SparkSession, folder: str) -> DataFrame:
     return values.select("event_id", *[F.col("values")[i].alias(name) for i, name in enumerate(names)])
 
 
-@query("""
-WITH keys AS (SELECT event_id, unnest(CASE WHEN event_id % 4 = 1 THEN ['recordId', event_type, 'content', 'user', 'gone'] ELSE ['recordId', 'content', 'user', 'gone'] END) AS header,
+_HEADERS_SQL = """WITH keys AS (SELECT event_id, unnest(CASE WHEN event_id % 4 = 1 THEN ['recordId', event_type, 'content', 'user', 'gone'] ELSE ['recordId', 'content', 'user', 'gone'] END) AS header,
   unnest(CASE WHEN event_id % 4 = 1 THEN [0, 1, 2, 3, 4] ELSE [0, 1, 2, 3] END) AS at_key FROM events),
 firsts AS (SELECT header, min(event_id * 10 + at_key) AS f FROM keys GROUP BY header)
-SELECT header, row_number() OVER (ORDER BY f) - 1 AS position FROM firsts""")
+"""
+
+
+@query(_HEADERS_SQL + """SELECT header, row_number() OVER (ORDER BY f) - 1 AS position FROM firsts""")
 def header_union(spark: SparkSession, folder: str) -> DataFrame:
     rows = export.payload_cells(derive(spark, folder, PAYLOADS), "payload")
     return export.header_union(rows, "cells", "event_id")
 
 
+@query(_HEADERS_SQL + r"""
+SELECT 'News' AS tab, (SELECT string_agg(header, ',' ORDER BY f) FROM firsts) AS headers, 'e' || event_id AS record_id, '{"a": [null, "\u00e9"], "z": ' || user_id || '}' AS content FROM events
+UNION ALL SELECT unnest(['Startups', 'Products', 'Research Papers', 'Jobs', 'Entity Mapping Log']), 'record', NULL, NULL""")
+def exported_tabs(spark: SparkSession, folder: str) -> DataFrame:
+    """The six CSV tabs, written and read back: payload fields of News, a bare header for the others."""
+    paths = export.write_csv({"News": derive(spark, folder, PAYLOADS)}, scratch_path(spark, "export"))
+    shown = None
+    for tab, path in paths.items():
+        read = spark.read.option("header", True).option("escape", '"').csv(path)
+        headers = F.lit(",".join(read.columns)).alias("headers")
+        if tab == "News":
+            rows = read.select(F.lit(tab).alias("tab"), headers, F.col("recordId").alias("record_id"), "content")
+        else:
+            none = F.lit(None).cast("string")
+            rows = read.agg(F.count(F.lit(1)).alias("n")).filter("n = 0").select(F.lit(tab).alias("tab"), headers, none.alias("record_id"), none.alias("content"))
+        shown = rows if shown is None else shown.unionByName(rows)
+    return shown
+
+
 LISTINGS = """
 SELECT s_suppkey, 'https://l.example.org/' || CAST(s_suppkey AS STRING) || CASE WHEN s_suppkey % 2 = 0 THEN '/?q=a+b&page=9&q=c' ELSE '/' END AS listing_url,
   'https://l.example.org/rows?offset={{offset}}&length={{length}}' AS offset_template, CASE WHEN s_suppkey % 3 = 0 THEN 'https://l.example.org/feed' ELSE 'https://l.example.org/q?start={{start}}&max_results={{max_results}}' END AS start_template,

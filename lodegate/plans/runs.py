@@ -8,6 +8,7 @@ from lodegate.functions import identity
 from lodegate.operators import ingest
 from lodegate.operators.enrichment import read_articles
 from lodegate.plans.documents import (
+    FEEDS,
     _FEED_ITEMS_SQL,
     _feed_documents,
     ARCHIVE_PAGES,
@@ -17,7 +18,7 @@ from lodegate.plans.documents import (
 from lodegate.plans.entities import SEEDS
 from lodegate.plans.identities import CANONICAL_SQL, canonical_urls
 from lodegate.plans.records import _SHOWN
-from lodegate.plans.registry import derive, query, table
+from lodegate.plans.registry import derive, plain, query, table
 from lodegate.scale import first_per_key
 from lodegate.sources import archive, directories
 
@@ -92,6 +93,39 @@ def news_records(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+# An article for the first item of every second order.
+LANDED = """
+SELECT 'http://shop.example.org/o/' || CAST(o_orderkey AS STRING) || '?utm_source=rss' AS original_url,
+  '<html><head><title>Landed ' || CAST(o_orderkey AS STRING) || '</title></head><body><article><p>' || repeat('An article about the order. ', 20) || '</p></article></body></html>' AS html
+FROM {orders} WHERE o_orderkey % 2 = 0
+"""
+
+
+@query(f"""WITH {_GATED.format(key='item_position')}, landed AS ({plain(LANDED)}), feed_texts AS ({plain(FEEDS)}),
+made AS (SELECT c.canonical_url, CASE WHEN l.html IS NULL THEN 'feed' ELSE 'article' END AS made_from, CASE WHEN l.html IS NULL THEN c.title ELSE 'Landed ' || c.o_orderkey END AS title,
+    sha256(coalesce(l.html, f.xml)) AS content_hash, CASE WHEN l.html IS NULL THEN 'shop_feed' ELSE 'shop_articles' END AS source
+  FROM claims c JOIN feed_texts f USING (o_orderkey) LEFT JOIN landed l ON c.item_position = 0 AND l.original_url = 'http://shop.example.org/o/' || c.o_orderkey || '?utm_source=rss' WHERE claimed)
+SELECT sha256('shop_feed' || chr(31) || canonical_url) AS record_id, title, content_hash, sha256(source || chr(31) || content_hash) AS raw_document_id,
+  '["' || sha256(source || chr(31) || content_hash) || '"]' AS raw_document_ids,
+  CASE made_from WHEN 'feed' THEN '2024-01-05T11:00:00.000000Z' ELSE '2024-01-05T11:30:00.000000Z' END AS retrieved_at, '' AS problems FROM made""")
+def enriched_news_records(spark: SparkSession, folder: str) -> DataFrame:
+    """News records of feeds and landed articles; a completed record names the article as its evidence."""
+    pages = _with_raw(derive(spark, folder, LANDED), "shop_articles", F.col("html"))
+    pages = pages.withColumn("retrieved_at", F.lit("2024-01-05 11:30:00+00:00").cast("timestamp"))
+    decided = ingest.decide_feed(_feeds(spark, folder), "news", _noon())
+    made = ingest.feed_records(decided, "news", _noon(), pages=pages)
+    field = lambda path: F.get_json_object("payload", path)
+    return made.select(
+        "record_id",
+        field("$.content.title").alias("title"),
+        field("$.provenance.contentHash").alias("content_hash"),
+        field("$.provenance.rawDocumentId").alias("raw_document_id"),
+        field("$.provenance.extractionMetadata.raw_document_ids").alias("raw_document_ids"),
+        field("$.provenance.retrievedAt").alias("retrieved_at"),
+        F.array_join("problems", ",").alias("problems"),
+    )
+
+
 @query(f"""WITH {_GATED.format(key="item_position, coalesce(author, '')")}
 SELECT sha256('shop_feed' || chr(31) || canonical_url) AS record_id, coalesce(author, 'Unknown company') AS company, (item_position = 0)::VARCHAR AS is_remote,
   CASE item_position WHEN 0 THEN 'Design' ELSE 'Research' END AS role_family, '' AS problems FROM claims WHERE claimed""")

@@ -38,7 +38,7 @@ def compare(spark, folder: str, name: str, connection) -> str:
     frame = query.run(spark, folder)
     mine = normalized(frame.columns, frame.collect())
     if query.oracle is None:
-        return ""
+        return "no reference SQL"
     cursor = connection.execute(query.oracle)
     names = [column[0] for column in cursor.description]
     theirs = normalized(names, cursor.fetchall())

@@ -91,6 +91,10 @@ def test_csv_export(spark, tmp_path):
     for part in sorted(Path(paths["News"]).glob("*.csv")):
         rows += list(csv.DictReader(part.open(newline="")))
     assert rows == [{"id": "1", "title": "Fresh, new", "ok": ""}, {"id": "2", "title": 'say "hi"', "ok": "True"}]
+    assert list(paths) == list(export.REQUIRED_TABS)
+    for tab in export.REQUIRED_TABS:
+        if tab != "News":
+            assert "".join(p.read_text() for p in Path(paths[tab]).glob("*.csv")).split() == ["record"]
     with pytest.raises(ValueError):
         export.write_csv({"Unknown": news}, str(tmp_path))
 

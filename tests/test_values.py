@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lodegate.functions import dates, directory, identity, markup, text
-from lodegate.functions.segments import chunks, chunks_within
+from lodegate.functions.segments import chunks
 from lodegate.operators.freshness import freshness_decision
 
 NOW = "2026-09-11 12:00:00+00:00"
@@ -187,8 +187,15 @@ def test_chunks_keep_sections_and_size():
     assert "".join(c["text"] for c in slices) == "x" * 100
 
 
-def test_refused_chunks_are_split_until_accepted():
-    words = "One two three. " * 40
-    found = chunks_within(words.strip(), 200, 20)
-    assert all(c["token_estimate"] <= 20 and not c["refused"] for c in found)
-    assert [c["sequence"] for c in found] == list(range(len(found)))
+@pytest.mark.parametrize(
+    ("raw", "expected"),
+    [
+        ("2024-01-05T10:00:00+05:30:15", "2024-01-05T04:29:45+00:00"),
+        ("2024-01-05T10:00:00-0330", "2024-01-05T13:30:00+00:00"),
+        ("seen 10000000005 days ago", None),
+        ("999999999999999999999 days ago", None),
+    ],
+)
+def test_offsets_and_long_numbers(spark, raw, expected):
+    found = one(spark, F.date_format(dates.evidence_timestamp(F.col("v"), F.lit(NOW).cast("timestamp")), "yyyy-MM-dd'T'HH:mm:ssxxx"), raw)
+    assert found == expected
