@@ -14,8 +14,9 @@ successor are sorted directly, to the depth of ``size`` bytes; scanning the buck
 from the smallest on, each suffix induces the place of the one before it if that is larger than
 its successor. Common prefixes of neighbours in the order of at least ``size`` bytes mark repeats.
 A gram of very many stretches, as at the ends of a very common passage, is split over salts in
-proportion to their number; then each salt reports its different strings once, by two 64-bit
-hashes, and those in two salts repeat as well.
+proportion to their number; then each salt hands its different strings on once, as two 64-bit
+hashes in lists by ranges of the hash, as many more ranges as salts, and strings of one range that
+come from two salts repeat as well.
 
 Removing: the runs of starts are joined per text, and the bytes they cover are cut.
 
@@ -185,7 +186,13 @@ def repeated_starts(strings: list[bytes], counts: list[int], size: int) -> tuple
 
 
 _RUNS = "tid binary, first long, count long"
-_SEEN = "tid binary, first long, count long, print_a long, print_b long"
+_LISTS = "gram long, shelf long, print_a array<long>, print_b array<long>, tids array<binary>, firsts array<long>"
+_RUNS_SCHEMA = [("tid", pa.binary()), ("first", pa.int64()), ("count", pa.int64())]
+_LISTS_SCHEMA = [
+    ("gram", pa.int64()), ("shelf", pa.int64()), ("print_a", pa.list_(pa.int64())), ("print_b", pa.list_(pa.int64())),
+    ("tids", pa.list_(pa.binary())), ("firsts", pa.list_(pa.int64())),
+]
+SHELVES = 8  # ranges of the hash per salt
 
 
 def _runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -194,37 +201,39 @@ def _runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _sort(size: int):
-    """Repeats inside groups of stretches; a row without prints is a run of repeated starts.
+    """Runs of repeated starts inside groups of stretches, and the lists of the salts of split grams.
 
-    A row with prints is a start of a split gram: ``count`` 1 asks whether another salt has it too.
+    A listed string has a text and a start if its stretch occurs once and it did not repeat here.
     """
 
-    def settle(rows: list[dict]) -> dict[str, list]:
+    def settle(rows: list[dict]) -> list[dict]:
         repeated, leads, starts, text = repeated_starts([r["body"] for r in rows], [r["count"] for r in rows], size)
-        out: dict[str, list] = {name: [] for name in ("tid", "first", "count", "print_a", "print_b")}
+        out: list[dict] = []
+        prints: list[tuple] = []
         at = 0
-        sums = None
         for row in rows:
             mine = slice(at, at + row["count"])
             at += row["count"]
             if row["n"] == 1:
-                for first, count in zip(*_runs(repeated[mine])):
-                    for name, value in (("tid", row["tid"]), ("first", row["first"] + int(first)), ("count", int(count)), ("print_a", None), ("print_b", None)):
-                        out[name].append(value)
+                out += [{"tid": row["tid"], "first": row["first"] + int(f), "count": int(c)} for f, c in zip(*_runs(repeated[mine]))]
             if row["salts"] > 1:
-                if sums is None:
-                    data = np.frombuffer(text, dtype=np.uint8)
-                    sums = prefix_hash(data), prefix_hash(data ^ 0xA5)
-                    _, down = powers(data.size + 1)
                 own = np.flatnonzero(leads[mine])
-                p = starts[mine][own]
-                prints = [mix((s[p + size] - s[p]) * down[p]).view(np.int64) for s in sums]
                 asks = (row["n"] == 1) & ~repeated[mine][own]
-                out["tid"] += [row["tid"]] * own.size
-                out["first"] += (row["first"] + own).tolist()
-                out["count"] += asks.astype(int).tolist()
-                out["print_a"] += prints[0].tolist()
-                out["print_b"] += prints[1].tolist()
+                prints.append((starts[mine][own], row["first"] + own, [row["tid"] if ask else None for ask in asks]))
+        if prints:
+            data = np.frombuffer(text, dtype=np.uint8)
+            place, first, tids = np.concatenate([p[0] for p in prints]), np.concatenate([p[1] for p in prints]), sum((p[2] for p in prints), [])
+            _, down = powers(data.size + 1)
+            two = [mix((sums[place + size] - sums[place]) * down[place]) for sums in (prefix_hash(data), prefix_hash(data ^ 0xA5))]
+            shelf = (two[0] % np.uint64(SHELVES * rows[0]["salts"])).astype(np.int64)
+            order = np.argsort(shelf, kind="stable")
+            cuts = np.flatnonzero(np.append(True, shelf[order][1:] != shelf[order][:-1]))
+            for low, high in zip(cuts, np.append(cuts[1:], order.size)):
+                part = order[low:high]
+                out.append({
+                    "gram": rows[0]["gram"], "shelf": int(shelf[part[0]]), "print_a": two[0][part].view(np.int64), "print_b": two[1][part].view(np.int64),
+                    "tids": [tids[k] for k in part], "firsts": first[part],
+                })
         return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -233,9 +242,7 @@ def _sort(size: int):
         weight = 0
 
         def emit(rows: list[dict]) -> pa.RecordBatch:
-            out = settle(rows)
-            kinds = [pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
-            return pa.RecordBatch.from_arrays([pa.array(values, kind) for values, kind in zip(out.values(), kinds)], list(out))
+            return pa.RecordBatch.from_pylist(settle(rows), schema=pa.schema(_RUNS_SCHEMA + _LISTS_SCHEMA))
 
         for batch in batches:
             for row in batch.to_pylist():
@@ -257,6 +264,30 @@ def _sort(size: int):
     return run
 
 
+def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Listed strings that come from two salts; the lists of a shelf follow each other."""
+    held: list[dict] = []
+
+    def settle() -> pa.RecordBatch:
+        a, b = (np.concatenate([np.array(r[name], dtype=np.int64) for r in held]) for name in ("print_a", "print_b"))
+        tids, firsts = sum((r["tids"] for r in held), []), sum((r["firsts"] for r in held), [])
+        order = np.lexsort((b, a))
+        same = (a[order][1:] == a[order][:-1]) & (b[order][1:] == b[order][:-1])
+        hit = np.zeros(a.size, dtype=bool)
+        hit[order[1:][same]] = hit[order[:-1][same]] = True
+        rows = [{"tid": tids[k], "first": firsts[k], "count": 1} for k in np.flatnonzero(hit) if tids[k] is not None]
+        return pa.RecordBatch.from_pylist(rows, schema=pa.schema(_RUNS_SCHEMA))
+
+    for batch in batches:
+        for row in batch.to_pylist():
+            if held and (row["gram"], row["shelf"]) != (held[0]["gram"], held[0]["shelf"]):
+                yield settle()
+                held = []
+            held.append(row)
+    if held:
+        yield settle()
+
+
 def _bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The bytes of each wanted stretch of a text."""
     for batch in batches:
@@ -333,11 +364,10 @@ def repeated_runs(given: DataFrame, size: int = SIZE, gram: int = GRAM, group: i
     wanted = open_.groupBy("tid").agg(F.collect_list(F.struct("gram", "salt", "salts", "n", "tid", "first", "count", "bytes")).alias("wanted"))
     parts = int(given.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     strings = bodies.join(wanted, "tid").mapInArrow(_bodies, _BODY).repartition(parts, "gram", "salt").sortWithinPartitions("gram", "salt")
-    sorted_ = materialize(strings.mapInArrow(_sort(size), _SEEN), "sorted")
-    found = sorted_.filter("print_a IS NULL").select("tid", "first", "count")
-    asked = sorted_.filter("print_a IS NOT NULL")
-    twice = asked.groupBy("print_a", "print_b").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("print_a", "print_b")
-    across = asked.filter("count = 1").join(twice, ["print_a", "print_b"], "left_semi").select("tid", "first", "count")
+    sorted_ = materialize(strings.mapInArrow(_sort(size), f"{_RUNS}, {_LISTS}"), "sorted")
+    found = sorted_.filter("tid IS NOT NULL").select("tid", "first", "count")
+    listed = sorted_.filter("shelf IS NOT NULL").select("gram", "shelf", "print_a", "print_b", "tids", "firsts")
+    across = listed.repartition(parts, "gram", "shelf").sortWithinPartitions("gram", "shelf").mapInArrow(_meet, _RUNS)
     return settled.unionByName(found).unionByName(across), bodies
 
 
