@@ -38,7 +38,7 @@ from lodegate.llm.arrays import Texts, chunks, mix, powers, prefix_hash
 from lodegate.llm.context import materialize, prepare, texts
 
 SIZE = 400
-GRAM = 32
+GRAM = 128
 GROUP = 2048  # stretches of one gram that are sorted together
 SORT_BYTES = 1 << 20
 _BLOCK = 1 << 21
