@@ -14,7 +14,7 @@ overlap, min over max of counts, of at least the threshold, or by a class that a
 
 Defined cases: null, empty and blank texts have no shingle, are near nothing, and are classes of
 their own; equal multisets are one class without verification; an empty table gives an empty one;
-equal ids count as one document, which then belongs to each of its texts' classes.
+an id given with several texts has one row, with the smallest of their classes.
 """
 
 from __future__ import annotations
@@ -126,17 +126,26 @@ def _sign(words: int, bands: int, rows: int):
     return run
 
 
-def overlap(left: Texts, right: Texts, words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
-    """Sums of the smaller and of the larger counts for each pair of texts."""
+GROUPS = 8  # of shingles by hash, for bounds
+
+
+def overlap(left: Texts, right: Texts, words: int = WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sums of the smaller and of the larger counts for each pair of texts; the former by group too."""
     sides = []
     for part in (left, right):
         owner, key, count = bags(part, words)
         tagged = mix(key ^ mix(owner.astype(np.uint64)))
-        sides.append((tagged, owner, count, np.bincount(owner, weights=count, minlength=len(part))))
-    (a, owner, count_a, all_a), (b, _, count_b, all_b) = sides
+        group = owner * GROUPS + (key % np.uint64(GROUPS)).astype(np.int64)
+        sides.append((tagged, group, count, np.bincount(owner, weights=count, minlength=len(part))))
+    (a, group, count_a, all_a), (b, _, count_b, all_b) = sides
     _, at_a, at_b = np.intersect1d(a, b, assume_unique=True, return_indices=True)
-    common = np.bincount(owner[at_a], weights=np.minimum(count_a[at_a], count_b[at_b]), minlength=len(left))
-    return common, all_a + all_b - common
+    grouped = np.bincount(group[at_a], weights=np.minimum(count_a[at_a], count_b[at_b]), minlength=len(left) * GROUPS)
+    grouped = grouped.reshape(len(left), GROUPS)
+    common = grouped.sum(axis=1)
+    return common, all_a + all_b - common, grouped
+
+
+_SHARED = [f"shared_{k}" for k in range(GROUPS)]
 
 
 def _verify(words: int, threshold: float):
@@ -146,21 +155,35 @@ def _verify(words: int, threshold: float):
             for low, high, left in chunks(batch.column(2)):
                 part = right_offsets[low : high + 1]
                 right = Texts(right_data[part[0] : part[-1]], part - part[0])
-                common, joined = overlap(left, right, words)
-                near = pa.array((common >= threshold * joined - 1e-9) & (joined > 0))
+                common, joined, grouped = overlap(left, right, words)
+                near = (common >= threshold * joined - 1e-9) & (joined > 0)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0)[low:high].filter(near), batch.column(1)[low:high].filter(near)], ["a", "b"]
+                    [batch.column(0)[low:high], batch.column(1)[low:high], pa.array(near), *(pa.array(c.astype(np.int64)) for c in grouped.T)],
+                    ["a", "b", "near", *_SHARED],
                 )
 
     return run
 
 
-def _links(pairs: DataFrame, bodies: DataFrame, words: int, threshold: float) -> DataFrame:
-    """The pairs (a, b) whose multisets overlap enough."""
+def _overlaps(pairs: DataFrame, bodies: DataFrame, words: int, threshold: float) -> DataFrame:
+    """The pairs (a, b), whether their multisets overlap enough, and the overlap by groups of shingles."""
     left = bodies.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
     right = bodies.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
     both = pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
-    return materialize(both.mapInArrow(_verify(words, threshold), "a long, b long"), "links")
+    return materialize(both.mapInArrow(_verify(words, threshold), "a long, b long, near boolean, " + ", ".join(f"{c} long" for c in _SHARED)), "overlaps")
+
+
+def _alone(words: int):
+    """Each text's distinct shingles with their counts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for low, high, part in chunks(batch.column(1)):
+                owner, key, count = bags(part, words)
+                ids = batch.column(0)[low:high].take(pa.array(owner))
+                yield pa.RecordBatch.from_arrays([ids, pa.array(key.view(np.int64)), pa.array(count.astype(np.int64))], ["doc_id", "shingle", "n"])
+
+    return run
 
 
 def near_classes(
@@ -172,54 +195,91 @@ def near_classes(
     words: int = WORDS,
     bands: int = BANDS,
     rows: int = ROWS,
-    leads: int = 8,
+    leads: int = 512,
 ) -> DataFrame:
     """(doc_id, class_id): classes of documents linked by near-duplicates, named by the smallest id.
 
     Texts with equal multisets fold into one before banding, so groups of copies cost one row. In
-    each bucket all members first meet one of them, the lead. Buckets that still hold several
-    classes take more leads, four times as many each round, which meet only the members of other
-    classes; a bucket is done when it is one class or when all of its members have been leads. So
-    no candidate link is lost, and a bucket of copies costs rows in proportion to its size.
+    each bucket all members first meet one of them, the lead: the one whose buckets hold the most
+    members, as an original does among its edited copies. Buckets that still hold several classes
+    go on. Two members share at most what the one with less of it shares with the lead, in each of a
+    few groups of shingles, and of the rest what the one with less of it shares with any other such
+    text; pairs whose similarity is below the threshold even so are no links, without a look. The
+    lead itself has met all already. Of the others, members outside the
+    bucket's largest class are leads, more of them each round, and meet the members of other
+    classes, until a bucket is one class or has no member left to lead. So no candidate link is
+    lost, and a bucket of copies costs rows in proportion to its size.
     """
     prepare(docs.sparkSession)
     given = texts(docs, key, text).filter(F.col("doc_id").isNotNull())
     signed = materialize(given.mapInArrow(_sign(words, bands, rows), _SIGNATURES), "signatures")
     prints = ["n", "print_a", "print_b"]
-    firsts = materialize(signed.filter("n > 0").groupBy(*prints).agg(F.min("doc_id").alias("first")), "firsts")
-    copies = materialize(signed.filter("n > 0").select("doc_id", *prints).join(firsts, prints).select("doc_id", "first"), "copies")
-
-    # An id given twice with different texts may lead several groups; it is then in each of them.
-    banded = signed.join(firsts.select(*prints, F.col("first").alias("doc_id")), [*prints, "doc_id"], "left_semi")
-    placed = materialize(banded.select("doc_id", F.explode("bands").alias("bucket")).distinct(), "buckets")
-    shared = materialize(
-        placed.groupBy("bucket").agg(F.min("doc_id").alias("lead"), F.count(F.lit(1)).alias("size")).filter("size > 1"), "shared"
-    )
-    members = materialize(placed.join(shared, "bucket"), "members")
-    bodies = materialize(given.join(members.select("doc_id").distinct(), "doc_id", "left_semi"), "bodies")
+    # Equal multisets have equal bands, so the smallest row has the bands of all.
+    firsts = signed.filter("n > 0").groupBy(*prints).agg(F.min(F.struct("doc_id", "bands")).alias("first"))
+    firsts = materialize(firsts.select(*prints, "first.*"), "firsts")
+
+    placed = firsts.select("doc_id", "n", F.explode("bands").alias("bucket"))
+    shared = placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+    members = materialize(placed.join(materialize(shared, "shared"), "bucket"), "members")
+    central = members.groupBy("doc_id").agg(F.sum("size").alias("weight"))
+    members = materialize(members.join(central, "doc_id"), "weighed")
+    leading = members.groupBy("bucket").agg(F.max(F.struct("weight", (-F.col("doc_id")).alias("m"))).alias("lead"))
+    members = members.select("bucket", "doc_id", "n").join(leading.select("bucket", (-F.col("lead.m")).alias("lead")), "bucket")
+    members = materialize(members, "led")
+    bodies = materialize(given.join(materialize(central.select("doc_id"), "wanted"), "doc_id", "left_semi"), "bodies")
 
     pairs = members.filter("doc_id <> lead").select(F.col("lead").alias("a"), F.col("doc_id").alias("b")).distinct()
-    links = _links(pairs, bodies, words, threshold)
-    nodes = materialize(members.select(F.col("doc_id").alias("a"), F.col("doc_id").alias("b")).distinct(), "nodes")
-    open_, wanted = members.select("bucket", "doc_id", "size"), leads
-    while True:
-        classes = components(links.unionByName(nodes))
-        classed = materialize(open_.join(classes.withColumnRenamed("node", "doc_id"), "doc_id"), "classed")
-        mixed = classed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
-        classed = materialize(classed.join(materialize(mixed.select("bucket"), "mixed"), "bucket", "left_semi"), "open")
-        if classed.isEmpty():
-            break
-        chance = F.pmod(F.xxhash64("bucket", "doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-        leading = classed.filter(chance * F.col("size") < F.lit(float(wanted)))
-        leading = leading.select("bucket", F.col("doc_id").alias("a"), F.col("component").alias("of"))
-        met = classed.join(leading, "bucket").filter("doc_id <> a AND component <> of")
-        pairs = met.select(F.least("a", "doc_id").alias("a"), F.greatest("a", "doc_id").alias("b")).distinct()
-        links = materialize(links.unionByName(_links(pairs, bodies, words, threshold)), "links")
-        open_, wanted = classed.filter(F.col("size") > wanted).select("bucket", "doc_id", "size"), 4 * wanted
-
-    # Copies join the class of their first; where an id has several texts its classes are one.
-    grouped = components(links.unionByName(copies.select(F.col("first").alias("a"), F.col("doc_id").alias("b"))))
-    ids = given.select("doc_id").distinct()
-    return ids.join(grouped.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
-        "doc_id", F.coalesce("component", "doc_id").alias("class_id")
-    )
+    overlaps = _overlaps(pairs, bodies, words, threshold)
+    classes = components(overlaps.filter("near"))
+    open_ = _mixed(members, classes)
+    if not open_.isEmpty():
+        texts_ = bodies.join(open_.select("doc_id").distinct(), "doc_id", "left_semi").distinct()
+        held = texts_.mapInArrow(_alone(words), "doc_id long, shingle long, n long").groupBy("shingle")
+        held = held.agg(F.count(F.lit(1)).alias("texts"), F.min("doc_id").alias("doc_id"), F.min("n").alias("n")).filter("texts = 1")
+        own = held.groupBy("doc_id").agg(F.sum("n").alias("own"))
+        shared = overlaps.select(F.col("a").alias("lead"), F.col("b").alias("doc_id"), *_SHARED)
+        open_ = open_.join(own, "doc_id", "left").join(shared, ["lead", "doc_id"])
+        outer = F.greatest(F.col("n") - sum(F.col(c) for c in _SHARED) - F.coalesce("own", F.lit(0)), F.lit(0))
+        open_ = materialize(open_.select("bucket", "doc_id", "n", *_SHARED, outer.alias("outer"), "component"), "bounded")
+        wanted = leads
+        while True:
+            sizes = open_.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("k"))
+            top = sizes.groupBy("bucket").agg(F.max(F.struct("k", "component")).alias("top"), F.sum("k").alias("k"))
+            top = top.select("bucket", F.col("top.component").alias("top"), (F.col("k") - F.col("top.k")).alias("others"))
+            chance = F.pmod(F.xxhash64("bucket", "doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+            lead = open_.join(top, "bucket").filter((F.col("component") != F.col("top")) & (chance * F.col("others") < F.lit(float(wanted))))
+            lead = lead.select(
+                "bucket", F.col("doc_id").alias("a"), F.col("n").alias("n_a"), F.col("outer").alias("outer_a"),
+                F.col("component").alias("of"), *(F.col(c).alias(f"{c}_a") for c in _SHARED),
+            )
+            common = sum((F.least(c, f"{c}_a") for c in _SHARED), F.least("outer", "outer_a"))
+            near = (F.col("component") != F.col("of")) & (common + 1e-9 >= threshold * (F.col("n") + F.col("n_a") - common))
+            other = open_.select(F.col("bucket").alias("at"), "doc_id", "n", "outer", "component", *_SHARED)
+            met = lead.join(other, (F.col("bucket") == F.col("at")) & near)
+            met = met.select(F.least("a", "doc_id").alias("a"), F.greatest("a", "doc_id").alias("b")).distinct()
+            new = _overlaps(met, bodies, words, threshold).filter("near").select("a", "b")
+            if not new.isEmpty():
+                stars = classes.filter("node <> component").select(F.col("component").alias("a"), F.col("node").alias("b"))
+                classes = components(stars.unionByName(new))
+            left = open_.join(top.filter(F.col("others") > wanted).select("bucket"), "bucket", "left_semi")
+            left = left.drop("component")
+            if left.isEmpty():
+                break
+            open_, wanted = _mixed(left, classes), 16 * wanted
+            if open_.isEmpty():
+                break
+
+    # Copies have the class of their first; an id of several texts has the smallest of theirs.
+    named = firsts.select(*prints, F.col("doc_id").alias("node")).join(classes, "node", "left")
+    named = named.select(*prints, F.coalesce("component", "node").alias("class_id"))
+    found = signed.select("doc_id", *prints).join(named, prints, "left")
+    return found.groupBy("doc_id").agg(F.min(F.coalesce("class_id", "doc_id")).alias("class_id"))
+
+
+def _mixed(members: DataFrame, classes: DataFrame) -> DataFrame:
+    """Members of buckets that hold several classes, with their class."""
+    named = classes.select(F.col("node").alias("doc_id"), "component")
+    named = members.join(named, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+    named = materialize(named, "classed")
+    mixed = named.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
+    return materialize(named.join(mixed.select("bucket"), "bucket", "left_semi"), "mixed")

@@ -144,9 +144,10 @@ def test_components(spark, shape):
     for a, b in edges:
         x, y = find(a), find(b)
         parent[max(x, y)] = min(x, y)
-    found = components(spark.createDataFrame(edges, "a long, b long")).collect()
-    assert {r["node"]: r["component"] for r in found} == {x: find(x) for x in parent}
-    assert len(found) == len(parent)
+    for remainder in (10_000, 0):
+        found = components(spark.createDataFrame(edges, "a long, b long"), remainder).collect()
+        assert {r["node"]: r["component"] for r in found} == {x: find(x) for x in parent}
+        assert len(found) == len(parent)
 
 
 def _brute_repeats(rows: list[tuple], size: int) -> list[tuple]:
