@@ -1,4 +1,10 @@
-"""A corpus pipeline: quality rules, near-duplicates, benchmark leaks, personal data, packing."""
+"""A corpus pipeline: quality rules, near-duplicates, benchmark leaks, personal data, packing.
+
+Each stage takes what its predecessor kept, and all but the last return its columns. Rows that
+share a doc_id count as one document and stay or go together; rows without one count as one
+document too, which has no near-duplicates. Null texts are empty and don't pass the quality
+rules. Empty tables pass every stage as empty tables.
+"""
 
 from __future__ import annotations
 
@@ -18,20 +24,22 @@ from lodegate.session import scratch_path
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the weakly supervised rules keep."""
     prepare(spark)
-    return docs.join(judge(docs).filter("kept").select("doc_id").distinct(), "doc_id", "left_semi")
+    kept = materialize(judge(docs).filter("kept").select(F.col("doc_id").alias("kept_id")).distinct(), "kept")
+    return docs.join(kept, docs["doc_id"].eqNullSafe(F.col("kept_id")), "left_semi")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each class."""
     prepare(spark)
-    classes = near_classes(docs)
-    return docs.join(classes.filter("doc_id = class_id").select("doc_id"), "doc_id", "left_semi")
+    firsts = materialize(near_classes(docs).filter("doc_id = class_id").select("doc_id"), "firsts")
+    return docs.join(firsts, "doc_id", "left_semi").unionByName(docs.filter("doc_id IS NULL"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item, nor an edited copy of one."""
     leaks = find_leaks(docs, table(prepare(spark), sf_dir, "benchmark"))
-    return docs.join(materialize(leaks.select("doc_id").distinct(), "leaking"), "doc_id", "left_anti")
+    leaking = materialize(leaks.select(F.col("doc_id").alias("leaking_id")).distinct(), "leaking")
+    return docs.join(leaking, docs["doc_id"].eqNullSafe(F.col("leaking_id")), "left_anti")
 
 
 def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
