@@ -50,8 +50,12 @@ def freshness_decision(
     )
 
 
-def reason_counts(decided: DataFrame, by: list[str]) -> DataFrame:
-    return decided.groupBy(*by, "reason").agg(F.count(F.lit(1)).alias("records"))
+def reason_counts(decided: DataFrame, by: list[str], failures: DataFrame | None = None) -> DataFrame:
+    """Rows by reason; each row of ``failures``, a document that could not be read, counts as a source failure."""
+    reasons = decided.select(*by, "reason")
+    if failures is not None:
+        reasons = reasons.unionByName(failures.select(*by, F.lit("source_failure").alias("reason")))
+    return reasons.groupBy(*by, "reason").agg(F.count(F.lit(1)).alias("records"))
 
 
 def gate_summary(decided: DataFrame, by: str) -> DataFrame:
@@ -69,9 +73,9 @@ def gate_summary(decided: DataFrame, by: str) -> DataFrame:
     )
 
 
-def reason_map(decided: DataFrame, by: str) -> DataFrame:
+def reason_map(decided: DataFrame, by: str, failures: DataFrame | None = None) -> DataFrame:
     """One map of reason to count per source."""
-    counts = reason_counts(decided, [by])
+    counts = reason_counts(decided, [by], failures)
     entries = F.collect_list(F.struct("reason", "records"))
     return counts.groupBy(by).agg(F.map_from_entries(F.array_sort(entries)).alias("reasons"))
 

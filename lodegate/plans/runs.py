@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from lodegate.functions import identity
 from lodegate.operators import ingest
 from lodegate.operators.enrichment import read_articles
+from lodegate.operators.freshness import reason_map
 from lodegate.plans.documents import (
     FEEDS,
     _FEED_ITEMS_SQL,
@@ -20,7 +21,7 @@ from lodegate.plans.identities import CANONICAL_SQL, canonical_urls
 from lodegate.plans.records import _SHOWN
 from lodegate.plans.registry import derive, plain, query, table
 from lodegate.scale import first_per_key
-from lodegate.sources import archive, directories
+from lodegate.sources import archive, directories, feeds
 
 
 def _noon() -> Column:
@@ -78,6 +79,18 @@ def news_decisions(spark: SparkSession, folder: str) -> DataFrame:
     return decided.select(F.col("position").alias("o_orderkey"), "item_position", "decision.reason", "claimed")
 
 
+@query(f"""WITH {_GATED.format(key='item_position')}, counted AS (
+  SELECT reason, count(*) AS n FROM gated GROUP BY reason UNION ALL SELECT 'source_failure', count(*) FROM orders WHERE o_orderkey % 100 = 99)
+SELECT 'shop_feed' AS source_id, string_agg(reason || '=' || n, ',' ORDER BY reason) AS reasons FROM counted WHERE n > 0""")
+def feed_reason_map(spark: SparkSession, folder: str) -> DataFrame:
+    """Reasons of all feed items, with the feeds that are no XML as source failures."""
+    fed = _feeds(spark, folder)
+    decided = ingest.decide_feed(fed, "news", _noon()).select("source_id", "decision.reason")
+    counted = reason_map(decided, "source_id", feeds.malformed_feeds(fed, "body"))
+    shown = F.transform(F.map_entries("reasons"), lambda e: F.concat_ws("=", e["key"], e["value"].cast("string")))
+    return counted.select("source_id", F.array_join(shown, ",").alias("reasons"))
+
+
 @query(f"""WITH {_GATED.format(key='item_position')}
 SELECT sha256('shop_feed' || chr(31) || canonical_url) AS record_id, title, 'AI' AS category,
   (epoch_us(TIMESTAMP '2024-01-05 12:00:00') - epoch_us(published_at)) / 1000000.0::DOUBLE / 3600.0::DOUBLE AS age_hours, '' AS problems FROM claims WHERE claimed""")

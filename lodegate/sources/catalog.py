@@ -31,6 +31,8 @@ JOB_FEEDS = {
         "We Work Remotely Programming Jobs", "https://weworkremotely.com/categories/remote-programming-jobs.rss"
     ),
     "ai_jobs": ("AI Jobs", "https://ai-jobs.net/rss/"),
+    "greenhouse_ai": ("Greenhouse AI Jobs", "https://job-boards.greenhouse.io/rss"),
+    "lever_ai": ("Lever AI Jobs", "https://jobs.lever.co/rss"),
 }
 
 
