@@ -1,9 +1,9 @@
-"""Benchmark items inside training texts: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark items inside training texts: n-gram seeds, then Smith-Waterman alignment.
 
-Words are runs of letters and digits, lower-cased. An item's seeds are its three-word grams: of
-every two that follow each other, the one in fewer documents of the corpus, counted over all of
-it. A text position that holds a seed proposes the item around it; proposals of one item that
-overlap are one passage. The local alignment of the item with the passage gains 1 for an equal
+Words are runs of letters and digits, lower-cased. An item's seeds are all its three-word grams
+that some document of the corpus holds, counted over all of it; the other grams can't be met. A
+text position that holds a seed proposes the item around it; proposals of one item that overlap
+are one passage. The local alignment of the item with the passage gains 1 for an equal
 word and loses 1 for a changed, missing or added one; the score is its gain over the item's words.
 A short item needs a gain of 8, or all its words, beside the score, as two common words prove nothing.
 Items are taken in blocks of bounded size against all texts, so either side may grow.
@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from lodegate.llm.arrays import Texts, chunks, list_array
 from lodegate.llm.context import materialize, prepare, texts
 
-GRAM, PAIR = 3, 2
+GRAM = 3
 THRESHOLD, LEAST_GAIN = 0.4, 8
 BLOCK_WORDS = 400_000
 _INSIDE = np.zeros(256, dtype=bool)
@@ -125,48 +125,69 @@ def _search(shared, threshold: float):
         many = np.diff(np.append(first, seeds.size))
         for batch in batches:
             for low, high, part in chunks(batch.column(1), _INSIDE):
-                found = list(_passages(part, known, order, first, many, seed_items, seed_places, sizes))
-                owner, item, start, stop = (np.concatenate(x) if found else np.zeros(0, np.int64) for x in (zip(*found) if found else [()] * 4))
-                gain = _score(part, owner, item, start, stop, words, bounds)
-                score = gain / np.maximum(sizes[item], 1)
-                near = (score >= threshold - 1e-12) & (gain >= np.minimum(LEAST_GAIN, sizes[item]))
-                keys = batch.column(0)[low:high].take(pa.array(owner[near]))
-                yield pa.RecordBatch.from_arrays(
-                    [keys, pa.array(ids[item[near]]), pa.array(score[near]), pa.array(start[near]), pa.array(stop[near])],
-                    ["doc_id", "item_id", "score", "start", "stop"],
-                )
+                for owner, item, start, stop in _passages(part, known, order, first, many, seed_items, seed_places, sizes):
+                    gain = _score(part, owner, item, start, stop, words, bounds)
+                    score = gain / np.maximum(sizes[item], 1)
+                    near = (score >= threshold - 1e-12) & (gain >= np.minimum(LEAST_GAIN, sizes[item]))
+                    keys = batch.column(0)[low:high].take(pa.array(owner[near]))
+                    yield pa.RecordBatch.from_arrays(
+                        [keys, pa.array(ids[item[near]]), pa.array(score[near]), pa.array(start[near]), pa.array(stop[near])],
+                        ["doc_id", "item_id", "score", "start", "stop"],
+                    )
 
     return run
 
 
-def _passages(part, known, order, first, many, seed_items, seed_places, sizes):
-    """(text, item, first word, word behind) of each passage that holds seeds of the item."""
-    grams, bounds = _grams(part)
-    hit, member = known.find(grams)
-    if not hit.size:
-        return
-    copies = many[member]
-    which = np.repeat(first[member], copies) + np.arange(copies.sum()) - np.repeat(np.cumsum(copies) - copies, copies)
-    seed = order[which]
-    hit = np.repeat(hit, copies)
-    owner = np.searchsorted(bounds, hit, "right") - 1
-    item = seed_items[seed]
-    counts = np.diff(part.word_offsets)
-    begin = hit - bounds[owner] - seed_places[seed]
-    slack = sizes[item] // 4 + 4
-    low = np.maximum(begin - slack, 0)
-    high = np.minimum(begin + sizes[item] + slack, counts[owner])
+def _merge(owner, item, low, high):
+    """Passages of one text and item that overlap as one; passages that were merged may be merged again."""
     sort = np.lexsort((low, item, owner))
     owner, item, low, high = owner[sort], item[sort], low[sort], high[sort]
     group = np.ones(owner.size, dtype=bool)
     group[1:] = (owner[1:] != owner[:-1]) | (item[1:] != item[:-1])
-    # Ends grow along a group: its passages all have the item's length but at the text's ends.
+    # The furthest end so far within a group.
     number = np.cumsum(group)
     top = np.maximum.accumulate(high + number * np.int64(1 << 40)) - number * np.int64(1 << 40)
     new = group.copy()
     new[1:] |= low[1:] >= top[:-1]
     at = np.flatnonzero(new)
-    yield owner[at], item[at], low[at], np.maximum.reduceat(top, at)
+    return owner[at], item[at], low[at], np.maximum.reduceat(top, at)
+
+
+_PROPOSALS = 1 << 19
+
+
+def _passages(part, known, order, first, many, seed_items, seed_places, sizes):
+    """(text, item, first word, word behind) of each passage that holds seeds of the item.
+
+    A bounded number of proposals at once; what the last text has so far is merged with its next.
+    """
+    grams, bounds = _grams(part)
+    hits, members = known.find(grams)
+    total = np.cumsum(many[members])
+    counts = np.diff(part.word_offsets)
+    held = None
+    at = 0
+    while at < hits.size:
+        done = total[at - 1] if at else 0
+        until = max(at + 1, int(np.searchsorted(total, done + _PROPOSALS, "right")))
+        hit, member = hits[at:until], members[at:until]
+        copies = many[member]
+        which = np.repeat(first[member], copies) + np.arange(copies.sum()) - np.repeat(np.cumsum(copies) - copies, copies)
+        seed = order[which]
+        hit = np.repeat(hit, copies)
+        owner = np.searchsorted(bounds, hit, "right") - 1
+        item = seed_items[seed]
+        begin = hit - bounds[owner] - seed_places[seed]
+        slack = sizes[item] // 4 + 4
+        low = np.maximum(begin - slack, 0)
+        high = np.minimum(begin + sizes[item] + slack, counts[owner])
+        found = _merge(owner, item, low, high)
+        if held is not None:
+            found = _merge(*(np.concatenate(x) for x in zip(held, found)))
+        at = until
+        last = found[0] == found[0][-1] if at < hits.size else np.zeros(found[0].size, dtype=bool)
+        held = tuple(x[last] for x in found)
+        yield tuple(x[~last] for x in found)
 
 
 def _score(part, owner, item, start, stop, words, bounds) -> np.ndarray:
@@ -202,16 +223,10 @@ def _flat(rows: list, name: str) -> tuple[np.ndarray, np.ndarray]:
     return values.view(np.uint64), bounds
 
 
-def _rare(grams: np.ndarray, bounds: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places of the seeds in ``grams`` and the item of each: the rarest of every PAIR in a row."""
-    item = np.repeat(np.arange(bounds.size - 1), np.diff(bounds))
-    place = np.arange(grams.size) - bounds[item]
-    order = np.lexsort((place, counts, place // PAIR, item))
-    key = item[order] * np.int64(1 << 32) + place[order] // PAIR
-    new = np.ones(order.size, dtype=bool)
-    new[1:] = key[1:] != key[:-1]
-    chosen = order[new]
-    return chosen, item[chosen]
+def _seeds(bounds: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which grams are seeds, and the item of each: all that a text of the corpus holds."""
+    chosen = np.flatnonzero(counts)
+    return chosen, np.searchsorted(bounds, chosen, "right") - 1
 
 
 def find_leaks(
@@ -245,7 +260,7 @@ def find_leaks(
         counted = given.mapInArrow(_count(shared), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).collect()
         seen = {row["gram"]: row["n"] for row in counted}
         counts = np.array([seen.get(gram, 0) for gram in grams.view(np.int64).tolist()], dtype=np.int64)
-        chosen, owners = _rare(grams, gram_bounds, counts)
+        chosen, owners = _seeds(gram_bounds, counts)
         places = chosen - gram_bounds[owners]
         shared = spark.sparkContext.broadcast((ids, words, word_bounds, grams[chosen], owners, places))
         part = given.mapInArrow(_search(shared, threshold), "doc_id long, item_id long, score double, start long, stop long")

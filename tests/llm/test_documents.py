@@ -9,10 +9,13 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
+from lodegate.llm import leaks
+from lodegate.llm.arrays import chunks
 from lodegate.llm.bagminhash import near_classes, signatures
 from lodegate.llm.components import components
 from lodegate.llm.leaks import align, find_leaks
@@ -266,6 +269,40 @@ def test_leaks(spark, documents, odd, nothing):
     assert [(r["doc_id"], r["item_id"]) for r in find_leaks(odd, short).collect()] == [(4, 4)]
 
 
+@pytest.mark.parametrize("copy", [False, True])
+def test_leaks_with_every_fourth_word_changed(spark, copy):
+    sizes = {16: 7, 31: 14, 59: 28}
+    items = [(n, " ".join(f"w{n}x{k}" for k in range(n))) for n in sizes]
+    rows = [(100 * n, text) for n, text in items if copy]
+    for n, text in items:
+        for shift in range(4):
+            edited = ["changed" if k % 4 == shift else word for k, word in enumerate(text.split())]
+            rows.append((100 * n + shift + 1, " ".join(["before"] * 90 + edited + ["behind"] * 90)))
+    found = find_leaks(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in found} == {(key, key // 100) for key, _ in rows}
+    assert all(r["score"] * r["item_id"] >= sizes[r["item_id"]] - 1e-9 for r in found)
+
+
+def test_leaks_of_one_text_with_very_many_seeds(spark, monkeypatch):
+    texts_ = pa.array(["a b c d e " * 40 + "x " * 30 + "a b c d e", "a b c", "q"])
+    words = [f"a b c d e {k}" for k in range(6)]
+    hashed = pa.Table.from_batches(list(leaks._hash_items(iter([pa.RecordBatch.from_arrays([pa.array(range(6)), pa.array(words)], ["k", "t"])])))).to_pylist()
+    grams, bounds = leaks._flat(hashed, "grams")
+    sizes, owner = np.full(6, 6), np.repeat(np.arange(6), np.diff(bounds))
+    known, order = leaks._Set(grams), np.argsort(grams, kind="stable")
+    first = np.searchsorted(grams[order], known.hashes)
+    many = np.diff(np.append(first, grams.size))
+    part = next(chunks(texts_, leaks._INSIDE))[2]
+
+    def passages():
+        steps = leaks._passages(part, known, order, first, many, owner, np.arange(grams.size) - bounds[owner], sizes)
+        return sorted(row for step in steps for row in zip(*(x.tolist() for x in step)))
+
+    whole = passages()
+    monkeypatch.setattr(leaks, "_PROPOSALS", 7)
+    assert passages() == whole and len(whole) == 18
+
+
 def test_toxicity_held_out(spark):
     folder = "/root/testdata/sf0.01"
     documents, labels = (spark.read.parquet(f"{folder}/{name}.parquet") for name in ("documents", "labels"))
