@@ -10,9 +10,9 @@ the pieces are put together again. A record that stays short of its length is an
 Assembly joins request, metadata and response records by their concurrent-to identifiers and
 revisits to the responses they refer to, into one nested row per capture.
 
-Defined cases: a null payload is empty; a null id or address has no field; equal rows are captures
-of their own only if their ids differ (the record ids derive from it); payloads below
-``min_bytes`` are never revisits; a capture without a request or metadata has null there; an
+Defined cases: a null payload is empty; a null id or address has no field; every row is a capture
+of its own, also where page ids repeat or are null and where rows are equal throughout; rows
+without an id and payloads below ``min_bytes`` are never revisits; a capture without a request or metadata has null there; an
 archive folder without records gives no rows.
 """
 
@@ -34,14 +34,30 @@ _DATE = "2024-01-01T00:00:00Z"
 _HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "
 
 
-def _record_id(kind: str, page: str = "page_id") -> Column:
-    """A name-based UUID of a page and the kind of record."""
-    h = F.md5(F.concat(F.lit(f"{kind}:"), F.coalesce(F.col(page).cast("string"), F.lit(""))).cast("binary"))
+def _name() -> Column:
+    """A digest of a row's page id, address and payload digest, null told from empty."""
+    url = F.coalesce(F.concat(F.lit("1"), F.col("url")), F.lit("0"))
+    page = F.coalesce(F.col("page_id").cast("string"), F.lit(""))
+    return F.sha2(F.concat_ws("|", page, F.sha2(F.col("html").cast("binary"), 256), url).cast("binary"), 256)
+
+
+def _record_id(kind: str, name: str = "name", number: Column | None = None) -> Column:
+    """A name-based UUID of a row, its number among equal rows and the kind of record."""
+    number = F.lit("0") if number is None else number.cast("string")
+    h = F.md5(F.concat(F.lit(f"{kind}:"), F.col(name), F.lit(":"), number).cast("binary"))
     cuts = [(1, 8), (9, 4), (14, 3), (18, 3), (21, 12)]
     a, b, c, d, e = (F.substring(h, at, size) for at, size in cuts)
     return F.concat(F.lit("<urn:uuid:"), a, F.lit("-"), b, F.lit("-3"), c, F.lit("-8"), d, F.lit("-"), e, F.lit(">"))
 
 
+def _numbered(given: DataFrame, repeats: DataFrame) -> DataFrame:
+    """The rows that occur more than once, each with a number that is fixed by a table; one of equal rows has 0."""
+    rows = given.join(repeats, "name", "left_semi").withColumn("number", F.monotonically_increasing_id() + 1)
+    rows = materialize(rows, "repeated")
+    leads = materialize(rows.groupBy("name").agg(F.min("number").alias("number")).select("number", F.lit(True).alias("lead")), "leads")
+    return rows.join(leads, "number", "left").withColumn("number", F.when(F.col("lead"), 0).otherwise(F.col("number"))).drop("lead")
+
+
 def _record(kind: str | Column, fields: list[tuple[str, Column]], block: Column) -> Column:
     head = [F.lit(f"{VERSION}\r\nWARC-Type: "), F.lit(kind) if isinstance(kind, str) else kind, F.lit(f"\r\nWARC-Date: {_DATE}\r\n")]
     lines = [F.coalesce(F.concat(F.lit(f"{name}: "), value, F.lit("\r\n")), F.lit("")) for name, value in fields]
@@ -57,24 +73,30 @@ def _plain(value: Column) -> Column:
 def capture_records(pages: DataFrame, *, page: str = "page_id", url: str = "url", html: str = "html", min_bytes: int = MIN_BYTES) -> DataFrame:
     """The text of three records per page; equal payloads are revisits of the smallest page's.
 
-    Copies are found on digests alone, so payloads are not shuffled.
+    Copies are found on digests alone; rows that repeat as a whole are numbered in a table of their own.
     """
     given = pages.select(
         F.col(f"`{page}`").cast("long").alias("page_id"), F.col(f"`{url}`").cast("string").alias("url"),
         F.coalesce(F.col(f"`{html}`").cast("string"), F.lit("")).alias("html"),
     )
-    digests = given.select("page_id", F.sha2(F.col("html").cast("binary"), 256).alias("digest"), F.octet_length("html").alias("size"))
-    large = materialize(digests.filter(F.col("size") >= min_bytes), "digests")
-    firsts = materialize(
-        large.groupBy("digest").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"), "firsts"
-    )
-    copies = large.join(firsts, "digest").filter("page_id <> first").select("page_id", "first").distinct()
-    joined = given.join(materialize(copies, "copies"), "page_id", "left")
+    given = given.withColumn("name", _name())
+    digests = given.select("page_id", "name", F.sha2(F.col("html").cast("binary"), 256).alias("digest"), F.octet_length("html").alias("size"))
+    digests = materialize(digests, "digests")
+    repeats = materialize(digests.groupBy("name").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("name"), "repeats")
+    large = digests.filter(F.col("size") >= min_bytes).filter("page_id IS NOT NULL")
+    firsts = large.groupBy("digest").agg(F.min(F.struct("page_id", "name")).alias("first"), F.max("page_id").alias("last"))
+    firsts = materialize(firsts.filter("first.page_id < last").select("digest", F.col("first.page_id").alias("page"), F.col("first.name").alias("first")), "firsts")
+    copies = large.join(firsts, "digest").filter("page_id <> page").select("name", "first").distinct()
+    if repeats.isEmpty():
+        rows = given.withColumn("number", F.lit(0).cast("long"))
+    else:
+        rows = given.join(repeats, "name", "left_anti").withColumn("number", F.lit(0).cast("long")).unionByName(_numbered(given, repeats))
+    joined = rows.join(materialize(copies, "copies"), "name", "left")
     revisit = F.col("first").isNotNull()
     digest = F.concat(F.lit("sha256:"), F.sha2(F.col("html").cast("binary"), 256))
     size = F.octet_length("html").cast("string")
     body = F.concat(F.lit(_HTTP), size, F.lit("\r\n\r\n"), F.when(revisit, F.lit("")).otherwise(F.col("html")))
-    response_id = _record_id("response")
+    response_id, request_id, metadata_id = (_record_id(kind, number=F.col("number")) for kind in ("response", "request", "metadata"))
     host = F.regexp_extract(F.coalesce("url", F.lit("")), r"^[a-z]+://([^/\s]+)", 1)
     target = ("WARC-Target-URI", _plain(F.col("url")))
     capture = _record(
@@ -89,12 +111,12 @@ def capture_records(pages: DataFrame, *, page: str = "page_id", url: str = "url"
     )
     request = _record(
         "request",
-        [("WARC-Record-ID", _record_id("request")), ("WARC-Concurrent-To", response_id), target, ("Content-Type", F.lit("application/http; msgtype=request"))],
+        [("WARC-Record-ID", request_id), ("WARC-Concurrent-To", response_id), target, ("Content-Type", F.lit("application/http; msgtype=request"))],
         F.concat(F.lit("GET "), F.coalesce(_plain(F.col("url")), F.lit("/")), F.lit(" HTTP/1.1\r\nHost: "), host, F.lit("\r\n\r\n")),
     )
     metadata = _record(
         "metadata",
-        [("WARC-Record-ID", _record_id("metadata")), ("WARC-Concurrent-To", response_id), target, ("Content-Type", F.lit("application/warc-fields"))],
+        [("WARC-Record-ID", metadata_id), ("WARC-Concurrent-To", response_id), target, ("Content-Type", F.lit("application/warc-fields"))],
         F.concat(F.coalesce(F.concat(F.lit("page-id: "), F.col("page_id").cast("string"), F.lit("\r\n")), F.lit("")), F.lit("payload-bytes: "), size, F.lit("\r\n")),
     )
     return joined.select(F.explode(F.array(request, capture, metadata)).alias("value"))

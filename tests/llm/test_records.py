@@ -118,6 +118,26 @@ def test_archives_round_trip(spark, tmp_path):
     assert all(r["payload"].decode() == given_[int(re.search(r"page-id: (\d+)", r["metadata"]["text"])[1])] for r in nested if r["record_type"] == "response")
 
 
+def test_archives_of_repeated_and_null_page_ids(spark, tmp_path):
+    big, other = "<p>payload</p>" * 20, "<p>another</p>" * 20
+    rows = [(None, "u", big)] * 3 + [(None, None, big), (None, "", big), (None, "u", None), (None, "u", ""), (1, "v", "only")]
+    rows += [(2, "u", big), (2, "u", big), (2, "w", big), (2, "u", other), (3, "u", other), (3, "u", other), (3, "u", big), (4, "u", "short"), (4, "u", "short")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+    path = str(tmp_path / "archives")
+    write_archives(capture_records(pages), path)
+    nested = captures(read_records(spark, path)).collect()
+    ids = [r[kind]["record_id"] if kind else r["record_id"] for r in nested for kind in ("", "request", "metadata")]
+    assert len(nested) == len(rows) and len(set(ids)) == 3 * len(rows)
+    expected = []
+    for key, _, html in rows:
+        html = html or ""
+        first = min((k for k, _, h in rows if h == html and k is not None), default=None)
+        again = len(html) >= 100 and key is not None and key != first
+        expected.append((key, len(html), hashlib.sha256(html.encode()).hexdigest(), *(("revisit", first) if again else ("response", None))))
+    found = resolved(captures(read_records(spark, path))).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to").collect()
+    assert sorted(map(str, map(tuple, found))) == sorted(map(str, expected))
+
+
 def test_archives_are_plain_warc(spark, tmp_path):
     path = tmp_path / "archives"
     write_archives(capture_records(_pages(spark).coalesce(1)), str(path))
