@@ -5,10 +5,14 @@ that some document of the corpus holds, counted over all of it; the other grams
 text position that holds a seed proposes the item around it; proposals of one item that overlap
 are one passage. The local alignment of the item with the passage gains 1 for an equal
 word and loses 1 for a changed, missing or added one; the score is its gain over the item's words.
-A short item needs a gain of 8, or all its words, beside the score, as two common words prove nothing.
+A short item needs a gain of 8, or all its words, beside the score, as two common words prove nothing;
+where the passage holds a gram that few texts have, a gain of 6 is enough, or from 6 words on all but 2.
 Items are taken in blocks of bounded size against all texts, so either side may grow.
 
-Defined cases: null and empty texts and items match nothing, and so do items under three words;
+Each character of a script without spaces is a word.
+
+Defined cases: null and empty texts and items match nothing; an item under three words only matches
+a text that has the same words and no other;
 equal texts each have their rows; an item of an id given twice is two items with that id, and the
 best score counts; an empty table on either side gives an empty one.
 """
@@ -19,33 +23,34 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, functions as F
 
 from lodegate.llm.arrays import Texts, chunks, list_array
 from lodegate.llm.context import materialize, prepare, texts
 
 GRAM = 3
 THRESHOLD, LEAST_GAIN = 0.4, 8
+# With a gram that at most so many texts hold, or such a share of them, the least gain is smaller.
+RARE_GAIN, RARE_EDITED, RARE_TEXTS, RARE_SHARE = 6, 6, 10, 0.01
+_UNSPACED = "[" + "".join(rf"\p{{{name}}}" for name in ("Han", "Hiragana", "Katakana", "Thai", "Lao", "Khmer", "Myanmar")) + "]"
 BLOCK_WORDS = 400_000
 _INSIDE = np.zeros(256, dtype=bool)
 _INSIDE[[*range(48, 58), *range(97, 123), *range(128, 256)]] = True
 
 
-def _grams(part: Texts) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all whole grams and where each text's begin."""
-    hashes, bounds = part.shingles(GRAM)
-    counts = np.diff(part.word_offsets)
-    if not ((counts > 0) & (counts < GRAM)).any():
-        return hashes, bounds
-    keep = np.repeat(counts >= GRAM, np.diff(bounds))
-    many = np.where(counts >= GRAM, counts - GRAM + 1, 0)
-    return hashes[keep], np.concatenate([[0], np.cumsum(many)])
+def _spaced(given: pa.Array) -> pa.Array:
+    """The texts with each character of a script without spaces between two of them."""
+    some = pc.match_substring_regex(given, _UNSPACED)
+    if not pc.any(some).as_py():
+        return given
+    return pc.if_else(some, pc.replace_substring_regex(given, f"({_UNSPACED})", r" \1 "), given)
 
 
 def _hash_items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for low, high, part in chunks(batch.column(1), _INSIDE):
-            grams, bounds = _grams(part)
+        for low, high, part in chunks(_spaced(batch.column(1)), _INSIDE):
+            grams, bounds = part.shingles(GRAM)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0)[low:high],
@@ -76,18 +81,20 @@ class _Set:
 
 def _count(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """In how many texts each gram occurs, summed over the task: as many rows as grams at most."""
+        """In how many texts each gram occurs, and with a null gram all texts, summed over the task: a row a gram at most."""
         known = _Set(shared.value)
         counts = np.zeros(known.hashes.size, dtype=np.int64)
+        rows = 0
         for batch in batches:
-            for _, _, part in chunks(batch.column(1), _INSIDE):
-                grams, bounds = _grams(part)
+            rows += batch.num_rows
+            for _, _, part in chunks(_spaced(batch.column(1)), _INSIDE):
+                grams, bounds = part.shingles(GRAM)
                 hit, member = known.find(grams)
                 owner = np.searchsorted(bounds, hit, "right") - 1
                 both = np.unique(owner * np.int64(known.hashes.size) + member)
                 counts += np.bincount(both % known.hashes.size, minlength=known.hashes.size)
         seen = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(known.hashes[seen].view(np.int64)), pa.array(counts[seen])], ["gram", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array([*known.hashes[seen].view(np.int64).tolist(), None], pa.int64()), pa.array([*counts[seen].tolist(), rows], pa.int64())], ["gram", "n"])
 
     return run
 
@@ -117,18 +124,20 @@ _CELLS = 1 << 21
 
 def _search(shared, threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, words, bounds, seeds, seed_items, seed_places = shared.value
+        ids, words, bounds, seeds, seed_items, seed_places, seed_rare = shared.value
         sizes = np.diff(bounds)
+        least = np.minimum(LEAST_GAIN, sizes)
+        least_rare = np.where(sizes < RARE_EDITED, least, np.minimum(RARE_GAIN, sizes - 2))
         known = _Set(seeds)
         order = np.argsort(seeds, kind="stable")
         first = np.searchsorted(seeds[order], known.hashes)
         many = np.diff(np.append(first, seeds.size))
         for batch in batches:
-            for low, high, part in chunks(batch.column(1), _INSIDE):
-                for owner, item, start, stop in _passages(part, known, order, first, many, seed_items, seed_places, sizes):
+            for low, high, part in chunks(_spaced(batch.column(1)), _INSIDE):
+                for owner, item, start, stop, rare in _passages(part, known, order, first, many, seed_items, seed_places, seed_rare, sizes):
                     gain = _score(part, owner, item, start, stop, words, bounds)
                     score = gain / np.maximum(sizes[item], 1)
-                    near = (score >= threshold - 1e-12) & (gain >= np.minimum(LEAST_GAIN, sizes[item]))
+                    near = (score >= threshold - 1e-12) & (gain >= np.where(rare, least_rare[item], least[item]))
                     keys = batch.column(0)[low:high].take(pa.array(owner[near]))
                     yield pa.RecordBatch.from_arrays(
                         [keys, pa.array(ids[item[near]]), pa.array(score[near]), pa.array(start[near]), pa.array(stop[near])],
@@ -138,10 +147,10 @@ def _search(shared, threshold: float):
     return run
 
 
-def _merge(owner, item, low, high):
+def _merge(owner, item, low, high, rare):
     """Passages of one text and item that overlap as one; passages that were merged may be merged again."""
     sort = np.lexsort((low, item, owner))
-    owner, item, low, high = owner[sort], item[sort], low[sort], high[sort]
+    owner, item, low, high, rare = owner[sort], item[sort], low[sort], high[sort], rare[sort]
     group = np.ones(owner.size, dtype=bool)
     group[1:] = (owner[1:] != owner[:-1]) | (item[1:] != item[:-1])
     # The furthest end so far within a group.
@@ -150,18 +159,18 @@ def _merge(owner, item, low, high):
     new = group.copy()
     new[1:] |= low[1:] >= top[:-1]
     at = np.flatnonzero(new)
-    return owner[at], item[at], low[at], np.maximum.reduceat(top, at)
+    return owner[at], item[at], low[at], np.maximum.reduceat(top, at), np.logical_or.reduceat(rare, at)
 
 
 _PROPOSALS = 1 << 19
 
 
-def _passages(part, known, order, first, many, seed_items, seed_places, sizes):
-    """(text, item, first word, word behind) of each passage that holds seeds of the item.
+def _passages(part, known, order, first, many, seed_items, seed_places, seed_rare, sizes):
+    """(text, item, first word, word behind, holds a rare seed) of each passage that holds seeds of the item.
 
     A bounded number of proposals at once; what the last text has so far is merged with its next.
     """
-    grams, bounds = _grams(part)
+    grams, bounds = part.shingles(GRAM)
     hits, members = known.find(grams)
     total = np.cumsum(many[members])
     counts = np.diff(part.word_offsets)
@@ -181,7 +190,7 @@ def _passages(part, known, order, first, many, seed_items, seed_places, sizes):
         slack = sizes[item] // 4 + 4
         low = np.maximum(begin - slack, 0)
         high = np.minimum(begin + sizes[item] + slack, counts[owner])
-        found = _merge(owner, item, low, high)
+        found = _merge(owner, item, low, high, seed_rare[seed])
         if held is not None:
             found = _merge(*(np.concatenate(x) for x in zip(held, found)))
         at = until
@@ -260,9 +269,10 @@ def find_leaks(
         counted = given.mapInArrow(_count(shared), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).collect()
         seen = {row["gram"]: row["n"] for row in counted}
         counts = np.array([seen.get(gram, 0) for gram in grams.view(np.int64).tolist()], dtype=np.int64)
+        rare = counts <= max(RARE_TEXTS, RARE_SHARE * seen[None]) if seen else counts < 0
         chosen, owners = _seeds(gram_bounds, counts)
         places = chosen - gram_bounds[owners]
-        shared = spark.sparkContext.broadcast((ids, words, word_bounds, grams[chosen], owners, places))
+        shared = spark.sparkContext.broadcast((ids, words, word_bounds, grams[chosen], owners, places, rare[chosen]))
         part = given.mapInArrow(_search(shared, threshold), "doc_id long, item_id long, score double, start long, stop long")
         found = part if found is None else found.unionByName(part)
     if found is None:

@@ -295,7 +295,7 @@ def test_leaks_of_one_text_with_very_many_seeds(spark, monkeypatch):
     part = next(chunks(texts_, leaks._INSIDE))[2]
 
     def passages():
-        steps = leaks._passages(part, known, order, first, many, owner, np.arange(grams.size) - bounds[owner], sizes)
+        steps = leaks._passages(part, known, order, first, many, owner, np.arange(grams.size) - bounds[owner], owner == 2, sizes)
         return sorted(row for step in steps for row in zip(*(x.tolist() for x in step)))
 
     whole = passages()
@@ -303,6 +303,26 @@ def test_leaks_of_one_text_with_very_many_seeds(spark, monkeypatch):
     assert passages() == whole and len(whole) == 18
 
 
+def test_leaks_of_short_items(spark):
+    names = {n: [f"n{n}w{k}" for k in range(n)] for n in range(6, 18)}
+    rows, expected = [], set()
+    for n, words in names.items():
+        for place in range(1, n - 1):
+            changed = [place] if n < 10 else [place, (place + 4) % n]
+            edited = ["changed" if k in changed else word for k, word in enumerate(words)]
+            if max(_align([hash(w) for w in words], [hash(w) for w in edited]), 0) >= min(6, n - 2):
+                expected.add((len(rows), n))
+            rows.append((len(rows), " ".join(["before"] * 20 + edited + ["behind"] * 20)))
+    assert {n for _, n in expected} == set(names) and len(expected) > 0.9 * len(rows)
+    # A phrase that very many texts hold proves nothing; two words only as a whole text.
+    common = "this is one of the best"
+    rows += [(1000 + k, f"that is one of the best {k}") for k in range(30)] + [(2000, "Just two."), (2001, "just two words"), (2002, "just")]
+    rows += [(3000, "前文。今天天气真的很好吗?后文"), (3001, "今天天气不好")]
+    items = [(n, " ".join(words)) for n, words in names.items()] + [(100, common), (101, "just two"), (102, "今天天气真的很好吗")]
+    found = find_leaks(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in found} == expected | {(2000, 101), (3000, 102)}
+
+
 def test_toxicity_held_out(spark):
     folder = "/root/testdata/sf0.01"
     documents, labels = (spark.read.parquet(f"{folder}/{name}.parquet") for name in ("documents", "labels"))
