@@ -4,7 +4,7 @@ A text is the multiset of its five-word shingles (`[^\\x20\\x09-\\x0D]+` words,
 of one to four words is one shingle). A shingle of weight w is a set of levels (0, w]. Levels are
 discretised into dyadic blocks (0,1], (1,2], (2,4], ...; each block of a shingle carries a Poisson
 process with the rate of its length, whose points have a time and one of m components. A block
-that w cuts is halved down by the points' positions, and points above w are thinned out. The
+that w cuts is drawn whole, and points above w are thinned out; it is not split further. The
 smallest time of each component is the signature: two texts agree in a component with the
 probability of their weighted Jaccard similarity. Points are only drawn up to a time by which all
 components are expected to be hit; texts with a gap draw further, so the result is as if all were.
