@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -16,6 +17,7 @@ from lodegate.llm.pseudonyms import pseudonymise
 from lodegate.llm.quality import judge
 from lodegate.llm.suffixes import without_repeats
 from lodegate.llm.toxicity import score
+from lodegate.llm.urlrules import HOST_RULES, UNWANTED, default_rules, judge_addresses
 from lodegate.llm.warc import capture_records, captures, read_records, resolved, write_archives
 from lodegate.session import scratch_path
 
@@ -107,3 +109,32 @@ def op9_convolutional_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_line_blocks(spark: SparkSession, folder: str) -> DataFrame:
     return extract(table(spark, folder, "pages"))
+
+
+@query
+def op11_rarest_token_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Host rules decide where one fits, else patterns of unwanted words as whole tokens."""
+    return judge_addresses(table(spark, folder, "pages"), default_rules()).select("page_id", "host", "path", "rule", "verdict")
+
+
+ORACLES["op11_rarest_token_rules"] = f"""
+WITH cut AS (
+    SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
+), split AS (
+    SELECT page_id, regexp_extract(rest, '^[^/?#]*') AS given_host, regexp_extract(rest, '^[^#]*') AS whole FROM cut
+), part AS (
+    SELECT page_id, translate(given_host, '{string.ascii_uppercase}', '{string.ascii_lowercase}') AS host,
+           regexp_extract(substr(whole, length(given_host) + 1), '^[^?]*') AS path,
+           translate(whole, '{string.ascii_uppercase}', '{string.ascii_lowercase}') AS address
+    FROM split
+), rules (action, rule) AS (VALUES {', '.join(f"('{action}', '{rule}')" for action, rule in HOST_RULES)}
+), fitting AS (
+    SELECT host AS h, path AS p, max_by(rule, length(rule)) AS rule, max_by(action, length(rule)) AS action
+    FROM (SELECT DISTINCT host, path FROM part) AS part, rules
+    WHERE ends_with('.' || host, '.' || split_part(rule, '/', 1)) AND starts_with(path, substr(rule, strpos(rule, '/')))
+    GROUP BY ALL
+)
+SELECT page_id, host, path, rule,
+       coalesce(action, CASE WHEN regexp_matches(address, '(^|[^a-z0-9\\x80-\\x{{10FFFF}}])({'|'.join(UNWANTED)})([^a-z0-9\\x80-\\x{{10FFFF}}]|$)') THEN 'block' ELSE 'allow' END) AS verdict
+FROM part LEFT JOIN fitting ON h = host AND p = path
+"""
