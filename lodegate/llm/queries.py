@@ -19,6 +19,7 @@ from lodegate.llm.suffixes import without_repeats
 from lodegate.llm.toxicity import score
 from lodegate.llm.urlrules import HOST_RULES, UNWANTED, default_rules, judge_addresses
 from lodegate.llm.warc import capture_records, captures, read_records, resolved, write_archives
+from lodegate.llm.whitening import whiten
 from lodegate.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -138,3 +139,8 @@ SELECT page_id, host, path, rule,
        coalesce(action, CASE WHEN regexp_matches(address, '(^|[^a-z0-9\\x80-\\x{{10FFFF}}])({'|'.join(UNWANTED)})([^a-z0-9\\x80-\\x{{10FFFF}}]|$)') THEN 'block' ELSE 'allow' END) AS verdict
 FROM part LEFT JOIN fitting ON h = host AND p = path
 """
+
+
+@query
+def op12_contour_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whiten(table(spark, folder, "embeddings"))
