@@ -12,6 +12,7 @@ from lodegate.llm.chat import digests, read_back, windows
 from lodegate.llm.context import prepare, table
 from lodegate.llm.leaks import find_leaks
 from lodegate.llm.mainhtml import extract
+from lodegate.llm.manifest import proofs, tampered
 from lodegate.llm.packing import pack
 from lodegate.llm.pseudonyms import pseudonymise
 from lodegate.llm.quality import judge
@@ -144,3 +145,57 @@ FROM part LEFT JOIN fitting ON h = host AND p = path
 @query
 def op12_contour_whitening(spark: SparkSession, folder: str) -> DataFrame:
     return whiten(table(spark, folder, "embeddings"))
+
+
+@query
+def op13_octopus_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return proofs(table(spark, folder, "documents"), tampered)
+
+
+# CRC-32 by bits, over the digits of an id.
+_CRC32 = """xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(string_split({0}, ''), lambda c: ascii(c)::BIGINT)), lambda crc, byte:
+    list_reduce(list_prepend(xor(crc, byte), range(8)), lambda r, k: CASE WHEN r % 2 = 1 THEN xor(r // 2, 3988292384) ELSE r // 2 END)))"""
+_LEAF = " || ".join(
+    f"coalesce(octet_length(encode(CAST({name} AS VARCHAR))) || ':' || {name}, '-')" for name in ("doc_id", "source", "lang", "n_chars", "{0}")
+)
+_BESIDE = """string_agg(digest, '') OVER (PARTITION BY {0}level, place // 8 ORDER BY place ROWS BETWEEN {1})"""
+
+
+def _tree_sql(name: str, tree: str, leaves: str) -> str:
+    """Nodes of all levels above ``leaves`` (tree, place, n, digest), each with its siblings before and after."""
+    same, grouped = (f"{tree}, ", f"{tree}, ") if tree else ("", "")
+    return f"""{name}_nodes AS (
+    SELECT {same}0 AS level, place, n, digest FROM {leaves}
+    UNION ALL
+    SELECT {same}level + 1, place // 8, (n + 7) // 8, sha256(string_agg(digest, '' ORDER BY place)) FROM {name}_nodes WHERE n > 1 GROUP BY {grouped}level, place // 8, n
+), {name} AS (
+    SELECT *, coalesce({_BESIDE.format(same, "UNBOUNDED PRECEDING AND 1 PRECEDING")}, '') AS before,
+           coalesce({_BESIDE.format(same, "1 FOLLOWING AND UNBOUNDED FOLLOWING")}, '') AS after FROM {name}_nodes
+)"""
+
+
+ORACLES["op13_octopus_manifest"] = f"""
+WITH RECURSIVE given AS (
+    SELECT row_number() OVER () AS r, doc_id, coalesce('=' || lang, '') AS tree, sha256({_LEAF.format('text')}) AS digest,
+           sha256({_LEAF.format("CASE WHEN hit THEN translate(text, '" + string.ascii_uppercase + "', '" + string.ascii_lowercase + "') ELSE text END")}) AS offered
+    FROM (SELECT *, coalesce({_CRC32.format("CAST(doc_id AS VARCHAR)")} % 3 = 0, false) AS hit FROM documents)
+), leaves AS (
+    SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, digest, r) - 1 AS place, count(*) OVER (PARTITION BY tree) AS n FROM given
+), {_tree_sql('low', 'tree', 'leaves')}, subroots AS (
+    SELECT tree, digest, row_number() OVER (ORDER BY tree) - 1 AS place, count(*) OVER () AS n FROM low WHERE n = 1
+), {_tree_sql('high', '', 'subroots')}, ways AS (
+    SELECT r, tree, 0 AS level, place, n, digest AS mine, offered AS shown, '' AS proof FROM leaves
+    UNION ALL
+    SELECT r, tree, w.level + 1, w.place // 8, (w.n + 7) // 8, sha256(before || mine || after), sha256(before || shown || after), proof || before || after
+    FROM ways AS w JOIN low USING (tree, level, place) WHERE w.n > 1
+), met AS (
+    SELECT ways.r, ways.tree, mine AS subroot, shown, proof, subroots.place, subroots.n FROM ways JOIN subroots USING (tree) WHERE ways.n = 1
+), over AS (
+    SELECT r, 0 AS level, place, n, subroot AS mine, shown, proof FROM met
+    UNION ALL
+    SELECT r, o.level + 1, o.place // 8, (o.n + 7) // 8, sha256(before || mine || after), sha256(before || shown || after), proof || before || after
+    FROM over AS o JOIN high USING (level, place) WHERE o.n > 1
+)
+SELECT doc_id, digest AS leaf, met.subroot, over.mine AS root, sha256(over.proof) AS proof_sha256, over.shown AS folded_root, over.shown = over.mine AS verified
+FROM leaves JOIN met USING (r) JOIN over USING (r) WHERE over.n = 1
+"""
