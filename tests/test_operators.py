@@ -7,6 +7,7 @@ from difflib import SequenceMatcher
 import pytest
 from pyspark.sql import functions as F
 
+from lodegate.operators.components import components, contractions
 from lodegate.operators.dedupe import claim
 from lodegate.operators.entities import alias_conflicts, best_matches, check_seeds, resolve_names
 from lodegate.operators.extraction import merge_extractions
@@ -46,6 +47,78 @@ def test_claim_equals_sequential_rule(spark, seed):
     assert fresh == sequential_claim([r for r in rows if r[2] not in ("h3", "h4")])
 
 
+def chain(start, length, name):
+    """Pairs of which each shares a key with the next, in arrival order: every other one wins."""
+    return [(start + i, f"{name}u{(i + 1) // 2}", f"{name}h{i // 2}") for i in range(length)]
+
+
+def won(frame, **options):
+    return {r["position"] for r in claim(frame, "u", "h", "position", **options).filter("claimed").collect()}
+
+
+def claim_frame(spark, rows):
+    return spark.createDataFrame(rows, "position long, u string, h string").repartition(5)
+
+
+def test_claim_scans_a_long_chain(spark):
+    rows = chain(0, 10_000, "a")
+    assert won(claim_frame(spark, rows)) == set(range(0, 10_000, 2))
+
+
+def test_claim_by_components(spark):
+    # Chains fit a scan of their own, all of them together don't; a star is settled by a round.
+    rows = [r for k in range(12) for r in chain(k * 1000, 300, f"c{k}-")]
+    rows += [(20_000 + i, "hot", f"x{i}") for i in range(900)] + [(30_000 + i, f"y{i}", "c3-h7") for i in range(300)]
+    assert won(claim_frame(spark, rows), at_once=350) == sequential_claim(rows)
+
+
+def test_claim_of_a_component_larger_than_a_scan(spark):
+    rows = chain(0, 700, "a") + [(5000 + i, f"z{i % 40}", f"au{i % 60}") for i in range(200)]
+    assert won(claim_frame(spark, rows), at_once=150) == sequential_claim(rows)
+
+
+@pytest.mark.parametrize("seed", [3, 4])
+def test_claim_at_any_scan_size(spark, seed):
+    chance = random.Random(seed)
+    rows = [(i, f"u{chance.randrange(120)}", f"h{chance.randrange(120)}") for i in range(260)]
+    for at_once in (1, 40):
+        assert won(claim_frame(spark, rows), at_once=at_once) == sequential_claim(rows)
+
+
+def union_find(edges):
+    above = {}
+
+    def top(x):
+        while above.setdefault(x, x) != x:
+            x = above[x]
+        return x
+
+    for a, b in edges:
+        above[top(a)] = top(b)
+    return {x: top(x) for x in above}
+
+
+def test_components_of_a_chain_take_few_rounds(spark):
+    edges = [(i * 7919 % 1_000_003, (i + 1) * 7919 % 1_000_003) for i in range(10_000)]
+    frame = spark.createDataFrame(edges, "a long, b long")
+    rounds = contractions(frame, at_once=10)
+    assert len(rounds) <= 16
+    labels = {r["node"]: r["component"] for r in components(frame, at_once=10).collect()}
+    assert len(labels) == 10_001 and len(set(labels.values())) == 1
+
+
+def test_components_equal_union_find(spark):
+    chance = random.Random(7)
+    edges = [(chance.randrange(400), chance.randrange(400)) for _ in range(180)] + [(1000, 1000 + i) for i in range(50)] + [(2000, 2000)]
+    frame = spark.createDataFrame(edges, "a long, b long")
+    expected = union_find([e for e in edges if e[0] != e[1]])
+    for at_once in (0, 30, 1000):
+        labels = {r["node"]: r["component"] for r in components(frame, at_once).collect()}
+        assert labels.keys() == expected.keys()
+        assert len({(expected[n], labels[n]) for n in labels}) == len(set(expected.values())) == len(set(labels.values()))
+    assert components(frame.filter("a = b"), 5).count() == 0
+
+
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
 def test_skew_join_equals_join(spark, how):
     left = spark.range(3000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 200).alias("k"), F.col("id").alias("v"))
@@ -57,7 +130,7 @@ def test_skew_join_equals_join(spark, how):
 
 def test_hot_keys_are_few(spark):
     frame = spark.range(3000).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"))
-    assert [r["k"] for r in hot_keys(frame, ["k"]).collect()] == [-1]
+    assert [(r["k"], r["_salts"]) for r in hot_keys(frame, ["k"]).collect()] == [(-1, 342)]
 
 
 def test_first_per_key(spark):
