@@ -2,15 +2,11 @@
 
 from __future__ import annotations
 
-import math
-from difflib import SequenceMatcher
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lodegate.functions.binding import stage
 from lodegate.functions.text import entity_key, strip
+from lodegate.operators.matching import best_matches
 from lodegate.scale import lookup_join
 from lodegate.session import materialize
 
@@ -18,10 +14,6 @@ from lodegate.session import materialize
 AUTO_THRESHOLD = 0.95
 REVIEW_THRESHOLD = 0.80
 
-NAMES_PER_GROUP = 4096
-SEEDS_PER_GROUP = 2048
-_LETTER_CLASSES = 64
-
 
 def alias_keys(seeds: DataFrame) -> DataFrame:
     """(entity_key, entity_id) of every canonical name and alias with a non-empty key.
@@ -66,68 +58,9 @@ def match_status(confidence: Column, auto: float = AUTO_THRESHOLD, review: float
     return F.when(confidence >= auto, "AUTO_MATCH").when(confidence >= review, "REVIEW").otherwise("UNRESOLVED")
 
 
-def _letter_counts(texts: list[str]) -> np.ndarray:
-    counts = np.zeros((len(texts), _LETTER_CLASSES), dtype=np.int16)
-    for row, text in enumerate(texts):
-        for char in text:
-            counts[row, ord(char) % _LETTER_CLASSES] += 1
-    return counts
-
-
-def _best_in_group(names: pd.DataFrame, seeds: pd.DataFrame) -> pd.DataFrame:
-    """Best scoring seed of one seed group for every name of one name group.
-
-    Shared letters bound a score from above. Seeds are aligned from the highest
-    bound down until the bound falls below the best score found.
-    """
-    ids, seed_keys = seeds["entity_id"].tolist(), seeds["seed_key"].tolist()
-    seed_letters, seed_lengths = _letter_counts(seed_keys), np.array([len(key) for key in seed_keys])
-    matchers: dict[int, SequenceMatcher] = {}
-    found = []
-    keys = names["name_key"].tolist()
-    for key, letters in zip(keys, _letter_counts(keys)):
-        total = seed_lengths + len(key)
-        shared = np.minimum(seed_letters, letters).sum(axis=1)
-        bound = np.where(total == 0, 1.0, 2.0 * shared / np.maximum(total, 1))
-        best = (-1.0, "")
-        for at in np.argsort(-bound, kind="stable"):
-            if bound[at] < best[0]:
-                break
-            if at not in matchers:
-                matchers[at] = SequenceMatcher(b=seed_keys[at])
-            matchers[at].set_seq1(key)
-            best = max(best, (matchers[at].ratio(), ids[at]))
-        found.append(best)
-    return pd.DataFrame(
-        {"name_key": keys, "entity_id": [b[1] if ids else None for b in found], "confidence": [b[0] for b in found]}
-    )
-
-
-def best_matches(names: DataFrame, seeds: DataFrame) -> DataFrame:
-    """(name_key, entity_id, confidence) of the best scoring seed per distinct key.
-
-    Scores compare the keys by longest matching blocks; ties go to the larger
-    entity id. Names and seeds are cut into groups of bounded size and every
-    pair of groups is one task, which emits one row per name. ``names`` holds
-    distinct name_key values, ``seeds`` entity_id and canonical_name.
-    """
-    keyed = seeds.select("entity_id", entity_key(F.col("canonical_name")).alias("seed_key"))
-    name_groups = max(1, math.ceil(names.count() / NAMES_PER_GROUP))
-    seed_groups = max(1, math.ceil(keyed.count() / SEEDS_PER_GROUP))
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    left = names.withColumn("_n", F.pmod(F.xxhash64("name_key"), F.lit(name_groups)).cast("int")).withColumn("_s", every(seed_groups))
-    right = keyed.withColumn("_s", F.pmod(F.xxhash64("entity_id"), F.lit(seed_groups)).cast("int")).withColumn("_n", every(name_groups))
-    scored = (
-        left.groupBy("_n", "_s")
-        .cogroup(right.groupBy("_n", "_s"))
-        .applyInPandas(_best_in_group, "name_key string, entity_id string, confidence double")
-    )
-    return (
-        scored.filter(F.col("entity_id").isNotNull())
-        .groupBy("name_key")
-        .agg(F.max(F.struct("confidence", "entity_id")).alias("best"))
-        .select("name_key", "best.entity_id", "best.confidence")
-    )
+def best_seeds(names: DataFrame, seeds: DataFrame) -> DataFrame:
+    """Best match of distinct name_key values among the canonical names of ``seeds``."""
+    return best_matches(names, seeds.select("entity_id", entity_key(F.col("canonical_name")).alias("seed_key")))
 
 
 def resolve_names(
@@ -143,7 +76,7 @@ def resolve_names(
     exact = materialize(lookup_join(keyed, aliases, ["name_key"], "left", spread=F.col("raw_name")), "exact-matches")
     blank = strip(F.col("raw_name")) == ""
     open_keys = exact.filter(F.col("entity_id").isNull() & ~blank).select("name_key").distinct()
-    fuzzy = best_matches(open_keys, seeds)
+    fuzzy = best_seeds(open_keys, seeds)
     scored = lookup_join(
         exact, fuzzy.withColumnRenamed("entity_id", "fuzzy_id"), ["name_key"], "left", spread=F.col("raw_name")
     )

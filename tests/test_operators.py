@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 from lodegate.operators.components import components, contractions
 from lodegate.operators.dedupe import claim
-from lodegate.operators.entities import alias_conflicts, best_matches, check_seeds, resolve_names
+from lodegate.operators import matching
+from lodegate.operators.entities import alias_conflicts, check_seeds, resolve_names
 from lodegate.operators.extraction import merge_extractions
 from lodegate.operators.limits import Breaker, circuit_breaker, token_bucket
+from lodegate.operators.matching import best_matches, match_steps
 from lodegate.operators.running import running
 from lodegate.scale import first_per_key, hot_keys, skew_join
 from lodegate.streaming.state import circuit_breaker_stream, token_bucket_stream
@@ -278,19 +280,53 @@ def test_merge_equals_sequential_fold(spark):
     assert got == expected
 
 
-def test_best_match_equals_all_pairs(spark):
+def best_of_all_pairs(names, seeds):
+    return {name: max((SequenceMatcher(None, name, key).ratio(), entity) for entity, key in seeds) for name in names}
+
+
+def found_best(spark, names, seeds):
+    frames = spark.createDataFrame([(n,) for n in names], "name_key string"), spark.createDataFrame(seeds, "entity_id string, seed_key string")
+    return {r["name_key"]: (r["confidence"], r["entity_id"]) for r in best_matches(*frames).collect()}
+
+
+def test_best_match_equals_all_pairs(spark, monkeypatch):
     chance = random.Random(2)
-    word = lambda: "".join(chance.choice("abcdeinorst") for _ in range(chance.randrange(3, 12)))
-    seeds = [(f"id{n:03d}", word()) for n in range(150)]
-    names = sorted({word() for _ in range(80)} | {seeds[3][1] + "x", ""})
-    got = best_matches(
-        spark.createDataFrame([(n,) for n in names], "name_key string"),
-        spark.createDataFrame(seeds, "entity_id string, canonical_name string"),
-    ).collect()
-    expected = {
-        name: max((SequenceMatcher(None, name, key).ratio(), entity) for entity, key in seeds) for name in names
-    }
-    assert {r["name_key"]: (r["confidence"], r["entity_id"]) for r in got} == expected
+    # More than one group of seeds, small starts, so that all three steps have work.
+    monkeypatch.setattr(matching, "SEEDS_PER_GROUP", 40)
+    monkeypatch.setattr(matching, "STARTER_SEEDS", 12)
+
+    def word(letters, low, high):
+        return "".join(chance.choice(letters) for _ in range(chance.randrange(low, high)))
+
+    def edited(text):
+        at = chance.randrange(len(text) + 1)
+        return text[:at] + chance.choice(["", "x", "ab", "0"]) + text[at + chance.randrange(3) :]
+
+    keys = [word("abcdeinorst", 3, 12) for _ in range(120)] + [word("ab", 1, 9) for _ in range(20)]
+    keys += [f"supplier{n:05d}" for n in range(90)] + ["aaaaaaaa", "abababababab", "", "é漢字ab", "w" * 260 + "q", word("abc", 250, 300)]
+    seeds = [(f"id{n:03d}", key) for n, key in enumerate(keys + keys[:30])]
+    names = {word("abcdeinorst", 3, 12) for _ in range(60)} | {edited(edited(chance.choice(keys))) for _ in range(150)}
+    names |= {"", "a", "ZZ", "aaaaa", "supplier00012labs", "supplier", "w" * 250, "bababa"}
+    assert found_best(spark, sorted(names), seeds) == best_of_all_pairs(names, seeds)
+
+
+def test_few_pairs_are_looked_at(spark):
+    """Of 2000 names that differ from one of 3000 seeds by an edit or two, the index fetches few pairs."""
+    chance = random.Random(5)
+    word = lambda: "".join(chance.choice("abcdefghiklmnoprstuvw") for _ in range(chance.randrange(8, 18)))
+    keys = sorted({word() for _ in range(3000)})
+    names = sorted({k[:3] + chance.choice("xyz") + k[4:] for k in chance.sample(keys, 2000)})
+    frames = spark.createDataFrame([(n,) for n in names], "name_key string"), spark.createDataFrame([(k, k) for k in keys], "entity_id string, seed_key string")
+    steps = match_steps(*frames)
+    assert steps["candidates"].count() < 0.005 * len(names) * len(keys)
+    assert steps["rest"].count() < 0.01 * len(names)
+
+
+def test_no_seeds_no_matches(spark):
+    assert found_best(spark, ["abc"], [("x", "abc")]) == {"abc": (1.0, "x")}
+    frame = spark.createDataFrame([("abc",)], "name_key string")
+    assert best_matches(frame, spark.createDataFrame([], "entity_id string, seed_key string")).count() == 0
+    assert best_matches(frame.filter("false"), spark.createDataFrame([("x", "abc")], "entity_id string, seed_key string")).count() == 0
 
 
 def seed_frame(spark, *rows):
