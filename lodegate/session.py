@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 import zipfile
 from pathlib import Path
@@ -89,11 +90,39 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+class Scratch:
+    """Remembers the tables written in its ``with`` block, by this thread, and removes them when told to."""
+
+    def __init__(self) -> None:
+        self._paths: list[str] = []
+
+    def __enter__(self) -> Scratch:
+        self._outer, _active.scratch = getattr(_active, "scratch", None), self
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        _active.scratch = self._outer
+
+    def add(self, path: str) -> None:
+        self._paths.append(path)
+
+    def remove(self, spark: SparkSession) -> None:
+        while self._paths:
+            path = spark._jvm.org.apache.hadoop.fs.Path(self._paths.pop())
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+_active = threading.local()
+
+
 def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     """Cut lineage by writing the rows once to the shared folder and reading them back.
 
     The files outlive lost executors, and later plans see their real size.
     """
     path = scratch_path(df.sparkSession, label)
+    scratch = getattr(_active, "scratch", None)
+    if scratch is not None:
+        scratch.add(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
