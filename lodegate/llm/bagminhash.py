@@ -14,7 +14,8 @@ overlap, min over max of counts, of at least the threshold, or by a class that a
 
 Defined cases: null, empty and blank texts have no shingle, are near nothing, and are classes of
 their own; equal multisets are one class without verification; an empty table gives an empty one;
-an id given with several texts has one row, with the smallest of their classes.
+an id given with several texts has one row, with the smallest of their classes; each row without an
+id has a row of no class.
 """
 
 from __future__ import annotations
@@ -273,7 +274,10 @@ def near_classes(
     named = firsts.select(*prints, F.col("doc_id").alias("node")).join(classes, "node", "left")
     named = named.select(*prints, F.coalesce("component", "node").alias("class_id"))
     found = signed.select("doc_id", *prints).join(named, prints, "left")
-    return found.groupBy("doc_id").agg(F.min(F.coalesce("class_id", "doc_id")).alias("class_id"))
+    found = found.groupBy("doc_id").agg(F.min(F.coalesce("class_id", "doc_id")).alias("class_id"))
+    # Rows without an id can't be told apart: each has a row, of no class.
+    nameless = texts(docs, key, text).filter("doc_id IS NULL").select("doc_id", F.lit(None).cast("long").alias("class_id"))
+    return found.unionByName(nameless)
 
 
 def _mixed(members: DataFrame, classes: DataFrame) -> DataFrame:

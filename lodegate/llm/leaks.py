@@ -277,4 +277,5 @@ def find_leaks(
         found = part if found is None else found.unionByName(part)
     if found is None:
         return given.select("doc_id", F.lit(None).cast("long").alias("item_id"), F.lit(None).cast("double").alias("score")).filter("false")
-    return found.groupBy("doc_id", "item_id").agg(F.max("score").alias("score"))
+    item_id = F.when(F.col("item_id") != np.iinfo(np.int64).min, F.col("item_id")).alias("item_id")
+    return found.groupBy("doc_id", item_id).agg(F.max("score").alias("score"))

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import datetime
 import re
+import secrets
 from collections.abc import Callable, Iterator, Sequence
 from functools import lru_cache
 from hashlib import blake2b
@@ -21,11 +22,12 @@ from math import prod
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lodegate.llm.context import prepare, texts
 
-KEY = b"replace this key"
+# Names the setting that holds the key of a session.
+KEY_SETTING = "lodegate.pseudonyms.key"
 ROUNDS = 10
 _FIRST, _LAST = datetime.date(1900, 1, 1), datetime.date(2099, 12, 31)
 _MONTHS = ("January", "February", "March", "April", "May", "June", "July", "August", "September", "October", "November", "December")
@@ -54,7 +56,7 @@ _DIGIT_OR_AT = re.compile(r"[0-9@]")
 KINDS = tuple(_PATTERNS)
 
 
-def permute(values: Sequence[int], radices: Sequence[int], tweak: str, key: bytes = KEY) -> list[int]:
+def permute(values: Sequence[int], radices: Sequence[int], tweak: str, key: bytes) -> list[int]:
     """A keyed permutation of the numbers whose digits, most significant first, have these radices.
 
     The digits are two halves; each round adds a keyed hash of one half to the other, modulo that
@@ -224,11 +226,11 @@ _RULES = {
 
 
 @lru_cache(maxsize=100_000)
-def pseudonym(kind: str, value: str, key: bytes = KEY) -> str:
+def pseudonym(kind: str, value: str, key: bytes) -> str:
     return _RULES[kind](value, key)
 
 
-def mask(text: str, key: bytes = KEY) -> tuple[str, list[str]]:
+def mask(text: str, key: bytes) -> tuple[str, list[str]]:
     """The text with pseudonyms, and the kind of each value replaced.
 
     Of matches that overlap the one that begins first counts, then the kind named first.
@@ -252,6 +254,21 @@ def mask(text: str, key: bytes = KEY) -> tuple[str, list[str]]:
     return "".join([*out, text[at:]]), kinds
 
 
+_drawn: dict[str, bytes] = {}
+
+
+def session_key(spark: SparkSession) -> bytes:
+    """The key that the session is given as ``lodegate.pseudonyms.key``.
+
+    Without one, a key is drawn at random once per application and kept by its driver alone: values
+    stay linked across all texts of the application, and nobody can invert them later.
+    """
+    given = spark.conf.get(KEY_SETTING, None)
+    if given:
+        return blake2b(given.encode()).digest()
+    return _drawn.setdefault(spark.sparkContext.applicationId, secrets.token_bytes(32))
+
+
 def _mask(key: bytes):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -264,13 +281,13 @@ def _mask(key: bytes):
     return run
 
 
-def pseudonymise(docs: DataFrame, key_column: str = "doc_id", text: str = "text", *, key: bytes = KEY) -> DataFrame:
+def pseudonymise(docs: DataFrame, key_column: str = "doc_id", text: str = "text", *, key: bytes) -> DataFrame:
     """doc_id, the text with pseudonyms, and the kinds of the values replaced in it, in order."""
     prepare(docs.sparkSession)
     return texts(docs, key_column, text).mapInArrow(_mask(key), "doc_id long, text string, kinds array<string>")
 
 
-def masked(text: Column, key: bytes = KEY) -> Column:
+def masked(text: Column, key: bytes) -> Column:
     """The text column with pseudonyms; null stays null."""
 
     @F.pandas_udf("string")

@@ -14,7 +14,7 @@ from lodegate.llm.leaks import find_leaks
 from lodegate.llm.mainhtml import extract
 from lodegate.llm.manifest import proofs, tampered
 from lodegate.llm.packing import pack
-from lodegate.llm.pseudonyms import pseudonymise
+from lodegate.llm.pseudonyms import pseudonymise, session_key
 from lodegate.llm.quality import judge
 from lodegate.llm.suffixes import without_repeats
 from lodegate.llm.toxicity import score
@@ -54,7 +54,7 @@ def op2_bagminhash(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op3_feistel_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
-    done = pseudonymise(table(spark, folder, "documents"))
+    done = pseudonymise(table(spark, folder, "documents"), key=session_key(spark))
     return done.select("doc_id", "text", F.size("kinds").cast("long").alias("n_replaced"))
 
 

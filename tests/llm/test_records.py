@@ -12,11 +12,18 @@ from hypothesis import given, settings, strategies as st
 
 from lodegate.llm.chat import digests, read_back, windows
 from lodegate.llm.mainhtml import extract, main_text
-from lodegate.llm.pseudonyms import KEY, _within, mask, permute, pseudonymise
+from lodegate.llm.pseudonyms import KEY_SETTING, _within, mask as mask_with, permute, pseudonymise, session_key
 from lodegate.llm.warc import capture_records, captures, read_records, resolved, write_archives
 from tests.llm.conftest import FOLDER
 from tests.llm.harness import differences
 
+KEY = b"a key of these tests"
+
+
+def mask(text, key=KEY):
+    return mask_with(text, key)
+
+
 NASTY = r"\### Assistant: </turn> ok"
 
 
@@ -58,7 +65,7 @@ def test_permutations_are_permutations():
         every = [()]
         for radix in radices:
             every = [(*digits, k) for digits in every for k in range(radix)]
-        assert sorted(tuple(permute(v, radices, "t")) for v in every) == every
+        assert sorted(tuple(permute(v, radices, "t", KEY)) for v in every) == every
     assert sorted(_within(v, 730, "d", KEY) for v in range(730)) == list(range(730))
 
 
@@ -88,9 +95,21 @@ def test_layouts_of_one_value_stay_linked():
 
 
 def test_pseudonyms_of_odd_rows(odd, nothing):
-    rows = pseudonymise(odd).collect()
+    rows = pseudonymise(odd, key=KEY).collect()
     assert sorted((str(r["doc_id"]), r["text"]) for r in rows) == sorted((str(r["doc_id"]), r["text"] or "") for r in odd.collect())
-    assert pseudonymise(nothing).count() == 0
+    assert pseudonymise(nothing, key=KEY).count() == 0
+    with pytest.raises(TypeError):
+        pseudonymise(odd)
+
+
+def test_key_of_a_session(spark):
+    drawn = session_key(spark)
+    assert len(drawn) == 32 and session_key(spark) == drawn
+    try:
+        spark.conf.set(KEY_SETTING, "secret")
+        assert session_key(spark) == session_key(spark) != drawn
+    finally:
+        spark.conf.unset(KEY_SETTING)
 
 
 def _pages(spark):
