@@ -60,9 +60,10 @@ def op3_feistel_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op4_two_stage_suffixes(spark: SparkSession, folder: str) -> DataFrame:
+    """The digest columns, what was removed, and what is left as text (a code point cut in two shows as U+FFFD)."""
     cut = without_repeats(table(spark, folder, "documents"))
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda total, span: total + span["stop"] - span["start"])
-    return cut.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+    return cut.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), "kept_sha256", "spans", F.make_valid_utf8(F.col("kept").cast("string")).alias("text"))
 
 
 @query

@@ -372,16 +372,15 @@ def repeated_runs(given: DataFrame, size: int = SIZE, gram: int = GRAM, group: i
 
 
 def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", *, size: int = SIZE, gram: int = GRAM, group: int = GROUP) -> DataFrame:
-    """doc_id, n_bytes, the removed spans, the kept bytes where any were removed, else null, and their digest."""
+    """doc_id, n_bytes, the removed spans, the kept bytes (the whole text where nothing is removed) and their digest."""
     prepare(docs.sparkSession)
     given = texts(docs, key, text).withColumn("tid", F.unhex(F.md5(F.col("text").cast("binary"))))
     runs, bodies = repeated_runs(given, size, gram, group)
     per_text = runs.groupBy("tid").agg(F.collect_list(F.struct("first", "count")).alias("runs"))
     removed = materialize(bodies.join(per_text, "tid").mapInArrow(_remove(size), _CUT).dropDuplicates(["tid"]), "removed")
-    narrow = given.select(
-        "doc_id", "tid", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2(F.col("text").cast("binary"), 256).alias("whole_sha256")
-    )
-    return narrow.join(removed, "tid", "left").select(
-        "doc_id", "n_bytes", F.coalesce("spans", F.array().cast("array<struct<start:long,stop:long>>")).alias("spans"), "kept",
-        F.coalesce(F.sha2("kept", 256), "whole_sha256").alias("kept_sha256"),
+    whole = F.col("text").cast("binary")
+    cut = given.join(removed, "tid", "left").select(
+        "doc_id", F.octet_length("text").cast("long").alias("n_bytes"),
+        F.coalesce("spans", F.array().cast("array<struct<start:long,stop:long>>")).alias("spans"), F.coalesce("kept", whole).alias("kept"),
     )
+    return cut.withColumn("kept_sha256", F.sha2("kept", 256))
