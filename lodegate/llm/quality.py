@@ -16,7 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from lodegate.llm.arrays import Texts, chunks, mix, range_hashes
 from lodegate.llm.context import materialize, prepare, texts
@@ -207,10 +207,15 @@ def judge(docs: DataFrame, key: str = "doc_id", text: str = "text", rules: tuple
     and goes back as a broadcast table.
     """
     prepare(docs.sparkSession)
-    names = [f"vote_{rule.name}" for rule in rules]
     voted = materialize(count_texts(docs, key, text).select("*", *vote_columns(rules)), "votes")
+    return _verdicts(voted, _posteriors(voted, rules), rules, threshold)
+
+
+def _posteriors(voted: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
+    """The posterior of every pattern of votes that occurs."""
+    names = [f"vote_{rule.name}" for rule in rules]
     patterns = voted.groupBy(*names).count().collect()
-    spark = docs.sparkSession
+    spark = voted.sparkSession
     schema = ", ".join(f"{name} int" for name in names) + ", p_good double"
     if patterns:
         votes = np.array([[row[name] for name in names] for row in patterns], dtype=np.int64)
@@ -218,6 +223,45 @@ def judge(docs: DataFrame, key: str = "doc_id", text: str = "text", rules: tuple
         rows = [(*map(int, vote), float(p)) for vote, p in zip(votes, posterior)]
     else:
         rows = []
-    scored = voted.join(F.broadcast(spark.createDataFrame(rows, schema)), names)
+    return spark.createDataFrame(rows, schema)
+
+
+def _verdicts(voted: DataFrame, posteriors: DataFrame, rules: tuple[Rule, ...], threshold: float) -> DataFrame:
+    scored = voted.join(F.broadcast(posteriors), [f"vote_{rule.name}" for rule in rules])
     failed = base_failed()
     return scored.withColumn("base_failed", failed).withColumn("kept", ~failed & (F.col("p_good") >= threshold))
+
+
+def _counts_beside(at: int):
+    """Whole rows with the counts of the text in column ``at`` next to them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = pa.StructArray.from_arrays(batch.columns, fields=list(batch.schema))
+            for low, high, part in chunks(batch.column(at).cast(pa.string())):
+                counts = _count(part)
+                yield pa.RecordBatch.from_arrays([rows[low:high], *(pa.array(counts[name], pa.int64()) for name in COUNTS)], ["row", *COUNTS])
+
+    return run
+
+
+def keep_good(docs: DataFrame, key: str = "doc_id", text: str = "text", rules: tuple[Rule, ...] = RULES, threshold: float = 0.5) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that ``judge`` keeps; rows of one id stay or go together.
+
+    A first pass over the texts fits the rules. A second one votes again on the rows as they are read
+    and filters them, so no text is moved for its verdict. Only where an id has both a kept and a
+    rejected row, such rejected rows meet the ids of the kept ones.
+    """
+    prepare(docs.sparkSession)
+    voted = materialize(count_texts(docs, key, text).select("*", *vote_columns(rules)), "votes")
+    posteriors = _posteriors(voted, rules)
+    schema = T.StructType([T.StructField("row", docs.schema), *(T.StructField(name, T.LongType()) for name in COUNTS)])
+    beside = docs.mapInArrow(_counts_beside(docs.columns.index(text)), schema)
+    judged = _verdicts(beside.select("*", *vote_columns(rules)), posteriors, rules, threshold).select("row", "kept")
+    verdicts = _verdicts(voted, posteriors, rules, threshold).groupBy("doc_id").agg(F.max("kept").alias("any"), F.min("kept").alias("all"))
+    mixed = materialize(verdicts.filter(F.col("any") & ~F.col("all")).select(F.col("doc_id").alias("mixed_id")), "mixed-verdicts")
+    good = judged.filter("kept").select("row.*")
+    if mixed.isEmpty():
+        return good
+    bad = judged.filter("NOT kept")
+    return good.unionByName(bad.join(mixed, F.col(f"row.`{key}`").cast("long").eqNullSafe(F.col("mixed_id")), "left_semi").select("row.*"))
