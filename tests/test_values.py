@@ -6,8 +6,7 @@ from datetime import datetime, timezone
 import pytest
 from pyspark.sql import functions as F
 
-from lodegate.functions import dates, directory, identity, markup, text
-from lodegate.functions.segments import chunks
+from lodegate.functions import chunking, dates, directory, identity, markup, text
 from lodegate.operators.freshness import freshness_decision
 
 NOW = "2026-09-11 12:00:00+00:00"
@@ -178,15 +177,34 @@ def test_json_must_end(spark):
     assert one(spark, F.to_json(json_value(F.col("v"))), ' {"a":[1]} ') == '{"a":[1]}'
 
 
-def test_chunks_keep_sections_and_size():
-    found = chunks("# Intro\n\nFirst paragraph.\n\nSecond paragraph.", 6)
+def chunked(spark, text, target):
+    return one(spark, chunking.document_chunks(F.col("v"), target), text)
+
+
+def test_chunks_keep_sections_and_size(spark):
+    found = chunked(spark, "# Intro\n\nFirst paragraph.\n\nSecond paragraph.", 6)
     assert [c["section"] for c in found] == ["Intro", "Intro"]
     assert all(c["token_estimate"] <= 6 for c in found)
-    assert chunks("", 5) == []
-    slices = chunks("x" * 100, 5)
+    assert chunked(spark, "", 5) == [] and chunked(spark, "# Only a heading", 5) == [] and chunked(spark, None, 5) is None
+    slices = chunked(spark, "x" * 100, 5)
     assert "".join(c["text"] for c in slices) == "x" * 100
 
 
+@pytest.mark.parametrize(
+    ("text", "target", "expected"),
+    [
+        ("a\nb\n\n#\nc\n## \n", 40, [(None, "a b\n\n# c ##")]),
+        ("one. two! three", 2, [(None, "one."), (None, "two!"), (None, "three")]),
+        ("one. two! three", 3, [(None, "one. two!"), (None, "three")]),
+        ("ab. " + "z" * 9 + " c. d.", 1, [(None, "ab."), (None, "zzzz"), (None, "zzzz"), (None, "z c."), (None, "d.")]),
+        ("# A\nx\r\n# B\ny", 40, [("A", "x\n\ny")]),
+        ("#no\n###### Six\n####### seven", 40, [("Six", "#no\n\n####### seven")]),
+    ],
+)
+def test_chunks_of_lines_and_sentences(spark, text, target, expected):
+    assert [(c["section"], c["text"]) for c in chunked(spark, text, target)] == expected
+
+
 @pytest.mark.parametrize(
     ("raw", "expected"),
     [
