@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import pyarrow as pa
 from pyspark.sql import Column, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from lodegate.functions.batches import arrow_rows
 from lodegate.functions.binding import filled, json_value, let
@@ -14,18 +15,18 @@ from lodegate.functions.dates import (
     mentioned_relative_timestamp,
     page_timestamp,
 )
-from lodegate.functions.text import strip
+from lodegate.functions.text import casefold, collapse, strip
 from lodegate.functions.readers import (
-    ArticleReader,
-    EvidenceReader,
+    AUTHOR_META_NAMES,
+    DATE_META_NAMES,
+    EVIDENCE_META_NAMES,
     FEED_ELEMENTS,
+    page_events,
     read_atom,
     read_feed,
-    read_with,
 )
 
 
-
 def _record(texts: tuple[str, ...], lists: tuple[str, ...] = ()) -> T.StructType:
     return T.StructType(
         [T.StructField(name, T.StringType()) for name in texts]
@@ -33,10 +34,14 @@ def _record(texts: tuple[str, ...], lists: tuple[str, ...] = ()) -> T.StructType
     )
 
 
-ARTICLE_PIECES = _record(
-    ("title", "author", "article_text", "paragraph_text", "page_text"), ("linked_data", "meta_dates", "time_dates")
+_FLAGS = ("hidden", "title", "article", "p", "closed")
+EVENTS = T.ArrayType(
+    T.StructType(
+        [T.StructField(name, T.StringType()) for name in ("kind", "tag", "text")]
+        + [T.StructField("attributes", T.MapType(T.StringType(), T.StringType()))]
+        + [T.StructField(name, T.BooleanType()) for name in _FLAGS]
+    )
 )
-EVIDENCE_PIECES = _record(("json_ld", "meta", "time", "visible", "relative"))
 FEED_ROWS = T.ArrayType(_record((*FEED_ELEMENTS, "href")))
 ATOM_ROWS = T.ArrayType(_record(("id", "published", "title", "summary"), ("authors",)))
 
@@ -53,14 +58,98 @@ BLOCKED_STATUS = (403, 503)
 MIN_USEFUL_BYTES = 150
 
 
-@F.arrow_udf(ARTICLE_PIECES)
-def article_pieces(html: pa.Array) -> pa.Array:
-    return arrow_rows(html, lambda page: read_with(ArticleReader(), page).pieces(), ARTICLE_PIECES)
+# Text that tells an age, and a date inside a JSON-LD script.
+AGE_PATTERN = r"(?iU)\b\d+\s+(?:minutes?|hours?|days?)\s+ago\b"
+DATED_PATTERN = r'"(?:datePublished|dateCreated|published_at)"\s*:\s*"([^"]+)"'
+
+
+@F.arrow_udf(EVENTS)
+def events(html: pa.Array) -> pa.Array:
+    """All events of a batch as flat columns, cut into one list per page."""
+    rows: list[tuple] = []
+    offsets, closed, absent = [0], [], []
+    for page in html.to_pylist():
+        last = len(rows) if page is None else page_events(page, rows)
+        closed += [True] * (last - offsets[-1]) + [False] * (len(rows) - last)
+        offsets.append(len(rows))
+        absent.append(page is None)
+    fields = to_arrow_type(EVENTS.elementType)
+    columns = list(zip(*rows)) if rows else [()] * (len(fields) - 1)
+    told = pa.StructArray.from_arrays([pa.array(values, field.type) for values, field in zip([*columns, closed], fields)], fields=list(fields))
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), told, type=to_arrow_type(EVENTS), mask=pa.array(absent, pa.bool_()))
+
+
+def _of(found: Column, kind: str, tag: str | None = None) -> Column:
+    return F.filter(found, lambda e: (e["kind"] == kind) & (F.lit(True) if tag is None else e["tag"] == tag))
+
+
+def _meta(found: Column, names: tuple[str, ...]) -> Column:
+    """Attributes of the meta elements that are called one of ``names``."""
+    attribute = lambda e, name: filled(F.get(F.filter(F.map_entries(e["attributes"]), lambda a: a["key"] == name), F.lit(0))["value"])
+    called = lambda e: casefold(F.coalesce(attribute(e, "property"), attribute(e, "name"), F.lit("")))
+    return F.transform(F.filter(_of(found, "element", "meta"), lambda e: called(e).isin(*names)), lambda e: e["attributes"])
+
+
+def _present(values: Column) -> Column:
+    return F.filter(values, lambda v: F.coalesce(v, F.lit("")) != "")
+
+
+def _last(values: Column) -> Column:
+    return F.get(values, F.size(values) - 1)
 
 
-@F.arrow_udf(EVIDENCE_PIECES)
-def evidence_pieces(html: pa.Array) -> pa.Array:
-    return arrow_rows(html, lambda page: read_with(EvidenceReader(), page).found, EVIDENCE_PIECES)
+def article_pieces(html: Column) -> Column:
+    """Title, author, the texts of three scopes, and what may hold dates, of one page."""
+    return let(events(html), _article_pieces)
+
+
+def _article_pieces(found: Column) -> Column:
+    shown = F.filter(found, lambda e: (e["kind"] == "break") | (e["kind"] == "text") & ~e["hidden"])
+    # The first text of a title is no part of the page; where it stands is told by its number.
+    numbered = F.transform(shown, lambda e, k: F.struct(e["kind"].alias("kind"), e["text"].alias("text"), e["title"].alias("title"), e["article"].alias("article"), e["p"].alias("p"), k.alias("at")))
+
+    def pieces(texts: Column, title: Column) -> Column:
+        rest = F.filter(texts, lambda e: ~e["at"].eqNullSafe(title["at"]))
+        joined = lambda values: collapse(F.array_join(values, ""))
+        plain = F.filter(rest, lambda e: e["kind"] == "text")
+        in_paragraphs = F.filter(rest, lambda e: (e["kind"] == "break") | e["p"])
+        times = F.transform(_of(found, "element", "time"), lambda e: F.coalesce(filled(e["attributes"]["datetime"]), e["attributes"]["data-time"]))
+        authors = F.transform(_meta(found, AUTHOR_META_NAMES), lambda a: strip(a["content"]))
+        return F.struct(
+            collapse(title["text"]).alias("title"),
+            F.get(_present(authors), F.lit(0)).alias("author"),
+            joined(F.transform(F.filter(plain, lambda e: e["article"]), lambda e: e["text"])).alias("article_text"),
+            joined(F.transform(in_paragraphs, lambda e: F.when(e["kind"] == "break", "\n").otherwise(e["text"]))).alias("paragraph_text"),
+            joined(F.transform(plain, lambda e: e["text"])).alias("page_text"),
+            F.transform(_of(found, "data"), lambda e: e["text"]).alias("linked_data"),
+            _present(F.transform(_meta(found, DATE_META_NAMES), lambda a: a["content"])).alias("meta_dates"),
+            _present(times).alias("time_dates"),
+        )
+
+    titles = lambda texts: F.get(F.filter(texts, lambda e: (e["kind"] == "text") & e["title"]), F.lit(0))
+    return F.when(found.isNotNull(), let(numbered, lambda texts: let(titles(texts), lambda title: pieces(texts, title))))
+
+
+def evidence_pieces(html: Column) -> Column:
+    """The last date text of each kind found in a page."""
+    return let(events(html), _evidence_pieces)
+
+
+def _evidence_pieces(found: Column) -> Column:
+    texts = _of(found, "text")
+    aged = lambda e: e["text"].rlike(AGE_PATTERN)
+    dated = F.transform(_of(found, "data"), lambda e: F.regexp_extract(e["text"], DATED_PATTERN, 1))
+    shown = F.transform(F.filter(texts, lambda e: e["closed"] & ~aged(e)), lambda e: strip(e["text"]))
+    return F.when(
+        found.isNotNull(),
+        F.struct(
+            _last(_present(dated)).alias("json_ld"),
+            _last(_meta(found, EVIDENCE_META_NAMES))["content"].alias("meta"),
+            _last(_of(found, "element", "time"))["attributes"]["datetime"].alias("time"),
+            filled(F.array_join(shown, " ")).alias("visible"),
+            strip(_last(F.filter(texts, aged))["text"]).alias("relative"),
+        ),
+    )
 
 
 @F.arrow_udf(FEED_ROWS)

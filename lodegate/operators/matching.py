@@ -14,7 +14,7 @@ M >= b (la + lb) / 2, and its length lies between la b / (2 - b) and la (2 - b)
    the letters that a group's seeds have at most bound the score of all of them, and groups whose
    bound is below b are passed over, first with the b of step 2, then with that of the best group.
 
-Every step compares with bounds that hold for ties too, so the result equals that of all pairs.
+Seeds that fit one group are looked at without an index. Every step compares with bounds that hold for ties too, so the result equals that of all pairs.
 """
 
 from __future__ import annotations
@@ -205,8 +205,14 @@ def match_steps(names: DataFrame, seeds: DataFrame) -> dict[str, DataFrame]:
     """Tables of the three steps: started, candidates and matches of the index, names left to groups, their matches."""
     seeds = materialize(seeds.groupBy("seed_key").agg(F.max("entity_id").alias("entity_id")), "seeds")
     names = materialize(names.select("name_key").distinct(), "names")
-    count = seeds.count()
+    count, last = seeds.agg(F.count(F.lit(1)), F.max("entity_id")).first()
+    nothing = names.select("name_key", F.lit(last).cast("string").alias("entity_id"), F.lit(0.0).alias("confidence"))
     key = F.col("seed_key")
+    if count <= SEEDS_PER_GROUP:
+        # One group holds all seeds: each name looks at them from the highest bound down.
+        rest = names.withColumn("least", F.lit(0.0))
+        none = names.select("name_key", F.lit(None).cast("string").alias("entity_id"), F.lit(0.0).alias("confidence")).filter("false")
+        return {"started": none, "candidates": none, "indexed": none, "rest": rest, "grouped": _by_groups(rest, seeds, count) if count else none, "nothing": nothing}
     index = materialize(
         seeds.select("seed_key", "entity_id", F.explode(F.array_distinct(F.concat(_grams(key, 2), _grams(key, 3)))).alias("gram")), "gram-index"
     )
@@ -234,8 +240,6 @@ def match_steps(names: DataFrame, seeds: DataFrame) -> dict[str, DataFrame]:
     indexed = _best(candidates.mapInArrow(_score_pairs, _FOUND))
     rest = materialize(routed.filter(~F.coalesce("by_index", F.lit(False))).select("name_key", "least"), "rest")
     grouped = _by_groups(rest, seeds, count) if count and not rest.isEmpty() else started.filter("false")
-    last = seeds.agg(F.max("entity_id")).first()[0]
-    nothing = names.select("name_key", F.lit(last).cast("string").alias("entity_id"), F.lit(0.0).alias("confidence"))
     return {"started": started, "candidates": candidates, "indexed": indexed, "rest": rest, "grouped": grouped, "nothing": nothing}
 
 

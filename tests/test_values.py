@@ -194,7 +194,7 @@ def test_chunks_keep_sections_and_size(spark):
     ("text", "target", "expected"),
     [
         ("a\nb\n\n#\nc\n## \n", 40, [(None, "a b\n\n# c ##")]),
-        ("one. two! three", 2, [(None, "one."), (None, "two!"), (None, "three")]),
+        ("one. two! three", 2, [(None, "one. two!"), (None, "three")]),
         ("one. two! three", 3, [(None, "one. two!"), (None, "three")]),
         ("ab. " + "z" * 9 + " c. d.", 1, [(None, "ab."), (None, "zzzz"), (None, "zzzz"), (None, "z c."), (None, "d.")]),
         ("# A\nx\r\n# B\ny", 40, [("A", "x\n\ny")]),
