@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, functions as F
 
 from lodegate.functions.binding import let, matched
-from lodegate.functions.text import strip
+from lodegate.functions.text import finite_number, strip
 
 # Trust in a date by where it was found, best first.
 EVIDENCE_CONFIDENCE = {
@@ -267,10 +267,6 @@ def date_evidence(now: Column, **raw: Column) -> Column:
     return first_evidence(F.array(*texts), lambda text: evidence_timestamp(text, now))
 
 
-# A decimal number; Spark's cast alone would take a type letter behind it.
-_NUMBER = r"^[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?$"
-
-
 def age_hours(published_at: Column, now: Column) -> Column:
     return (F.unix_micros(now) - F.unix_micros(published_at)) / F.lit(1_000_000.0) / F.lit(3600.0)
 
@@ -280,7 +276,7 @@ def retry_after_seconds(header: Column, now: Column) -> Column:
     def wait(text):
         until = (F.unix_micros(mail_timestamp(text)) - F.unix_micros(now)) / F.lit(1_000_000.0)
         return let(
-            F.coalesce(F.when(text.rlike(_NUMBER), text.try_cast("double")), until), lambda s: F.when(s.isNotNull(), F.greatest(F.lit(0.0), s))
+            F.coalesce(finite_number(text), until), lambda s: F.when(s.isNotNull(), F.greatest(F.lit(0.0), s))
         )
 
     return let(strip(header), lambda text: F.when(text != "", wait(text)))

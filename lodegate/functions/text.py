@@ -160,3 +160,29 @@ def slug(text: Column) -> Column:
 
 def entity_slug(text: Column) -> Column:
     return F.replace(F.replace(casefold(text), F.lit(" "), F.lit("-")), F.lit("&"), F.lit("and"))
+
+
+# A decimal number; Spark's cast alone would take a type letter behind it.
+_NUMBER = r"^[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?$"
+_NOT_FINITE = r"(?i)^[+-]?(?:inf|infinity|nan)$"
+
+
+def number(text: Column) -> Column:
+    """The double that a text spells, else null."""
+    return let(F.trim(text), lambda t: F.when(t.rlike(_NUMBER) | t.rlike(_NOT_FINITE), t.try_cast("double")))
+
+
+def finite_number(text: Column) -> Column:
+    return let(F.trim(text), lambda t: F.when(t.rlike(_NUMBER), t.try_cast("double")))
+
+
+def whole_number(text: Column) -> Column:
+    """The 64-bit integer that a text spells, exact; null for fractions, larger values and other texts.
+
+    Plain digits never pass through a double; with an exponent a value counts up to 2^53.
+    """
+    digits = lambda t: F.regexp_extract(t, r"^([+-]?[0-9]+)\.?0*$", 1)
+    scaled = lambda t: let(
+        F.when(t.rlike(_NUMBER), t.try_cast("double")), lambda d: F.when((d == F.floor(d)) & (F.abs(d) <= float(1 << 53)), d.cast("bigint"))
+    )
+    return let(F.trim(text), lambda t: F.when(digits(t) != "", digits(t).try_cast("bigint")).otherwise(scaled(t)))

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from lodegate.functions.batches import arrow_rows
 from lodegate.functions.binding import json_value, let
 from lodegate.functions.markup import is_object, kind
-from lodegate.functions.text import unfenced
+from lodegate.functions.text import unfenced, whole_number
 from lodegate.scale import lookup_join
 
 # Fixed value: instructions at the head of every prompt.
@@ -74,8 +74,7 @@ def facts(answer: Column, record_kind: str) -> Column:
             return F.when(words.isin("true", "1", "yes", "on", "t", "y"), F.lit(True)).when(
                 words.isin("false", "0", "no", "off", "f", "n"), F.lit(False)
             )
-        number = text.try_cast("double")
-        return F.when((kind(value) != "BOOLEAN") & (number == F.floor(number)), number.cast("bigint"))
+        return F.when(kind(value) != "BOOLEAN", whole_number(text))
 
     def fact(node, name, type_name, default):
         value = F.try_variant_get(node, f"$.{name}", "variant")

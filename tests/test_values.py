@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lodegate.functions import chunking, dates, directory, identity, markup, text
+from lodegate.operators.extraction import facts
 from lodegate.operators.freshness import freshness_decision
 
 NOW = "2026-09-11 12:00:00+00:00"
@@ -217,3 +218,22 @@ def test_chunks_of_lines_and_sentences(spark, text, target, expected):
 def test_offsets_and_long_numbers(spark, raw, expected):
     found = one(spark, F.date_format(dates.evidence_timestamp(F.col("v"), F.lit(NOW).cast("timestamp")), "yyyy-MM-dd'T'HH:mm:ssxxx"), raw)
     assert found == expected
+
+
+@pytest.mark.parametrize(
+    ("raw", "whole", "real"),
+    [
+        ("5", 5, 5.0), (" 7 ", 7, 7.0), ("5.0", 5, 5.0), ("-3.", -3, -3.0), ("5.5", None, 5.5), ("5d", None, None), ("5f", None, None), ("1e3", 1000, 1000.0),
+        ("9007199254740993", 9007199254740993, 9007199254740992.0), ("9223372036854775807", 9223372036854775807, 9.223372036854775807e18),
+        ("9223372036854775808", None, 9.223372036854775808e18), ("", None, None), ("x", None, None), ("1e30", None, 1e30), ("inf", None, float("inf")),
+    ],
+)
+def test_numbers_of_texts(spark, raw, whole, real):
+    assert one(spark, text.whole_number(F.col("v")), raw) == whole
+    assert one(spark, text.number(F.col("v")), raw) == real
+
+
+@pytest.mark.parametrize(("year", "expected"), [('"2001"', 2001), ('"2001d"', None), ("2001.0", 2001), ("true", None), ('"9007199254740993"', 9007199254740993)])
+def test_integer_facts_are_exact(spark, year, expected):
+    found = one(spark, facts(F.col("v"), "startup"), '{"founded_year":' + year + "}")
+    assert (found and found["founded_year"]) == expected
