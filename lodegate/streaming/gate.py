@@ -1,20 +1,20 @@
 """Streaming ingestion: gate, claim, watermark and persist one micro-batch at a time.
 
-State lives in tables next to the output, keyed by batch, so a batch that is
-run again after a failure replaces its own earlier attempt.
+State lives next to the output: what a batch decided in a folder of its own, keys and watermarks
+in merged runs (see ``runs``). A batch that is run again after a failure replaces its own attempt.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from lodegate.operators.dedupe import claim
 from lodegate.operators.freshness import advance_watermarks, freshness_decision
-from lodegate.operators.storage import read_table
 from lodegate.session import materialize
+from lodegate.streaming.runs import RunStore
 
 
 def gated(stream: DataFrame, now: Column, *, max_age_hours: float = 24.0, min_confidence: float = 0.75) -> DataFrame:
@@ -26,45 +26,46 @@ def gated(stream: DataFrame, now: Column, *, max_age_hours: float = 24.0, min_co
     return stream.withColumn("decision", decision)
 
 
-def batch_table(spark: SparkSession, path: str, before: int) -> DataFrame | None:
-    """Rows of a state table written by batches earlier than ``before``."""
-    stored = read_table(spark, path)
-    return None if stored is None else stored.filter(F.col("batch") < before).drop("batch")
-
-
 def write_batch(rows: DataFrame, path: str, batch: int) -> None:
     """Write one batch's rows; writing the same batch again replaces them."""
     rows.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch={batch}")
 
 
+def claim_store(spark: SparkSession, state: str, key: str) -> RunStore:
+    """Keys of one kind that were claimed."""
+    return RunStore(spark, f"{state}/claimed-{key}", T.StructType([T.StructField(key, T.StringType())]), key, DataFrame.distinct)
+
+
+def watermark_store(spark: SparkSession, state: str, source: str) -> RunStore:
+    schema = T.StructType([T.StructField(source, T.StringType()), T.StructField("watermark", T.TimestampType())])
+    latest = lambda rows: rows.groupBy(source).agg(F.max("watermark").alias("watermark"))
+    return RunStore(spark, f"{state}/watermarks", schema, source, latest, buckets=4)
+
+
 def claim_batch(
     rows: DataFrame, batch: int, state: str, *, url_key: str, content_key: str, order: str
 ) -> DataFrame:
-    """Two-key claim of a batch against the keys of all earlier batches."""
-    spark = rows.sparkSession
-    earlier = batch_table(spark, f"{state}/claims", batch)
-    seen = {} if earlier is None else {
-        "seen_urls": earlier.select(url_key), "seen_contents": earlier.select(content_key)
-    }
-    claimed = materialize(claim(rows, url_key, content_key, order, **seen), "stream-claim")
-    write_batch(claimed.filter("claimed").select(url_key, content_key), f"{state}/claims", batch)
+    """Two-key claim of a batch against the keys of all earlier batches.
+
+    Of the stored keys only the buckets are read that keys of this batch fall into.
+    """
+    stores = {key: claim_store(rows.sparkSession, state, key) for key in (url_key, content_key)}
+    seen = {key: store.before(batch, rows.select(key).filter(F.col(key).isNotNull())) for key, store in stores.items()}
+    claimed = claim(rows, url_key, content_key, order, seen_urls=seen[url_key], seen_contents=seen[content_key])
+    claimed = materialize(claimed, "stream-claim")
+    for key, store in stores.items():
+        store.write(claimed.filter("claimed").select(key), batch)
     return claimed
 
 
 def watermark_batch(accepted: DataFrame, batch: int, state: str, source: str, published_at: str) -> None:
     """Store the watermarks reached after this batch."""
-    spark = accepted.sparkSession
-    earlier = batch_table(spark, f"{state}/watermarks", batch)
-    latest = accepted.groupBy(source).agg(F.max(published_at).alias("watermark"))
-    if earlier is not None:
-        stored = earlier.join(latest, source, "left_semi")
-        latest = advance_watermarks(stored, accepted, source, published_at)
-    write_batch(latest, f"{state}/watermarks", batch)
+    reached = advance_watermarks(None, accepted, source, published_at)
+    watermark_store(accepted.sparkSession, state, source).write(reached, batch)
 
 
 def watermarks(spark: SparkSession, state: str, source: str) -> DataFrame:
-    stored = spark.read.parquet(f"{state}/watermarks")
-    return stored.groupBy(source).agg(F.max("watermark").alias("watermark"))
+    return watermark_store(spark, state, source).all()
 
 
 def ingest_stream(
@@ -80,8 +81,8 @@ def ingest_stream(
 ) -> StreamingQuery:
     """Gate, claim and store a stream of candidates until its input is used up.
 
-    ``state`` holds the accepted rows (accepted), all decisions (decisions),
-    the claimed keys (claims) and the source watermarks (watermarks).
+    ``state`` holds the accepted rows (accepted) and all decisions (decisions) by batch, and as
+    merged runs the claimed keys (claimed-<key>) and the source watermarks (watermarks).
     """
 
     def handle(rows: DataFrame, batch: int) -> None:
