@@ -16,13 +16,16 @@ def hydrate(candidates: DataFrame, papers: DataFrame, order: str) -> DataFrame:
     """Complete papers without a date from their bibliographic record.
 
     ``papers`` has arxiv_id, paper_url, title, authors, published_at and
-    abstract, any number of rows per id. Adds ``reject_reason``: an id must be
-    present, name exactly one record, and that record must be the same paper.
+    abstract, any number of rows per id, and where known the raw_document_id and
+    original_url it was read from. Adds ``reject_reason``: an id must be present,
+    name exactly one record, and that record must be the same paper. Adds the
+    evidence of completed papers (bibliographic_*), null for others.
     """
     fields = ("title", "authors", "published_at", "abstract")
+    known = [name for name in ("raw_document_id", "original_url") if name in papers.columns]
     single = papers.groupBy("arxiv_id").agg(
         F.count(F.lit(1)).alias("_found"),
-        F.min_by(F.struct("paper_url", *fields), "paper_url").alias("_paper"),
+        F.min_by(F.struct("paper_url", *fields, *known), "paper_url").alias("_paper"),
     )
     joined = lookup_join(candidates, single, ["arxiv_id"], "left", spread=F.col(order))
     needed = F.col("published_at").isNull()
@@ -35,20 +38,31 @@ def hydrate(candidates: DataFrame, papers: DataFrame, order: str) -> DataFrame:
     )
     take = needed & reason.isNull()
     hydrated = {name: F.when(take, F.col(f"_paper.{name}")).otherwise(F.col(name)) for name in fields}
-    return joined.withColumns({**hydrated, "reject_reason": reason}).drop("_found", "_paper")
+    evidence = lambda name: F.when(take, F.col(f"_paper.{name}")) if name in known else F.lit(None).cast("string")
+    told = {
+        "bibliographic_parser": F.when(take, "arxiv_atom_v1"),
+        "bibliographic_source_url": evidence("original_url"),
+        "bibliographic_raw_document_id": evidence("raw_document_id"),
+    }
+    return joined.withColumns({**hydrated, **told, "reject_reason": reason}).drop("_found", "_paper")
 
 
 def add_repository(candidates: DataFrame, repositories: DataFrame, order: str) -> DataFrame:
     """Attach verified repository names and stars by normalized address.
 
     ``repositories`` has normalized_url, full_name and stars, one row per
-    address. A candidate without a link passes; a link that is no repository
-    or has no usable metadata rejects.
+    address, and where known the raw_document_id and retrieved_at of its response,
+    which become github_api_raw_document_id and github_api_retrieved_at. A candidate
+    without a link passes; a link that is no repository or has no usable metadata rejects.
     """
+    told = {
+        f"github_api_{name}": (F.col(name) if name in repositories.columns else F.lit(None)).cast(kind).alias(f"github_api_{name}")
+        for name, kind in (("raw_document_id", "string"), ("retrieved_at", "timestamp"))
+    }
     usable = repositories.filter((F.col("stars") >= 0) & (F.coalesce("full_name", F.lit("")) != ""))
     keyed = stage(parallel(candidates), {"normalized_url": repository_url(F.col("github_url"))})
     joined = lookup_join(
-        keyed, usable.select("normalized_url", "full_name", "stars"), ["normalized_url"], "left", spread=F.col(order)
+        keyed, usable.select("normalized_url", "full_name", "stars", *told.values()), ["normalized_url"], "left", spread=F.col(order)
     )
     linked = F.col("github_url").isNotNull()
     reason = F.when(linked & F.col("normalized_url").isNull(), "not_a_repository").when(

@@ -192,6 +192,51 @@ def paper_records(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("""
+WITH papers AS (SELECT * FROM orders WHERE o_orderkey % 4 <> 0 AND o_orderkey % 6 <> 0),
+joined AS (SELECT p.o_orderkey, b.o_orderkey IS NOT NULL AS known, c_custkey, 'arxiv:' || (2401 + p.o_orderkey // 90000) || '.' || (10000 + p.o_orderkey % 90000) AS arxiv,
+    sha256('papers_with_code' || chr(31) || sha256('https://papers.example.org/paper/p' || p.o_orderkey)) AS own FROM papers p
+  LEFT JOIN orders b ON b.o_orderkey = p.o_orderkey AND b.o_orderkey % 5 <> 0 LEFT JOIN customer c ON c.c_custkey = p.o_custkey AND c.c_custkey % 4 <> 0)
+SELECT o_orderkey, CASE WHEN NOT known THEN 'metadata_missing' WHEN c_custkey IS NULL THEN 'repository_unverified' WHEN o_orderkey % 13 = 0 THEN 'raw_document_missing' END AS reject_reason,
+  '["' || own || '"' || CASE WHEN known THEN ',"' || arxiv || '"' ELSE '' END || CASE WHEN c_custkey IS NOT NULL THEN ',"github:c' || c_custkey || '"' ELSE '' END || ']' AS raw_document_ids,
+  CASE WHEN known THEN arxiv END AS bibliographic_id, CASE WHEN known THEN 'arxiv_atom_v1' END AS bibliographic_parser, CASE WHEN c_custkey IS NOT NULL THEN 'github:c' || c_custkey END AS repository_id FROM joined""")
+def paper_evidence(spark: SparkSession, folder: str) -> DataFrame:
+    """Raw documents behind each paper record, all of which must be stored; some bibliographic ones are not."""
+    pages = derive(spark, folder, ARCHIVE_PAGES).select("o_orderkey", "body")
+    candidates = _with_raw(
+        archive.archive_candidates(archive.archive_rows(pages, "body")), "papers_with_code", F.col("canonical_url")
+    ).withColumns(
+        {"published_at": F.lit(None).cast("timestamp"), "authors": F.array().cast("array<string>"), "abstract": F.lit(None).cast("string")}
+    )
+    bibliography = derive(spark, folder, ARCHIVE_BIBLIOGRAPHY).withColumns(
+        {
+            "published_at": F.col("published_at").cast("timestamp"),
+            "authors": F.array(F.lit("A. Author")),
+            "raw_document_id": F.concat(F.lit("arxiv:"), "arxiv_id"),
+            "original_url": F.col("paper_url"),
+        }
+    )
+    repositories = derive(spark, folder, ARCHIVE_REPOSITORIES).withColumn(
+        "raw_document_id", F.concat(F.lit("github:c"), F.col("stars").cast("string"))
+    )
+    number = F.regexp_extract("title", r"([0-9]+)$", 1).cast("long")
+    stored = (
+        candidates.select("raw_document_id")
+        .unionByName(bibliography.filter(number % 13 != 0).select("raw_document_id"))
+        .unionByName(repositories.select("raw_document_id"))
+    )
+    made = ingest.paper_records(candidates, bibliography, repositories, "o_orderkey", raw_documents=stored)
+    field = lambda name: F.get_json_object("payload", f"$.provenance.extractionMetadata.{name}")
+    return made.select(
+        "o_orderkey",
+        "reject_reason",
+        field("raw_document_ids").alias("raw_document_ids"),
+        field("bibliographic_raw_document_id").alias("bibliographic_id"),
+        field("bibliographic_parser").alias("bibliographic_parser"),
+        field("github_api_raw_document_id").alias("repository_id"),
+    )
+
+
 def _supplier_seeds(spark: SparkSession, folder: str) -> DataFrame:
     return derive(spark, folder, SEEDS).select("entity_id", "canonical_name", F.array("alias").alias("aliases"))
 

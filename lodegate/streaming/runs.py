@@ -37,7 +37,7 @@ class RunStore:
     schema: T.StructType
     key: str
     merge: Merge
-    buckets: int = 64
+    buckets: int = 16
 
     def bucket(self, key: Column) -> Column:
         return F.pmod(F.xxhash64(key), F.lit(self.buckets)).cast("int")
