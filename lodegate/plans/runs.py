@@ -261,6 +261,22 @@ def startup_records(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("""
+SELECT CASE WHEN s_suppkey % 4 = 0 THEN 'Again' ELSE s_name END AS raw_name, CASE WHEN s_suppkey % 4 <> 0 THEN s_name END AS canonical_name, 'ycombinator' AS source,
+  CASE WHEN s_suppkey % 4 = 0 THEN 'unresolved' ELSE 'exact' END AS method, CASE WHEN s_suppkey % 4 = 0 THEN 2.0::DOUBLE / 22 ELSE 1.0::DOUBLE END AS confidence,
+  CASE WHEN s_suppkey % 4 = 0 THEN 'UNRESOLVED' ELSE 'AUTO_MATCH' END AS status, sha256('ycombinator' || chr(31) || 'https://s.example.org/c/' || s_suppkey) AS record_id
+FROM supplier""")
+def startup_mapping_log(spark: SparkSession, folder: str) -> DataFrame:
+    """How a run mapped the names of the startups it stored, with the names as they were found."""
+    found = directories.organization_candidates(derive(spark, folder, ORGANIZATION_PAGES), "html", "s_suppkey")
+    candidates = _with_raw(found, "ycombinator", F.col("canonical_url"))
+    log = ingest.startup_mappings(candidates, "s_suppkey", _supplier_seeds(spark, folder))
+    return log.select(
+        F.col("rawName").alias("raw_name"), F.col("canonicalName").alias("canonical_name"), "source", "method", "confidence", "status",
+        F.col("recordId").alias("record_id"),
+    )
+
+
 @query("""
 WITH priced AS (SELECT *, CASE p_partkey % 9 WHEN 0 THEN 'FREEMIUM' WHEN 1 THEN 'FREE' WHEN 2 THEN 'FREE' WHEN 3 THEN 'FREE' WHEN 4 THEN 'PAID' WHEN 5 THEN 'ENTERPRISE' WHEN 6 THEN 'FREEMIUM' END AS pricing FROM part)
 SELECT p_partkey, sha256('product_hunt' || chr(31) || 'https://p.example.org/i/' || p_partkey) AS record_id, CASE WHEN p_partkey % 11 = 0 THEN 'PAID' ELSE pricing END AS pricing_model,
