@@ -84,6 +84,33 @@ def insert_new(incoming: DataFrame, path: str, key: str, order: str) -> DataFram
     return flagged
 
 
+def write_batch(rows: DataFrame, path: str, batch: int, key: str, order: str | None = None) -> None:
+    """Write a batch's new rows under a folder of its own, so that a repeated batch replaces itself.
+
+    Keys of earlier batches and later rows of a key stay out; ``order`` is unique in ``rows``, or
+    not given where the key itself is. A repeat with the same rows leaves the same table, whether the first attempt ended or not. A
+    batch without new rows writes nothing.
+    """
+    stored = read_table(rows.sparkSession, path)
+    earlier = None if stored is None else stored.filter(F.col("batch") < batch)
+    if order is not None:
+        fresh = inserted_flags(rows, earlier, key, order).filter("inserted").drop("inserted")
+    else:
+        keyed = rows.filter(F.col(key).isNotNull())
+        fresh = keyed if earlier is None else lookup_join(keyed, earlier.select(key), [key], "left_anti", spread=F.col(key))
+    keyed = fresh.withColumn("batch", F.lit(batch).cast("long"))
+    keyed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(path)
+
+
+def first_responses(responses: DataFrame) -> DataFrame:
+    """The earliest response of each raw document, without its body; ties by all that is known of it."""
+    others = [c for c in responses.columns if c not in ("raw_document_id", "retrieved_at", "headers", "body")]
+    heads = F.array_sort(F.map_entries("headers")).alias("heads")  # maps have no order
+    known = F.struct("retrieved_at", *others, heads)
+    first = responses.filter(F.col("raw_document_id").isNotNull()).groupBy("raw_document_id").agg(F.min(known).alias("first"))
+    return first.select("raw_document_id", "first.*").withColumn("headers", F.map_from_entries("heads")).drop("heads")
+
+
 def append_lines(rows: DataFrame, path: str) -> None:
     """Append rows to a folder of JSON lines, nulls written out."""
     rows.write.mode("append").option("ignoreNullFields", False).json(path)

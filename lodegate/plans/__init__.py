@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-_MODULES = ("identities", "gates", "documents", "extractions", "entities", "records", "states", "runs")
+_MODULES = ("identities", "gates", "documents", "extractions", "entities", "records", "states", "runs", "landing")
 
 
 def load_queries():
