@@ -58,19 +58,35 @@ def reason_counts(decided: DataFrame, by: list[str], failures: DataFrame | None
     return reasons.groupBy(*by, "reason").agg(F.count(F.lit(1)).alias("records"))
 
 
-def gate_summary(decided: DataFrame, by: str) -> DataFrame:
+def with_landed(rows: DataFrame, documents: DataFrame, by: str) -> DataFrame:
+    """The rows marked ``landed`` false, and one row marked true per landed document that has only its source.
+
+    So one grouping counts both: a source whose documents hold nothing still has a row, and no
+    document is read for more than its source.
+    """
+    return rows.withColumn("landed", F.lit(False)).unionByName(
+        documents.select(by, F.lit(True).alias("landed")), allowMissingColumns=True
+    )
+
+
+def gate_summary(decided: DataFrame, by: str, documents: DataFrame | None = None) -> DataFrame:
     """Counters per source and, with a null source, over all of them.
 
-    ``decided`` has a status and whether an accepted row won its duplicate check.
+    ``decided`` has a status and whether an accepted row won its duplicate check. With the landed
+    ``documents`` there is also ``discovered``, how many of them a source has.
     """
     accepted = F.col("status") == "ACCEPT"
-    return decided.rollup(by).agg(
-        F.count(F.lit(1)).alias("parsed"),
+    counted = [
+        F.count("status").alias("parsed"),
         F.count_if(accepted & F.col("claimed")).alias("accepted"),
         F.count_if(F.col("status") == "REJECT").alias("rejected"),
         F.count_if(F.col("status") == "QUARANTINE").alias("quarantined"),
         F.count_if(accepted & ~F.col("claimed")).alias("duplicates"),
-    )
+    ]
+    if documents is None:
+        return decided.rollup(by).agg(*counted)
+    rows = with_landed(decided.select(by, "status", "claimed"), documents, by)
+    return rows.rollup(by).agg(F.count_if("landed").alias("discovered"), *counted)
 
 
 def reason_map(decided: DataFrame, by: str, failures: DataFrame | None = None) -> DataFrame:

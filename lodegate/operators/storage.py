@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lodegate.functions.binding import stage
 from lodegate.functions.identity import canonical_url, content_hash, raw_document_id, storage_key
+from lodegate.operators.freshness import with_landed
 from lodegate.scale import lookup_join
 from lodegate.session import materialize
 
@@ -128,12 +129,19 @@ def missing_references(rows: DataFrame, column: str, documents: DataFrame, key:
     return lookup_join(rows, known, [column], "left_anti", spread=spread)
 
 
-def insert_counts(flagged: DataFrame, by: str) -> DataFrame:
-    """Parsed, inserted, duplicate and rejected records per source and in total."""
+def insert_counts(flagged: DataFrame, by: str, documents: DataFrame | None = None) -> DataFrame:
+    """Parsed, inserted, duplicate and rejected records per source and in total.
+
+    With the landed ``documents`` there is also ``discovered``, how many of them a source has.
+    """
     rejected = F.col("reject_reason").isNotNull()
-    return flagged.rollup(by).agg(
-        F.count(F.lit(1)).alias("parsed"),
+    counted = [
+        F.count("inserted").alias("parsed"),
         F.count_if(~rejected & F.col("inserted")).alias("inserted"),
         F.count_if(~rejected & ~F.col("inserted")).alias("duplicates"),
         F.count_if(rejected).alias("rejected"),
-    )
+    ]
+    if documents is None:
+        return flagged.rollup(by).agg(*counted)
+    rows = with_landed(flagged.select(by, "reject_reason", "inserted"), documents, by)
+    return rows.rollup(by).agg(F.count_if("landed").alias("discovered"), *counted)

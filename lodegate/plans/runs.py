@@ -91,6 +91,16 @@ def feed_reason_map(spark: SparkSession, folder: str) -> DataFrame:
     return counted.select("source_id", F.array_join(shown, ",").alias("reasons"))
 
 
+@query(f"""WITH {_GATED.format(key='item_position')}, found AS (SELECT count(*) AS discovered FROM orders), counted AS (
+  SELECT count(*) AS parsed, count(*) FILTER (claimed) AS accepted, count(*) FILTER (reason IN ('future_date', 'stale_date')) AS rejected,
+    count(*) FILTER (reason = 'date_unresolved') AS quarantined, count(*) FILTER (reason = 'fresh' AND NOT claimed) AS duplicates FROM claims)
+SELECT s AS source_id, found.*, counted.* FROM found, counted, (VALUES ('shop_feed'), (NULL)) AS sources(s)""")
+def feed_run_summary(spark: SparkSession, folder: str) -> DataFrame:
+    """The counters of a run over all feeds, those that are no XML among the discovered ones."""
+    fed = _feeds(spark, folder)
+    return ingest.feed_summary(ingest.decide_feed(fed, "news", _noon()), fed)
+
+
 @query(f"""WITH {_GATED.format(key='item_position')}
 SELECT sha256('shop_feed' || chr(31) || canonical_url) AS record_id, title, 'AI' AS category,
   (epoch_us(TIMESTAMP '2024-01-05 12:00:00') - epoch_us(published_at)) / 1000000.0::DOUBLE / 3600.0::DOUBLE AS age_hours, '' AS problems FROM claims WHERE claimed""")
@@ -297,3 +307,20 @@ def product_records(spark: SparkSession, folder: str) -> DataFrame:
         F.get_json_object("payload", "$.provenance.extractionMethod").alias("method"),
         F.array_join("problems", ",").alias("problems"),
     )
+
+
+@query(f"""
+WITH found AS (SELECT *, p_partkey % 3 = 0 AS known FROM part WHERE p_partkey % 5 <> 2),
+made AS (SELECT *, p_partkey % 9 IN (0, 1, 2, 3, 4, 5, 6) AS valid FROM found),
+counted AS (SELECT (SELECT count(*) FROM part) AS discovered, count(*) FILTER (valid) AS parsed, count(*) FILTER (valid AND NOT known) AS inserted,
+  count(*) FILTER (valid AND known) AS duplicates, 0::BIGINT AS rejected FROM made)
+SELECT s AS source_id, counted.* FROM counted, (VALUES ('product_hunt'), (NULL)) AS sources(s)""")
+def product_run_summary(spark: SparkSession, folder: str) -> DataFrame:
+    """The counters of a product run into a table that holds every third product."""
+    pages = derive(spark, folder, PRODUCT_PAGES)
+    found = directories.product_candidates(pages, "html", "p_partkey")
+    made = ingest.product_records(_with_raw(found, "product_hunt", F.col("canonical_url")), "p_partkey")
+    address = F.concat(F.lit("https://p.example.org/i/"), F.col("p_partkey").cast("string"))
+    stored = table(spark, folder, "part").filter("p_partkey % 3 = 0").select(identity.record_id(F.lit("product_hunt"), address).alias("record_id"))
+    documents = pages.select(F.lit("product_hunt").alias("source_id"))
+    return ingest.record_summary(made, documents, stored, "p_partkey")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lodegate.operators.components import components, contractions
 from lodegate.operators.dedupe import claim
-from lodegate.operators import matching
+from lodegate.operators import ingest, matching
 from lodegate.operators.entities import alias_conflicts, check_seeds, resolve_names
 from lodegate.operators.extraction import merge_extractions
 from lodegate.operators.limits import Breaker, circuit_breaker, token_bucket
@@ -349,3 +349,17 @@ def test_conflicting_aliases_are_refused(spark):
     assert alias_conflicts(seeds).count() == 1
     with pytest.raises(ValueError):
         check_seeds(seeds)
+
+
+def test_summaries_count_documents_without_candidates(spark):
+    documents = spark.createDataFrame([("a",), ("a",), ("b",), (None,)], "source_id string")
+    made = spark.createDataFrame(
+        [(1, "a", "r1", ["bad"]), (2, "a", "r1", []), (3, "a", "r1", []), (4, "a", "r2", [])],
+        "n int, source_id string, record_id string, problems array<string>",
+    )
+    stored = spark.createDataFrame([("r2",)], "record_id string")
+    counted = ingest.record_summary(made, documents, stored, "n")
+    got = sorted((r["source_id"] or "", r["discovered"], r["parsed"], r["inserted"], r["duplicates"], r["rejected"]) for r in counted.collect())
+    assert got == [("", 1, 0, 0, 0, 0), ("", 4, 4, 1, 2, 1), ("a", 2, 4, 1, 2, 1), ("b", 1, 0, 0, 0, 0)]
+    empty = ingest.record_summary(made.limit(0), documents.limit(0), None, "n").collect()
+    assert [tuple(r)[1:] for r in empty] in ([], [(0, 0, 0, 0, 0)])
