@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lodegate.llm.context import materialize, prepare
+from lodegate.scale import lookup_join
+from lodegate.session import scratch_path
 
 VERSION = "WARC/1.1"
 _MARKER = b"\r\n\r\nWARC/1."
@@ -193,7 +195,15 @@ def _http_payload() -> Column:
 
 
 def captures(records: DataFrame) -> DataFrame:
-    """One nested row per capture: the response or revisit with its request and metadata."""
+    """One nested row per capture: the response or revisit with its request and metadata.
+
+    Archives are read once, into a table with a folder per kind of record, so that a side of the
+    joins reads its own records alone.
+    """
+    spark = records.sparkSession
+    path = scratch_path(spark, "records")
+    records.write.partitionBy("record_type").parquet(path)
+    records = spark.read.schema(records.schema).parquet(path)
     head = records.filter("record_type IN ('response', 'revisit')").select(
         "record_id", "record_type", "target_uri", "date", "payload_digest", F.col("refers_to").alias("refers_to_id"),
         _http_payload().alias("payload"),
@@ -226,7 +236,9 @@ def resolved(captured: DataFrame) -> DataFrame:
         F.col("record_id").alias("refers_to_id"), F.col("page_id").alias("refers_to"),
         F.col("payload_bytes").alias("bytes"), F.col("payload_sha256").alias("sha256"),
     )
-    joined = rows.join(first, "refers_to_id", "left")
+    # Most rows refer to nothing and need no join; of the others one response may have most.
+    revisits = lookup_join(rows.filter("refers_to_id IS NOT NULL"), first, ["refers_to_id"], "left", spread=F.col("record_id"))
+    joined = rows.filter("refers_to_id IS NULL").unionByName(revisits, allowMissingColumns=True)
     return joined.select(
         "page_id", F.coalesce("bytes", "payload_bytes").alias("payload_bytes"), F.coalesce("sha256", "payload_sha256").alias("payload_digest"),
         "record_type", "refers_to",
