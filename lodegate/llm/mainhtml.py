@@ -1,14 +1,15 @@
 """Main text of web pages by line-block distribution.
 
-Markup is stripped into lines, one per block element. A line's weight is its text length, and 0
-where its elements say that it is no article text: menus, headers, footers, asides, forms,
-notices, adverts, comments, scripts, hidden parts; where the page marks its article, all lines
-outside it; elsewhere also the text of links. The distribution is the sum of weights over a
-sliding window of lines. It surges where it rises over a threshold (0 inside a marked article)
-and dives where it is 0 again; the weighted lines between surge and dive are the text, short ones
-included.
-
-Defined cases: a null or empty page and a page without a surge have the empty text; equal rows
+Markup is stripped into lines, one per block element. A line's weight is its text length without
+that of links, and 0 where its elements say that it is no article text: menus, headers, footers,
+asides, forms, notices, adverts, comments, scripts, hidden parts. Where the page marks its article,
+a line inside weighs a surge more, links included, and of a line outside counts what is longer than
+four surges. The distribution is the sum of weights over a sliding window of lines. A stretch of it
+begins where it leaves 0 and dives where it is 0 again; it surges if its peak is over the threshold,
+the same on every page. The weighted lines of the surging stretches are the text, short ones
+included; on a page where none surges they are those of the highest.
+
+Defined cases: a null or empty page and a page without a weighted line have the empty text; equal rows
 get equal results; truncated and unclosed markup is read as far as it goes; an empty table gives
 an empty one; other columns are not looked at.
 """
@@ -26,6 +27,7 @@ from pyspark.sql import DataFrame, functions as F
 from lodegate.llm.context import prepare
 
 WINDOW, SURGE = 3, 80
+OUTSIDE = 4  # surges that a line outside a marked article has to exceed
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -156,30 +158,37 @@ def lines(html: str) -> list[tuple[str, bool, int, int]]:
     return out
 
 
+def weigh(found: list[tuple[str, bool, int, int]], surge: int = SURGE) -> np.ndarray:
+    """The weight of each line; markup moves weights and decides nothing else."""
+    # An article counts before the main element around it if it holds most of its text.
+    inner, outer = (sum(len(text) for text, good, inside, _ in found if good and inside >= level) for level in (2, 1))
+    marked = 0 if not outer else 2 if 2 * inner >= outer else 1
+
+    def weight(text: str, good: bool, inside: int, link: int) -> int:
+        if not good:
+            return 0
+        if not marked:
+            return max(0, len(text) - link)
+        return len(text) + surge if inside >= marked else max(0, len(text) - link - OUTSIDE * surge)
+
+    return np.array([weight(*line) for line in found], dtype=np.int64)
+
+
 def main_text(html: str, window: int = WINDOW, surge: int = SURGE) -> str:
     found = lines(html)
     if not found:
         return ""
-    # An article counts before the main element around it if it holds most of its text.
-    inner, outer = (sum(len(text) for text, good, inside, _ in found if good and inside >= level) for level in (2, 1))
-    marked = 0 if not outer else 2 if 2 * inner >= outer else 1
-    weights = np.array([
-        0 if not good or inside < marked else len(text) if marked else max(0, len(text) - link)
-        for text, good, inside, link in found
-    ])
-    threshold = 0 if marked else surge
-    padded = np.concatenate([[0], np.cumsum(np.append(weights, np.zeros(window - 1, dtype=weights.dtype)))])
-    blocks = padded[window:] - padded[:-window]  # of the lines k to k + window - 1
-    kept, k = [], 0
-    while k < len(found):
-        if weights[k] and blocks[k] > threshold:  # surge
-            while k < len(found) and blocks[k]:  # to the dive
-                if weights[k]:
-                    kept.append(found[k][0])
-                k += 1
-        else:
-            k += 1
-    return "\n".join(kept)
+    weights = weigh(found, surge)
+    sums = np.concatenate([[0], np.cumsum(np.append(weights, np.zeros(window - 1, dtype=np.int64)))])
+    blocks = sums[window:] - sums[:-window]  # of the lines k to k + window - 1
+    # Each stretch over 0 rises from a line's start window to its dive; its peak tells whether it surges.
+    edges = np.flatnonzero(np.diff(np.concatenate([[0], (blocks > 0).astype(np.int8), [0]])))
+    stretches = [(start, stop, blocks[start:stop].max()) for start, stop in zip(edges[::2], edges[1::2])]
+    if not stretches:
+        return ""
+    least = min(surge + 1, max(peak for _, _, peak in stretches))
+    kept = [k for start, stop, peak in stretches if peak >= least for k in range(start, stop) if weights[k]]
+    return "\n".join(found[k][0] for k in kept)
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -12,7 +12,9 @@ from hypothesis import given, settings, strategies as st
 
 from lodegate.llm.chat import digests, read_back, windows
 from lodegate.llm.mainhtml import extract, main_text
+from lodegate.llm.context import table
 from lodegate.llm.pseudonyms import KEY_SETTING, _within, mask as mask_with, permute, pseudonymise, session_key
+from lodegate.llm.tokens import default_path, encoder
 from lodegate.llm.warc import capture_records, captures, read_records, resolved, write_archives
 from tests.llm.conftest import FOLDER
 from tests.llm.harness import differences
@@ -55,6 +57,13 @@ def test_chat_windows_read_back(spark):
         assert row["formatted"].startswith("<turn system>\n")
         assert row["n_repeated"] >= (row["window"] > 0)
         assert all(row["formatted"][s["start"] + s["length"] :].startswith("\n</turn>") for s in row["loss_spans"])
+    coder = encoder(default_path())
+    for row in shown.collect():
+        # Only a turn that has its window to itself may exceed the budget, and then no history stands before it.
+        blocks = row["formatted"].count("\n</turn>\n<turn ") + 1
+        if coder.encode([row["formatted"]])[0].size > 200:
+            assert blocks - row["n_repeated"] == 1 and row["n_repeated"] <= 1
+    assert any(row["n_repeated"] > 1 for row in long)
     assert windows(frame.filter("false")).count() == 0
     with pytest.raises(ValueError):
         windows(frame, budget=10, history=20)
@@ -208,6 +217,18 @@ def test_main_text_of_given_pages(spark):
 LONG = "This sentence is long enough to be the body of an article and goes on for a while, as they do. "
 
 
+def test_markup_moves_weights_and_the_distribution_decides(spark):
+    pages = [r["html"] for r in table(spark, FOLDER, "pages").filter("html IS NOT NULL").collect()]
+    for html in pages:
+        assert main_text(re.sub(r"<(/?)article\b", r"<\1div", html)) == main_text(html)
+    long = "<p>" + "Words of the story go on. " * 20 + "</p>"
+    teaser = "<article><p>Read more here.</p></article>"
+    assert "story" in main_text(f"<div>{long}</div>{teaser}")
+    assert main_text("<article><p>Short.</p></article><div>By someone</div>") == "Short."
+    assert main_text("<div>Short.</div>") == "Short."
+    assert main_text("<nav><a>Home</a></nav>") == ""
+
+
 def test_main_text_without_article_markup():
     html = f"""<html><head><title>t</title><style>x</style></head><body class="has-sidebar"><header><h1>Site</h1></header>
     <div class="menu"><p>{LONG}</p></div><div id="content"><h2>Title &amp; more</h2><p>{LONG}<p>Short.<ul><li>a <a href="/">link</a> in it
