@@ -117,8 +117,11 @@ def resolved_name(raw: Column, canonical: Column, status: Column) -> Column:
     return F.when((status == "AUTO_MATCH") & (F.coalesce(canonical, F.lit("")) != ""), canonical).otherwise(raw)
 
 
-def mapping_rows(resolved: DataFrame, name: str, source: Column, record_id: Column, at: Column) -> DataFrame:
-    """Append-only log rows of how names were mapped."""
+def mapping_rows(
+    resolved: DataFrame, name: str, source: Column, record_id: Column, at: Column, mapping_id: Column | None = None
+) -> DataFrame:
+    """Append-only log rows of how names were mapped, with the place of a row in its batch where that is given."""
+    numbered = [] if mapping_id is None else [mapping_id.alias("mappingId")]
     return resolved.select(
         F.col(name).alias("rawName"),
         F.col("canonical_name").alias("canonicalName"),
@@ -128,6 +131,7 @@ def mapping_rows(resolved: DataFrame, name: str, source: Column, record_id: Colu
         "status",
         record_id.alias("recordId"),
         at.alias("createdAt"),
+        *numbered,
     )
 
 

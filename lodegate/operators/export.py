@@ -23,6 +23,7 @@ TAB_TABLES = {
 }
 REQUIRED_TABS = tuple(TAB_TABLES)
 EMPTY_HEADER = "record"
+LOG_ORDER = ("batch", "mappingId")  # where a row stands in an appended log; no cells
 
 
 def check_tabs(names: Collection[str]) -> None:
@@ -106,6 +107,9 @@ def _shown(tab: DataFrame | None) -> DataFrame | None:
     """A tab's cells along its headers in the order of its key, or None if it has no row."""
     if tab is None or tab.isEmpty():
         return None
+    placed = [name for name in LOG_ORDER if name in tab.columns]
+    if "payload" not in tab.columns and placed:
+        return tabularize(tab.orderBy(*placed).drop(*placed))
     if "payload" not in tab.columns:
         rows = tabularize(tab)
         return rows.orderBy(rows.columns[0])

@@ -7,7 +7,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from lodegate.functions import identity
 from lodegate.operators import ingest
 from lodegate.operators.enrichment import read_articles
+from lodegate.operators.export import write_csv
 from lodegate.operators.freshness import reason_map
+from lodegate.operators.storage import write_batch
 from lodegate.plans.documents import (
     FEEDS,
     _FEED_ITEMS_SQL,
@@ -21,7 +23,9 @@ from lodegate.plans.identities import CANONICAL_SQL, canonical_urls
 from lodegate.plans.records import _SHOWN
 from lodegate.plans.registry import derive, plain, query, table
 from lodegate.scale import first_per_key
+from lodegate.session import scratch_path
 from lodegate.sources import archive, directories, feeds
+from lodegate.sources.tables import read_tabs
 
 
 def _noon() -> Column:
@@ -324,3 +328,27 @@ def product_run_summary(spark: SparkSession, folder: str) -> DataFrame:
     stored = table(spark, folder, "part").filter("p_partkey % 3 = 0").select(identity.record_id(F.lit("product_hunt"), address).alias("record_id"))
     documents = pages.select(F.lit("product_hunt").alias("source_id"))
     return ingest.record_summary(made, documents, stored, "p_partkey")
+
+
+@query("""
+SELECT 'Products' AS tab, sha256('product_hunt' || chr(31) || 'https://p.example.org/i/' || p_partkey) AS record_id, NULL AS raw_name, NULL AS status
+FROM part WHERE p_partkey % 9 IN (0, 1, 2, 3, 4, 5, 6) AND p_partkey % 5 <> 2
+UNION ALL
+SELECT 'Entity Mapping Log', sha256('ycombinator' || chr(31) || 'https://s.example.org/c/' || s_suppkey), CASE WHEN s_suppkey % 4 = 0 THEN 'Again' ELSE s_name END,
+  CASE WHEN s_suppkey % 4 = 0 THEN 'UNRESOLVED' ELSE 'AUTO_MATCH' END FROM supplier""")
+def stored_export(spark: SparkSession, folder: str) -> DataFrame:
+    """Products and a mapping log are stored, each batch twice, and exported from their tables."""
+    root = scratch_path(spark, "tables")
+    found = directories.product_candidates(derive(spark, folder, PRODUCT_PAGES), "html", "p_partkey")
+    made = ingest.product_records(_with_raw(found, "product_hunt", F.col("canonical_url")), "p_partkey")
+    valid = made.filter(F.size("problems") == 0).select("p_partkey", "record_id", "payload")
+    found = directories.organization_candidates(derive(spark, folder, ORGANIZATION_PAGES), "html", "s_suppkey")
+    log = ingest.startup_mappings(_with_raw(found, "ycombinator", F.col("canonical_url")), "s_suppkey", _supplier_seeds(spark, folder))
+    for _ in range(2):
+        write_batch(valid, f"{root}/products", 1, "record_id", "p_partkey")
+        write_batch(log, f"{root}/entity_mapping_log", 1, "recordId", "mappingId")
+    paths = write_csv(read_tabs(spark, root), scratch_path(spark, "export"))
+    read = lambda tab: spark.read.option("header", True).option("escape", '"').csv(paths[tab]).withColumn("tab", F.lit(tab))
+    none = F.lit(None).cast("string")
+    products = read("Products").select("tab", F.col("recordId").alias("record_id"), none.alias("raw_name"), none.alias("status"))
+    return products.unionByName(read("Entity Mapping Log").select("tab", F.col("recordId").alias("record_id"), F.col("rawName").alias("raw_name"), "status"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lodegate.functions.binding import json_value
 from lodegate.functions.text import entity_slug
-from lodegate.operators.export import TAB_TABLES
+from lodegate.operators.export import LOG_ORDER, TAB_TABLES
 from lodegate.operators.storage import read_table
 
 # Names of the starter set of entities.
@@ -67,10 +67,21 @@ def starter_seeds(spark: SparkSession) -> DataFrame:
 
 
 def read_tabs(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """Stored tables behind the export tabs, ordered by their key; absent tables are left out."""
+    """Stored tables behind the export tabs; absent tables are left out.
+
+    Records are their id and payload in the order of the id, the mapping log its own columns in the
+    order in which its rows were appended, or of their time where that is not stored.
+    """
     tabs = {}
     for tab, name in TAB_TABLES.items():
         stored = read_table(spark, f"{root.rstrip('/')}/{name}")
-        if stored is not None:
-            tabs[tab] = stored.orderBy("createdAt" if name == "entity_mapping_log" else "record_id")
+        if stored is None:
+            continue
+        if name == "entity_mapping_log":
+            placed = [column for column in LOG_ORDER if column in stored.columns]
+            tabs[tab] = stored.orderBy(*(placed or ["createdAt"]))
+        elif "payload" in stored.columns:
+            tabs[tab] = stored.select("record_id", "payload").orderBy("record_id")
+        else:
+            tabs[tab] = stored.orderBy("record_id")
     return tabs

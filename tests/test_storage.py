@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lodegate.operators import export
 from lodegate.operators.records import violations
-from lodegate.operators.storage import insert_new, raw_documents, read_table, write_raw
+from lodegate.operators.storage import insert_new, raw_documents, read_table, write_batch, write_raw
 from lodegate.sources import catalog, tables
 
 
@@ -146,3 +146,18 @@ def base_record(**changes):
 def test_news_rules(spark, changes, problems):
     frame = spark.createDataFrame([(base_record(**changes),)], "payload string")
     assert frame.select(violations(F.col("payload"), "NEWS")).first()[0] == problems
+
+
+def test_stored_log_is_exported_in_the_order_it_was_appended(spark, tmp_path):
+    root, out = str(tmp_path / "tables"), str(tmp_path / "out")
+    rows = [("z", 1, "r1"), ("a", 2, "r2"), ("m", 3, "r3")]
+    log = spark.createDataFrame(rows, "rawName string, mappingId long, recordId string")
+    later = spark.createDataFrame([("b", 1, "r4"), ("again", 2, "r1")], log.schema)
+    for batch, given in ((1, log), (2, later), (2, later)):
+        write_batch(given, f"{root}/entity_mapping_log", batch, "recordId", "mappingId")
+    paths = export.write_csv(tables.read_tabs(spark, root), out)
+    shown = spark.read.option("header", True).csv(paths["Entity Mapping Log"])
+    assert shown.columns == ["rawName", "recordId"]
+    parts = sorted(Path(paths["Entity Mapping Log"]).glob("part-*.csv"))
+    names = [row["rawName"] for part in parts for row in csv.DictReader(part.open())]
+    assert names == ["z", "a", "m", "b"]
