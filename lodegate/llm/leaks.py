@@ -5,8 +5,9 @@ that some document of the corpus holds, counted over all of it; the other grams
 text position that holds a seed proposes the item around it; proposals of one item that overlap
 are one passage. The local alignment of the item with the passage gains 1 for an equal
 word and loses 1 for a changed, missing or added one; the score is its gain over the item's words.
-A short item needs a gain of 8, or all its words, beside the score, as two common words prove nothing;
-where the passage holds a gram that few texts have, a gain of 6 is enough, or from 6 words on all but 2.
+``aligned_passages`` returns every passage whose score reaches the threshold, with its gain and in how many
+texts its rarest gram occurs, whatever the corpus is. Two common words prove nothing, so ``find_leaks``
+asks for evidence beside the score (``evident``), which a caller may change or leave out.
 Items are taken in blocks of bounded size against all texts, so either side may grow.
 
 Each character of a script without spaces is a word.
@@ -19,20 +20,18 @@ best score counts; an empty table on either side gives an empty one.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from lodegate.llm.arrays import Texts, chunks, list_array
 from lodegate.llm.context import materialize, prepare, texts
 
 GRAM = 3
-THRESHOLD, LEAST_GAIN = 0.4, 8
-# With a gram that at most so many texts hold, or such a share of them, the least gain is smaller.
-RARE_GAIN, RARE_EDITED, RARE_TEXTS, RARE_SHARE = 6, 6, 10, 0.01
+THRESHOLD = 0.4
 _UNSPACED = "[" + "".join(rf"\p{{{name}}}" for name in ("Han", "Hiragana", "Katakana", "Thai", "Lao", "Khmer", "Myanmar")) + "]"
 BLOCK_WORDS = 400_000
 _INSIDE = np.zeros(256, dtype=bool)
@@ -122,35 +121,34 @@ def align(items: np.ndarray, item_sizes: np.ndarray, passages: np.ndarray, passa
 _CELLS = 1 << 21
 
 
+_PASSAGE = ("item_id", "score", "gain", "item_words", "rarest", "start", "stop")
+
+
 def _search(shared, threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, words, bounds, seeds, seed_items, seed_places, seed_rare = shared.value
+        ids, words, bounds, seeds, seed_items, seed_places, seed_texts = shared.value
         sizes = np.diff(bounds)
-        least = np.minimum(LEAST_GAIN, sizes)
-        least_rare = np.where(sizes < RARE_EDITED, least, np.minimum(RARE_GAIN, sizes - 2))
         known = _Set(seeds)
         order = np.argsort(seeds, kind="stable")
         first = np.searchsorted(seeds[order], known.hashes)
         many = np.diff(np.append(first, seeds.size))
         for batch in batches:
             for low, high, part in chunks(_spaced(batch.column(1)), _INSIDE):
-                for owner, item, start, stop, rare in _passages(part, known, order, first, many, seed_items, seed_places, seed_rare, sizes):
+                for owner, item, start, stop, rarest in _passages(part, known, order, first, many, seed_items, seed_places, seed_texts, sizes):
                     gain = _score(part, owner, item, start, stop, words, bounds)
                     score = gain / np.maximum(sizes[item], 1)
-                    near = (score >= threshold - 1e-12) & (gain >= np.where(rare, least_rare[item], least[item]))
+                    near = score >= threshold - 1e-12
                     keys = batch.column(0)[low:high].take(pa.array(owner[near]))
-                    yield pa.RecordBatch.from_arrays(
-                        [keys, pa.array(ids[item[near]]), pa.array(score[near]), pa.array(start[near]), pa.array(stop[near])],
-                        ["doc_id", "item_id", "score", "start", "stop"],
-                    )
+                    numbers = (ids[item], score, gain, sizes[item], rarest, start, stop)
+                    yield pa.RecordBatch.from_arrays([keys, *[pa.array(x[near]) for x in numbers]], ["doc_id", *_PASSAGE])
 
     return run
 
 
-def _merge(owner, item, low, high, rare):
+def _merge(owner, item, low, high, texts_):
     """Passages of one text and item that overlap as one; passages that were merged may be merged again."""
     sort = np.lexsort((low, item, owner))
-    owner, item, low, high, rare = owner[sort], item[sort], low[sort], high[sort], rare[sort]
+    owner, item, low, high, texts_ = owner[sort], item[sort], low[sort], high[sort], texts_[sort]
     group = np.ones(owner.size, dtype=bool)
     group[1:] = (owner[1:] != owner[:-1]) | (item[1:] != item[:-1])
     # The furthest end so far within a group.
@@ -159,14 +157,14 @@ def _merge(owner, item, low, high, rare):
     new = group.copy()
     new[1:] |= low[1:] >= top[:-1]
     at = np.flatnonzero(new)
-    return owner[at], item[at], low[at], np.maximum.reduceat(top, at), np.logical_or.reduceat(rare, at)
+    return owner[at], item[at], low[at], np.maximum.reduceat(top, at), np.minimum.reduceat(texts_, at)
 
 
 _PROPOSALS = 1 << 19
 
 
-def _passages(part, known, order, first, many, seed_items, seed_places, seed_rare, sizes):
-    """(text, item, first word, word behind, holds a rare seed) of each passage that holds seeds of the item.
+def _passages(part, known, order, first, many, seed_items, seed_places, seed_texts, sizes):
+    """(text, item, first word, word behind, texts that hold its rarest seed) of each passage that holds seeds of the item.
 
     A bounded number of proposals at once; what the last text has so far is merged with its next.
     """
@@ -190,7 +188,7 @@ def _passages(part, known, order, first, many, seed_items, seed_places, seed_rar
         slack = sizes[item] // 4 + 4
         low = np.maximum(begin - slack, 0)
         high = np.minimum(begin + sizes[item] + slack, counts[owner])
-        found = _merge(owner, item, low, high, seed_rare[seed])
+        found = _merge(owner, item, low, high, seed_texts[seed])
         if held is not None:
             found = _merge(*(np.concatenate(x) for x in zip(held, found)))
         at = until
@@ -238,7 +236,7 @@ def _seeds(bounds: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return chosen, np.searchsorted(bounds, chosen, "right") - 1
 
 
-def find_leaks(
+def aligned_passages(
     docs: DataFrame,
     items: DataFrame,
     *,
@@ -249,7 +247,11 @@ def find_leaks(
     threshold: float = THRESHOLD,
     block_words: int = BLOCK_WORDS,
 ) -> DataFrame:
-    """(doc_id, item_id, score) of all texts and items that align with the threshold at least."""
+    """Each passage (words ``start`` to ``stop`` of a text) that holds a seed of an item and aligns with the threshold at least.
+
+    Beside the score: its gain, the item's words, how many texts hold the rarest gram that the passage
+    shares with the item, and how many texts there are.
+    """
     spark = prepare(docs.sparkSession)
     given = texts(docs, key, text).withColumn("text", F.lower("text"))
     tests = texts(items, item, item_text, {"key": "item_id"}).withColumn("text", F.lower("text"))
@@ -257,7 +259,8 @@ def find_leaks(
     total = hashed.agg(F.sum(F.size("words"))).first()[0] or 0
     blocks = max(1, -(-total // block_words))
     hashed = hashed.withColumn("block", F.pmod(F.xxhash64("item_id", "words"), F.lit(blocks)))
-    found = None
+    schema = "doc_id long, item_id long, score double, gain long, item_words long, rarest long, start long, stop long"
+    found = spark.createDataFrame([], f"{schema}, n_texts long")
     for block in range(blocks):
         rows = hashed.filter(F.col("block") == block).select("item_id", "words", "grams").collect()
         words, word_bounds = _flat(rows, "words")
@@ -269,13 +272,39 @@ def find_leaks(
         counted = given.mapInArrow(_count(shared), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).collect()
         seen = {row["gram"]: row["n"] for row in counted}
         counts = np.array([seen.get(gram, 0) for gram in grams.view(np.int64).tolist()], dtype=np.int64)
-        rare = counts <= max(RARE_TEXTS, RARE_SHARE * seen[None]) if seen else counts < 0
         chosen, owners = _seeds(gram_bounds, counts)
         places = chosen - gram_bounds[owners]
-        shared = spark.sparkContext.broadcast((ids, words, word_bounds, grams[chosen], owners, places, rare[chosen]))
-        part = given.mapInArrow(_search(shared, threshold), "doc_id long, item_id long, score double, start long, stop long")
-        found = part if found is None else found.unionByName(part)
-    if found is None:
-        return given.select("doc_id", F.lit(None).cast("long").alias("item_id"), F.lit(None).cast("double").alias("score")).filter("false")
-    item_id = F.when(F.col("item_id") != np.iinfo(np.int64).min, F.col("item_id")).alias("item_id")
-    return found.groupBy("doc_id", item_id).agg(F.max("score").alias("score"))
+        shared = spark.sparkContext.broadcast((ids, words, word_bounds, grams[chosen], owners, places, counts[chosen]))
+        part = given.mapInArrow(_search(shared, threshold), schema)
+        found = found.unionByName(part.withColumn("n_texts", F.lit(seen.get(None, 0)).cast("long")))
+    known = F.when(F.col("item_id") != np.iinfo(np.int64).min, F.col("item_id"))
+    return found.withColumn("item_id", known)
+
+
+def evident(
+    least_gain: int = 8, rare_gain: int = 6, rare_edited: int = 6, rare_texts: int = 10, rare_share: float = 0.01
+) -> Column:
+    """Whether a passage is more than a chance meeting of common words.
+
+    It needs a gain of ``least_gain``, or all words of a shorter item. Where it holds a gram that at most
+    ``rare_texts`` texts have, or such a share of them, ``rare_gain`` is enough, or all words but 2 of an item
+    that has ``rare_edited`` words at least.
+    """
+    words, gain = F.col("item_words"), F.col("gain")
+    least = F.least(F.lit(least_gain), words)
+    rare = F.col("rarest") <= F.greatest(F.lit(float(rare_texts)), rare_share * F.col("n_texts"))
+    return gain >= F.when(rare & (words >= rare_edited), F.least(F.lit(rare_gain), words - 2)).otherwise(least)
+
+
+def find_leaks(docs: DataFrame, items: DataFrame, *, evidence: Callable[[], Column] | None = evident, **options) -> DataFrame:
+    """(doc_id, item_id, score, gain, item_words, rarest) of the best aligned passage of each text and item.
+
+    Without ``evidence`` every pair that reaches the threshold is there; ``options`` are those of ``aligned_passages``.
+    """
+    found = aligned_passages(docs, items, **options)
+    if evidence is not None:
+        found = found.filter(evidence())
+    best = F.max(F.struct("score", "gain", "item_words", (-F.col("rarest")).alias("rarest"))).alias("best")
+    return found.groupBy("doc_id", "item_id").agg(best).select(
+        "doc_id", "item_id", "best.score", "best.gain", "best.item_words", (-F.col("best.rarest")).alias("rarest")
+    )

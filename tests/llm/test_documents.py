@@ -298,7 +298,7 @@ def test_leaks_of_one_text_with_very_many_seeds(spark, monkeypatch):
     part = next(chunks(texts_, leaks._INSIDE))[2]
 
     def passages():
-        steps = leaks._passages(part, known, order, first, many, owner, np.arange(grams.size) - bounds[owner], owner == 2, sizes)
+        steps = leaks._passages(part, known, order, first, many, owner, np.arange(grams.size) - bounds[owner], np.where(owner == 2, 1, 50), sizes)
         return sorted(row for step in steps for row in zip(*(x.tolist() for x in step)))
 
     whole = passages()
@@ -326,6 +326,34 @@ def test_leaks_of_short_items(spark):
     assert {(r["doc_id"], r["item_id"]) for r in found} == expected | {(2000, 101), (3000, 102)}
 
 
+def test_all_alignments_whatever_the_corpus(spark):
+    """Without evidence a pair's row is the same in a small and a large corpus, and equals an alignment over whole texts."""
+    random_ = random.Random(4)
+    words = {k: [f"i{k}w{n}" for n in range(random_.randint(6, 18))] for k in range(40)}
+    rows = []
+    for k, item in words.items():
+        edited = [f"e{random_.randrange(1 << 30)}" if random_.random() < 0.25 else w for w in item if random_.random() > 0.1]
+        rows.append((k, " ".join(["before"] * 9 + edited + ["behind"] * 9)))
+    schema = "doc_id long, text string"
+    items = spark.createDataFrame([(k, " ".join(w)) for k, w in words.items()], "item_id long, text string")
+    more = spark.createDataFrame([(1000 + k, " ".join(words[0][:4]) + f" filler {k}") for k in range(60)], schema)
+    small = spark.createDataFrame(rows, schema)
+    expected = {}
+    for k, text in rows:
+        given = text.split()
+        gain = _align([hash(w) for w in words[k]], [hash(w) for w in given])
+        grams = {tuple(given[n : n + 3]) for n in range(len(given))}
+        if gain / len(words[k]) >= 0.4 and any(tuple(words[k][n : n + 3]) in grams for n in range(len(words[k]) - 2)):
+            expected[k] = gain
+    columns = ("doc_id", "item_id", "gain", "item_words")
+    found = {tuple(r[c] for c in columns) for r in find_leaks(small, items, evidence=None).collect()}
+    large = find_leaks(small.unionByName(more), items, evidence=None).filter("doc_id < 1000").collect()
+    assert found == {(k, k, gain, len(words[k])) for k, gain in expected.items()} == {tuple(r[c] for c in columns) for r in large}
+    strict = {tuple(r[c] for c in columns) for r in find_leaks(small, items).collect()}
+    assert strict < found
+    assert find_leaks(small, items, evidence=None).count() == find_leaks(small, items, evidence=None, block_words=60).count()
+
+
 def test_toxicity_held_out(spark):
     folder = "/root/testdata/sf0.01"
     documents, labels = (spark.read.parquet(f"{folder}/{name}.parquet") for name in ("documents", "labels"))
