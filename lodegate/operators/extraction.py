@@ -13,6 +13,7 @@ from lodegate.functions.binding import json_value, let
 from lodegate.functions.markup import is_object, kind
 from lodegate.functions.text import unfenced, whole_number
 from lodegate.scale import lookup_join
+from lodegate.session import materialize
 
 # Fixed value: instructions at the head of every prompt.
 INSTRUCTIONS = (
@@ -105,8 +106,8 @@ def facts(answer: Column, record_kind: str) -> Column:
 
 _LEAVES = T.ArrayType(
     T.StructType(
-        [T.StructField(name, T.StringType()) for name in ("path", "kind", "item", "value")]
-        + [T.StructField(name, T.IntegerType()) for name in ("position", "copy")]
+        [T.StructField(name, T.StringType()) for name in ("parent", "name", "kind", "item", "value")]
+        + [T.StructField(name, T.IntegerType()) for name in ("depth", "position", "copy")]
     )
 )
 
@@ -122,14 +123,15 @@ def _same(value):
     return value
 
 
-def _leaves(value, path: tuple[str, ...] = ()) -> Iterator[dict]:
-    row = {"path": json.dumps(path), "kind": "scalar", "item": None, "value": json.dumps(value, sort_keys=True), "position": 0, "copy": 0}
+def _leaves(value, parent: str = "", name: str = "", depth: int = 0) -> Iterator[dict]:
+    """A row for each path; quoted names in a row are a path, as no quoted name holds a bare quote."""
+    row = {"parent": parent, "name": name, "kind": "scalar", "item": None, "value": json.dumps(value, sort_keys=True), "depth": depth, "position": 0, "copy": 0}
     if value is None or value == {} or value == []:
         yield row | {"kind": "empty"}
     elif isinstance(value, dict):
         yield row | {"kind": "object", "value": None}
         for key, inner in value.items():
-            yield from _leaves(inner, (*path, key))
+            yield from _leaves(inner, parent + name, json.dumps(key), depth + 1)
     elif isinstance(value, list):
         yield row | {"kind": "list", "value": None}
         copies: dict[str, int] = {}
@@ -148,25 +150,22 @@ def _leaf_rows(payloads: pa.Array) -> pa.Array:
     return arrow_rows(payloads, lambda text: list(_leaves(json.loads(text))), _LEAVES)
 
 
-@F.arrow_udf(T.StringType())
-def _rebuild(groups: pa.Array) -> pa.Array:
-    def build(nodes) -> str:
-        merged: dict = {}
-        objects = {(): merged}
-        for node in sorted(nodes, key=lambda n: len(json.loads(n["path"]))):
-            path = tuple(json.loads(node["path"]))
-            if not path or path[:-1] not in objects:
-                continue
-            if node["kind"] == "object":
-                value = objects[path] = {}
-            elif node["kind"] == "list":
-                value = [json.loads(item) for item in node["items"]]
-            else:
-                value = json.loads(node["value"])
-            objects[path[:-1]][path[-1]] = value
-        return json.dumps(merged, sort_keys=True)
+_NODE = ["_key", "parent", "name"]
 
-    return arrow_rows(groups, build, T.StringType())
+
+def _joined(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """``text`` of each key's rows in the order of ``at``, by commas.
+
+    The rows are cut into ranges of key and order, so that the rows of a large key are joined in many
+    tasks, and only their texts, one a range, meet.
+    """
+
+    def in_order(at: str) -> Column:
+        return F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(F.col(at).alias("at"), "text"))), lambda row: row["text"]), ", ")
+
+    # Written down, so that the ranges stay as they are if a task is run again.
+    ranges = materialize(rows.repartitionByRange(*keys, "at").withColumn("range", F.spark_partition_id()), "ranges")
+    return ranges.groupBy(*keys, "range").agg(in_order("at").alias("text")).groupBy(*keys).agg(in_order("range").alias("text"))
 
 
 def merge_extractions(parts: DataFrame, key: str, order: str, payload: str) -> DataFrame:
@@ -175,43 +174,63 @@ def merge_extractions(parts: DataFrame, key: str, order: str, payload: str) -> D
     At every path the first non-empty value decides: objects merge with later
     objects, lists gain the unseen items of later lists, scalars stay. Null,
     {} and [] are empty; "", 0 and false are not. The parts become one row per
-    path and the decisions are map-side aggregates per path, so a key with very
-    many parts is spread out; only its merged result is assembled in one place.
+    path and the decisions are map-side aggregates per path. Objects are put together from the
+    deepest level up, a round each, and lists and objects range by range, so no task holds
+    the rows of a key. Null is a key as any other; a key without payloads gives no row. Names
+    in an object ascend by their escaped form.
     """
-    leaves = parts.select(key, F.col(order).alias("_seq"), F.explode(_leaf_rows(F.col(payload))).alias("_leaf")).select(
-        key, "_seq", "_leaf.*"
-    )
+    split = parts.select(F.struct(key).alias("_key"), F.col(order).alias("_seq"), F.explode(_leaf_rows(F.col(payload))).alias("_leaf"))
+    leaves = materialize(split.select("_key", "_seq", "_leaf.*"), "leaves")
     full = F.col("kind") != "empty"
-    chosen = (
+    chosen = materialize(
         leaves.filter(F.col("kind") != "item")
-        .groupBy(key, "path")
+        .groupBy(*_NODE, "depth")
         .agg(
             F.min(F.when(full, F.struct("_seq", "kind", "value"))).alias("_first"),
             F.max(F.when(~full, F.struct("_seq", "value"))).alias("_last_empty"),
         )
         .select(
-            key,
-            "path",
+            *_NODE,
+            "depth",
             F.coalesce("_first.kind", F.lit("empty")).alias("kind"),
             F.coalesce("_first.value", "_last_empty.value").alias("value"),
             F.col("_first._seq").alias("_from"),
-        )
+        ),
+        "nodes",
     )
     earliest = (
         leaves.filter(F.col("kind") == "item")
-        .groupBy(key, "path", "item", "copy")
+        .groupBy(*_NODE, "item", "copy")
         .agg(F.min(F.struct("_seq", "position", "value")).alias("_at"))
     )
-    lists = chosen.filter(F.col("kind") == "list").select(key, "path", "_from")
-    kept = (
-        lookup_join(earliest, lists, [key, "path"], "inner", spread=F.col("item"))
-        .filter((F.col("copy") == 0) | (F.col("_at._seq") == F.col("_from")))
-        .groupBy(key, "path")
-        .agg(F.transform(F.array_sort(F.collect_list("_at")), lambda at: at["value"]).alias("items"))
+    lists = chosen.filter(F.col("kind") == "list").select(*_NODE, "_from")
+    kept = lookup_join(earliest, lists, _NODE, "inner", spread=F.col("item")).filter(
+        (F.col("copy") == 0) | (F.col("_at._seq") == F.col("_from"))
     )
-    nodes = chosen.join(kept, [key, "path"], "left")
-    merged = nodes.groupBy(key).agg(F.collect_list(F.struct("path", "kind", "value", "items")).alias("_nodes"))
-    return merged.select(key, _rebuild(F.col("_nodes")).alias("merged"))
+    placed = kept.select(*_NODE, F.struct("_at._seq", "_at.position").alias("at"), F.col("_at.value").alias("text"))
+    items = materialize(_joined(placed, _NODE), "lists")
+    below = None
+    for depth in range(chosen.agg(F.max("depth")).first()[0] or 0, 0, -1):
+        nodes = chosen.filter(F.col("depth") == depth)
+        texts = nodes.filter(F.col("kind").isin("scalar", "empty")).select(*_NODE, F.col("value").alias("text"))
+        full_lists = _filled(nodes.filter(F.col("kind") == "list"), items, "[", "]")
+        objects = _filled(nodes.filter(F.col("kind") == "object"), below, "{", "}")
+        fields = texts.unionByName(full_lists).unionByName(objects)
+        at = F.expr("substring(name, 2, length(name) - 2)").alias("at")
+        field = F.concat("name", F.lit(": "), "text").alias("text")
+        below = _joined(fields.select("_key", F.col("parent").alias("path"), at, field), ["_key", "path"])
+    roots = chosen.filter(F.col("depth") == 0).select("_key", *[F.lit("").alias(name) for name in _NODE[1:]])
+    return _filled(roots, below, "{", "}").select(F.col(f"_key.{key}").alias(key), F.col("text").alias("merged"))
+
+
+def _filled(nodes: DataFrame, content: DataFrame | None, opening: str, closing: str) -> DataFrame:
+    """The text of lists or objects from that of their content."""
+    if content is None:
+        return nodes.select(*_NODE, F.lit(opening + closing).alias("text"))
+    wide = nodes.select(*_NODE, F.concat("parent", "name").alias("path"))
+    keys = [name for name in ("parent", "name", "path") if name in content.columns]
+    joined = wide.join(content, ["_key", *keys], "left")
+    return joined.select(*_NODE, F.concat(F.lit(opening), F.coalesce("text", F.lit("")), F.lit(closing)).alias("text"))
 
 
 # Providers -------------------------------------------------------------------

@@ -280,6 +280,34 @@ def test_merge_equals_sequential_fold(spark):
     assert got == expected
 
 
+def test_merge_of_odd_keys_and_payloads(spark):
+    rows = [
+        (None, 1, '{"a": [1], "b c": {"x": null}}'), (None, 2, '{"a": [2, 1], "b c": {"x": {"y\\"": "\\u00e9"}}}'),
+        (1, 1, None), (2, 1, "{}"), (3, 1, "[1, 2]"), (4, 1, "5"), (5, 1, '{"a": {"b": 1}}'), (5, 0, '{"a": 7}'),
+        (6, 1, '{"a": {"b": 1}, "a\\"": 1, "": {"": [[], {}]}}'),
+    ]
+    frame = spark.createDataFrame(rows, "parent int, depth int, text string")
+    got = {r["parent"]: r["merged"] for r in merge_extractions(frame, "parent", "depth", "text").collect()}
+    assert {k: json.loads(v) for k, v in got.items()} == {
+        None: {"a": [1, 2], "b c": {"x": {'y"': "é"}}}, 2: {}, 3: {}, 4: {}, 5: {"a": 7}, 6: {"a": {"b": 1}, 'a"': 1, "": {"": [[], {}]}},
+    }
+    assert got[None] == json.dumps(json.loads(got[None]), sort_keys=True)
+    assert merge_extractions(frame.filter("false"), "parent", "depth", "text").count() == 0
+
+
+def test_merge_of_one_key_with_very_many_items(spark):
+    """A million items and fields of one key, in their order, from many ranges."""
+    n = 1_000_000
+    rows = spark.range(n // 4, numPartitions=8).selectExpr(
+        "1 AS k", "id AS n", "concat('{\"l\": [', id * 2, ', ', id * 2 + 1, ', 0], \"f', id, '\": {\"v\": ', id, '}, \"s\": 1}') AS payload"
+    )
+    (row,) = merge_extractions(rows, "k", "n", "payload").collect()
+    merged = json.loads(row["merged"])
+    # The first part holds 0 twice and keeps both.
+    assert merged["l"] == [0, 1, 0, *range(2, n // 2)] and merged["s"] == 1
+    assert len(merged) == n // 4 + 2 and all(merged[f"f{k}"] == {"v": k} for k in range(0, n // 4, 97))
+
+
 def best_of_all_pairs(names, seeds):
     return {name: max((SequenceMatcher(None, name, key).ratio(), entity) for entity, key in seeds) for name in names}
 
