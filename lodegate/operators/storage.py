@@ -39,17 +39,23 @@ def raw_documents(responses: DataFrame) -> DataFrame:
 
 
 def write_raw(documents: DataFrame, path: str) -> None:
-    """Append evidence not stored yet, one folder per source and day."""
+    """Append evidence not stored yet, one folder per source and day; rows without an id stay out.
+
+    The earliest row of an id is written, of several at one time the least by all that is known of it,
+    so a repeat picks the same. Rows are numbered in a table; which to write is found without bodies.
+    """
     spark = documents.sparkSession
-    kept = documents
+    number = "row"
+    while number in documents.columns:
+        number += "_"
+    rows = materialize(documents.filter(F.col("raw_document_id").isNotNull()).withColumn(number, F.monotonically_increasing_id()), "raw")
+    known = F.struct("retrieved_at", *_known(documents.columns), _heads().alias("heads"), number)
+    first = rows.groupBy("raw_document_id").agg(F.min(known)[number].alias(number))
     stored = read_table(spark, path)
     if stored is not None:
-        kept = lookup_join(
-            documents, stored.select("raw_document_id").distinct(), ["raw_document_id"], "left_anti", spread=F.col("retrieved_at")
-        )
-    first = kept.groupBy("raw_document_id").agg(F.min_by(F.struct(*[c for c in kept.columns if c != "raw_document_id"]), "retrieved_at").alias("d"))
+        first = lookup_join(first, stored.select("raw_document_id").distinct(), ["raw_document_id"], "left_anti", spread=F.col(number))
     at = F.col("retrieved_at")
-    first.select("raw_document_id", "d.*").withColumns(
+    rows.join(first.select(number), [number], "left_semi").drop(number).withColumns(
         {"year": F.date_format(at, "yyyy"), "month": F.date_format(at, "MM"), "day": F.date_format(at, "dd")}
     ).write.mode("append").partitionBy(*RAW_PARTITIONS).parquet(path)
 
@@ -103,11 +109,18 @@ def write_batch(rows: DataFrame, path: str, batch: int, key: str, order: str | N
     keyed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(path)
 
 
+def _known(columns: list[str]) -> list[str]:
+    return [c for c in columns if c not in ("raw_document_id", "retrieved_at", "headers", "body")]
+
+
+def _heads() -> Column:
+    """The headers as a sorted list, as maps have no order."""
+    return F.array_sort(F.map_entries("headers"))
+
+
 def first_responses(responses: DataFrame) -> DataFrame:
     """The earliest response of each raw document, without its body; ties by all that is known of it."""
-    others = [c for c in responses.columns if c not in ("raw_document_id", "retrieved_at", "headers", "body")]
-    heads = F.array_sort(F.map_entries("headers")).alias("heads")  # maps have no order
-    known = F.struct("retrieved_at", *others, heads)
+    known = F.struct("retrieved_at", *_known(responses.columns), _heads().alias("heads"))
     first = responses.filter(F.col("raw_document_id").isNotNull()).groupBy("raw_document_id").agg(F.min(known).alias("first"))
     return first.select("raw_document_id", "first.*").withColumn("headers", F.map_from_entries("heads")).drop("heads")
 

@@ -39,6 +39,23 @@ def test_raw_evidence_is_written_once(spark, tmp_path):
     assert [f.name for f in Path(path).glob("source_id=s/year=2026/month=*")] == ["month=09"] or stored.select("month").first()[0] == 9
 
 
+def test_raw_evidence_of_one_time_is_chosen_alike(spark, tmp_path):
+    """Of equal ids the earliest response is written, and of those of one time the same whatever their order."""
+    rows = [
+        ("s", f"http://a.com/x?utm_id={n}", 200 + n % 2, {"etag": str(n)}, bytearray(b"<p>"), f"2026-09-11 10:00:0{second}")
+        for n, second in ((1, 5), (2, 3), (3, 3), (4, 3), (5, 9))
+    ]
+    written = []
+    for turn, given in enumerate((rows, rows[::-1])):
+        responses = spark.createDataFrame(
+            given, "source_id string, request_url string, status_code int, headers map<string,string>, body binary, at string"
+        ).select("*", F.col("request_url").alias("response_url"), F.col("at").cast("timestamp").alias("retrieved_at"))
+        path = str(tmp_path / str(turn))
+        write_raw(raw_documents(responses.repartition(3)).withColumn("row", F.lit(1)), path)
+        written.append([(r["original_url"], r["status_code"], r["headers"], r["row"]) for r in spark.read.parquet(path).collect()])
+    assert written[0] == written[1] == [("http://a.com/x?utm_id=2", 200, {"etag": "2"}, 1)]
+
+
 def test_json_lines_modes(spark, tmp_path):
     path = tmp_path / "log.jsonl"
     path.write_text('{"rawName":"a"}\n\nbroken\n{"rawName":"b"}\n')
