@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from lodegate.functions.readers import read_feed
 from lodegate.sources import feeds
 from lodegate.sources.adapters import Adapter, default_adapters
 from lodegate.streaming.queue import Handlers
@@ -55,3 +56,22 @@ def test_handlers_are_registered_once(spark):
         handlers.register("FETCH_URL", lambda rows: rows)
     with pytest.raises(ValueError):
         handlers.register("CLEAN_UP", lambda rows: rows)
+
+
+def test_quick_scan_is_spread_and_reads_entries_where_there_are_no_items(spark, tmp_path):
+    item = "<item><title>T</title><link>http://a.b/</link><description>x <b>y</b></description></item>"
+    entry = '<entry><title>E</title><link rel="x" href="http://e.f/g"/><summary>s</summary></entry>'
+    texts = [(0, item + entry + "<item><title>none</title></item>" + item), (1, entry), (2, "nothing")]
+    spark.createDataFrame(texts, "position int, xml string").coalesce(1).write.parquet(f"{tmp_path}/feeds")
+    frame = spark.read.parquet(f"{tmp_path}/feeds")
+    scanned = feeds.first_items(frame, "position", "xml")
+    assert sorted(tuple(r) for r in scanned.collect()) == [
+        (0, 0, "T", "https://a.b/", "x  y"), (0, 2, "T", "https://a.b/", "x  y"), (1, 0, "E", "https://e.f/g", "s"),
+    ]
+    assert scanned.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+
+
+def test_first_field_of_any_namespace_counts():
+    body = b'<rss xmlns:a="x" xmlns:b="y"><item><a:title>no</a:title><title/><title>late</title><a:date>1</a:date><b:date>2</b:date><link href=""/><a:link href="h"/></item></rss>'
+    (row,) = read_feed(body)
+    assert (row["title"], row["date"], row["link"], row["href"], row["author"]) == ("", "1", "", "h", None)
