@@ -10,6 +10,7 @@ from lodegate.functions.identity import repository_url
 from lodegate.functions.markup import article_author, article_body, article_date, article_pieces
 from lodegate.functions.text import casefold, is_remote, role_family
 from lodegate.scale import lookup_join, parallel
+from lodegate.session import materialize
 
 
 def hydrate(candidates: DataFrame, papers: DataFrame, order: str) -> DataFrame:
@@ -97,14 +98,32 @@ def read_articles(pages: DataFrame, html: str, fallback: Column, now: Column) ->
 RAW_EVIDENCE = ("raw_document_id", "content_hash", "retrieved_at")
 
 
+def _one_per_address(pages: DataFrame) -> DataFrame:
+    """One page per address: the earliest where that is known, then the one whose content has the least hash.
+
+    Addresses that occur once, nearly all, are found by a narrow count and their bodies are not moved.
+    """
+    counted = pages.groupBy("original_url").agg(F.count(F.lit(1)).alias("_pages"))
+    repeated = materialize(counted.filter(F.col("_pages") > 1).select("original_url"), "repeated-addresses")
+    if repeated.isEmpty():
+        return pages
+    place = F.col("retrieved_at") if "retrieved_at" in pages.columns else F.lit(0)
+    landed = pages.withColumn("_place", F.struct(place, F.sha2("html", 256), F.monotonically_increasing_id()))
+    single = lookup_join(landed, repeated, ["original_url"], "left_anti", spread=F.col("_place"))
+    several = lookup_join(landed, repeated, ["original_url"], "left_semi", spread=F.col("_place"))
+    others = [name for name in pages.columns if name != "original_url"]
+    first = several.groupBy("original_url").agg(F.min_by(F.struct(*others), "_place").alias("_page"))
+    return single.select(*pages.columns).unionByName(first.select("original_url", "_page.*"))
+
+
 def _join_articles(candidates: DataFrame, pages: DataFrame, body: str, order: str, now: Column) -> DataFrame:
-    """Candidates with their article; ``pages`` has original_url and html, one row per address.
+    """Candidates with their article; ``pages`` has original_url and html. Of several pages of an address one counts.
 
     Where ``pages`` has raw document columns too, a candidate with an article takes them over,
     as its facts then come from that document.
     """
     raw = [name for name in RAW_EVIDENCE if name in pages.columns and name in candidates.columns]
-    landed = pages.select("original_url", "html", *[F.col(name).alias(f"_landed_{name}") for name in raw])
+    landed = _one_per_address(pages).select("original_url", "html", *[F.col(name).alias(f"_landed_{name}") for name in raw])
     joined = lookup_join(candidates, landed, ["original_url"], "left", spread=F.col(order))
     taken = {name: F.coalesce(F.col(f"_landed_{name}"), F.col(name)) for name in raw}
     return read_articles(joined.withColumns(taken), "html", F.col(body), now)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lodegate.operators.components import components, contractions
 from lodegate.operators.dedupe import claim
-from lodegate.operators import ingest, matching
+from lodegate.operators import enrichment, ingest, matching
 from lodegate.operators.entities import alias_conflicts, check_seeds, resolve_names
 from lodegate.operators.extraction import merge_extractions
 from lodegate.operators.limits import Breaker, circuit_breaker, token_bucket
@@ -391,3 +391,17 @@ def test_summaries_count_documents_without_candidates(spark):
     assert got == [("", 1, 0, 0, 0, 0), ("", 4, 4, 1, 2, 1), ("a", 2, 4, 1, 2, 1), ("b", 1, 0, 0, 0, 0)]
     empty = ingest.record_summary(made.limit(0), documents.limit(0), None, "n").collect()
     assert [tuple(r)[1:] for r in empty] in ([], [(0, 0, 0, 0, 0)])
+
+
+def test_one_article_for_an_address_landed_more_than_once(spark):
+    now = F.lit("2024-01-30 12:00:00+00:00").cast("timestamp")
+    news = spark.createDataFrame(
+        [(0, "u", "t", "b", None, "rss", 0.85), (1, "v", "t", "b", None, "rss", 0.85), (2, "w", "t", "b", None, "rss", 0.85)],
+        "position int, original_url string, title string, body string, author string, date_source string, date_confidence double",
+    ).withColumn("published_at", now)
+    page = lambda title: f"<html><head><title>{title}</title></head><body><p>text</p></body></html>"
+    pages = spark.createDataFrame([("u", page("late"), 2), ("u", page("first"), 1), ("u", page("first"), 1), ("v", page("v"), 3)], "original_url string, html string, retrieved_at int")
+    made = enrichment.enrich_news(news, pages, "position", now)
+    assert sorted((r["position"], r["title"]) for r in made.collect()) == [(0, "first"), (1, "v"), (2, "t")]
+    made = enrichment.enrich_news(news, pages.drop("retrieved_at"), "position", now)
+    assert [r["position"] for r in made.orderBy("position").collect()] == [0, 1, 2]
