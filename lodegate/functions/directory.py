@@ -21,8 +21,12 @@ def address_text(node: Column, path: str = "$.address") -> Column:
 
 
 def founding_year(node: Column, path: str = "$.foundingDate") -> Column:
-    """A year between 1800 and 2100, from a number or the start of a date text."""
-    written = F.regexp_extract(F.try_variant_get(node, path, "string"), r"^([0-9]{4})", 1).try_cast("bigint")
+    """A year between 1800 and 2100, from a number or the start of a date text.
+
+    Digits may follow the year as in a compact date (199004, 1990123, 19900401); a longer year is none.
+    """
+    pattern = r"^([0-9]{4})(?:(?![0-9])|[0-9]{2,3}$|[0-9]{4}(?![0-9]))"
+    written = F.regexp_extract(F.try_variant_get(node, path, "string"), pattern, 1).try_cast("bigint")
     is_text = kind(F.try_variant_get(node, path, "variant")) == "STRING"
     return let(
         F.coalesce(integer_field(node, path), F.when(is_text, written)),

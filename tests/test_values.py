@@ -237,3 +237,12 @@ def test_numbers_of_texts(spark, raw, whole, real):
 def test_integer_facts_are_exact(spark, year, expected):
     found = one(spark, facts(F.col("v"), "startup"), '{"founded_year":' + year + "}")
     assert (found and found["founded_year"]) == expected
+
+
+@pytest.mark.parametrize(
+    "written, expected",
+    [("1990-04-01", 1990), ("1990", 1990), ("19900401", 1990), ("1990123", 1990), ("199004", 1990), ("18000-04-01", None), ("200012345", None)],
+)
+def test_founding_year_has_four_digits(spark, written, expected):
+    node = F.parse_json(F.lit(f'{{"foundingDate":"{written}"}}'))
+    assert spark.range(1).select(directory.founding_year(node).alias("y")).first()["y"] == expected
