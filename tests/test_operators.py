@@ -5,11 +5,11 @@ import random
 from difflib import SequenceMatcher
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from lodegate.operators.components import components, contractions
 from lodegate.operators.dedupe import claim
-from lodegate.operators import enrichment, ingest, matching
+from lodegate.operators import enrichment, ingest, matching, records
 from lodegate.operators.entities import alias_conflicts, check_seeds, resolve_names
 from lodegate.operators.extraction import merge_extractions
 from lodegate.operators.limits import Breaker, circuit_breaker, token_bucket
@@ -405,3 +405,31 @@ def test_one_article_for_an_address_landed_more_than_once(spark):
     assert sorted((r["position"], r["title"]) for r in made.collect()) == [(0, "first"), (1, "v"), (2, "t")]
     made = enrichment.enrich_news(news, pages.drop("retrieved_at"), "position", now)
     assert [r["position"] for r in made.orderBy("position").collect()] == [0, 1, 2]
+
+
+@pytest.mark.parametrize("record_type", ["NEWS", "JOB", "RESEARCH_PAPER", "STARTUP", "PRODUCT"])
+def test_problems_of_a_record_equal_those_of_its_text(spark, record_type):
+    chance = random.Random(record_type)
+    texts = [None, "", " ", "x", "x" * 600, "http://a.b/c", "HTTP://a.b:9x/", "https://[::1]/", "a" * 64, "AI", "rss", "PAID", "2024-01-05", "2024-13-05"]
+    columns = "source_id original_url canonical_url content_hash raw_document_id title author body category date_source company role_family description " \
+        "paper_url github_url abstract full_name entity_name headquarters website canonical_entity_id raw_name product_name startup_name pricing_model".split()
+    rows = []
+    for at in range(150):
+        usable = {"source_id": "s", "original_url": "http://a.b/c", "canonical_url": "https://a.b/c", "content_hash": "a" * 64, "raw_document_id": "d"}
+        row = [usable[c] if c in usable and chance.random() < 0.8 else chance.choice(texts) for c in columns]
+        rows.append((*row, chance.choice([None, -1, 0, 1990, 2300]), chance.choice([None, -1.0, 0.5, 30.0, float("nan"), float("inf")]), chance.choice([None, True, False]), chance.choice([None, ["a"], ["a", None], []]), at))
+    frame = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in columns) + ", n long, x double, flag boolean, authors array<string>, at int").repartition(4)
+    time = F.when(F.col("at") % 7 > 0, F.timestamp_seconds(F.col("at").cast("long") * 10_000_000))
+    frame = frame.withColumns(
+        {"stars": F.col("n"), "founded_year": F.col("n"), "employee_count": F.col("n"), "date_confidence": F.col("x"), "resolution_confidence": F.col("x"),
+         "is_remote": F.col("flag"), "raw_document_ids": F.array("raw_document_id"), "retrieved_at": time, "published_at": time,
+         "decision": F.struct(time.alias("published_at"), F.col("x").alias("age_hours"), F.col("date_source").alias("source"), F.col("x").alias("confidence"))}
+    )
+    made = {"NEWS": records.news_record, "JOB": records.job_record, "RESEARCH_PAPER": records.paper_record, "STARTUP": records.startup_record, "PRODUCT": records.product_record}
+    built = frame.select("at", made[record_type]().alias("record")).localCheckpoint()
+    told = records.record_violations(F.col("record"), built.schema["record"].dataType, record_type)
+    read = records.violations(F.to_json("record", {"ignoreNullFields": "false"}), record_type)
+    both = built.select("at", told.alias("told"), read.alias("read")).collect()
+    assert [r["told"] for r in both] == [r["read"] for r in both] and any(r["told"] for r in both)
+    other = T.StructType([T.StructField("recordId", T.LongType())])
+    assert records.record_violations(F.col("record"), other, record_type) is None
