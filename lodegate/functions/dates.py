@@ -263,6 +263,11 @@ def date_evidence(now: Column, **raw: Column) -> Column:
     unknown = set(raw) - set(EVIDENCE_CONFIDENCE)
     if unknown:
         raise ValueError(f"Unknown date evidence: {sorted(unknown)}")
+    if len(raw) == 1:
+        ((source, text),) = raw.items()
+        trust = F.lit(EVIDENCE_CONFIDENCE[source]).alias("confidence")
+        told = lambda at: F.struct(at.alias("published_at"), F.lit(source).alias("source"), trust)
+        return let(evidence_timestamp(text, now), lambda at: F.when(at.isNotNull(), told(at)).otherwise(no_evidence()))
     texts = [dated_text(raw[source], source, trust) for source, trust in EVIDENCE_CONFIDENCE.items() if source in raw]
     return first_evidence(F.array(*texts), lambda text: evidence_timestamp(text, now))
 
