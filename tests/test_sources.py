@@ -75,3 +75,10 @@ def test_first_field_of_any_namespace_counts():
     body = b'<rss xmlns:a="x" xmlns:b="y"><item><a:title>no</a:title><title/><title>late</title><a:date>1</a:date><b:date>2</b:date><link href=""/><a:link href="h"/></item></rss>'
     (row,) = read_feed(body)
     assert (row["title"], row["date"], row["link"], row["href"], row["author"]) == ("", "1", "", "h", None)
+
+
+def test_parsed_feeds_serve_items_and_failures(spark, monkeypatch):
+    parsed = feeds.parse_feeds(documents(spark, RSS, "<rss>", None), "body").localCheckpoint()
+    monkeypatch.delattr(feeds, "feed_rows")  # nothing parses them again
+    assert [r["position"] for r in feeds.feed_items(parsed, "body", now()).collect()] == [0]
+    assert [tuple(r) for r in feeds.malformed_feeds(parsed, "body").collect()] == [(1,)]
