@@ -6,13 +6,16 @@ lengths. Blocks have at least one unmatched letter between them, so there are at
 scores b therefore shares at least (2q - 1) M - (q - 1)(1 + la + lb) grams with the name, where
 M >= b (la + lb) / 2, and its length lies between la b / (2 - b) and la (2 - b) / b.
 
-1. The rarest grams of a name fetch a few seeds; the best of them sets its b.
+1. Seeds that are a beginning or an end of a name, or else those of its rarest grams, are scored; the best sets its b.
 2. Of the name's g grams at most g - c may be missing in a seed that shares c, so its g - c + 1
    rarest grams fetch every seed that can still reach b. Pairs or triples of letters are taken,
    whichever fetch less.
-3. Names whose b is low or whose grams are all common look at groups of similar seeds instead:
+3. Names whose b is low or whose grams are common look at groups of similar seeds instead:
    the letters that a group's seeds have at most bound the score of all of them, and groups whose
-   bound is below b are passed over, first with the b of step 2, then with that of the best group.
+   bound is below b are passed over, first with the b of step 1, then with that of the best group.
+   Inside a group the letters that two texts share are counted for many names and seeds at once.
+
+What the letters leave is bounded by the longest common subsequence before blocks are matched.
 
 Seeds that fit one group are looked at without an index. Every step compares with bounds that hold for ties too, so the result equals that of all pairs.
 """
@@ -37,7 +40,8 @@ NAMES_PER_TASK = 4096
 SEEDS_PER_GROUP = 2048
 MOST_GROUPS = 4096  # so the summaries of groups stay below 3 MB
 STARTERS, STARTER_SEEDS = 3, 200
-INDEX_SHARE = 0.25  # a name whose grams fetch more than this share of the seeds looks at groups instead
+INDEX_SHARE = 1 / 256  # a name whose grams fetch more than this share of the seeds looks at groups instead
+NAMES_AT_ONCE = 256
 _CLASSES = 64
 _FOUND = "name_key string, entity_id string, confidence double"
 
@@ -54,6 +58,23 @@ def _bounds(shared: np.ndarray, total: np.ndarray) -> np.ndarray:
     return np.where(total == 0, 1.0, 2.0 * shared / np.maximum(total, 1))
 
 
+def _places(text: str) -> dict[str, int]:
+    """Where each letter of a text stands, as bits."""
+    places: dict[str, int] = {}
+    for at, letter in enumerate(text):
+        places[letter] = places.get(letter, 0) | 1 << at
+    return places
+
+
+def _common(places: dict[str, int], length: int, seed: str) -> int:
+    """Letters in the longest common subsequence, which matching blocks never exceed."""
+    whole = free = (1 << length) - 1
+    for letter in seed:
+        met = free & places.get(letter, 0)
+        free = ((free + met) | (free - met)) & whole
+    return length - free.bit_count()
+
+
 class _Scores:
     """Exact scores; what a seed needs for them is kept while it is in use."""
 
@@ -77,10 +98,15 @@ def _score_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         (of_names, la), (of_seeds, lb) = _letters(names), _letters(seeds)
         bound = _bounds(np.minimum(of_names, of_seeds).sum(axis=1), la + lb)
         best: dict[str, tuple[float, str]] = {}
-        score = _Scores()
+        score, places = _Scores(), {}
         for at in np.argsort(-bound, kind="stable"):
             held = best.get(names[at])
-            if bound[at] >= (held[0] if held else least[at]):
+            reach = held[0] if held else least[at]
+            if bound[at] < reach:
+                continue
+            if names[at] not in places:
+                places[names[at]] = _places(names[at])
+            if 2.0 * _common(places[names[at]], int(la[at]), seeds[at]) >= reach * (la[at] + lb[at]) - 1e-6:
                 found = (score(names[at], seeds[at]), ids[at])
                 best[names[at]] = max(held, found) if held else found
         yield pa.RecordBatch.from_arrays(
@@ -128,6 +154,18 @@ def _fetch(chosen: DataFrame, index: DataFrame) -> DataFrame:
     return met.filter((lb * (2 - b) >= la * b - 1e-6) & (la * (2 - b) >= lb * b - 1e-6)).select("name_key", "least", "seed_key", "entity_id").distinct()
 
 
+def _affixes(names: DataFrame, seeds: DataFrame) -> DataFrame:
+    """Pairs of names and the longest seeds that they begin or end with, at least half of the name."""
+    key = F.col("name_key")
+    length = F.length(key)
+    sizes = F.when(length > 1, F.sequence(F.ceil(length / 2).cast("int"), length)).otherwise(F.array(length))
+    cuts = F.concat(F.transform(sizes, lambda n: F.substr(key, F.lit(1), n)), F.transform(sizes, lambda n: F.substr(key, length - n + 1, n)))
+    asked = names.select("name_key", F.explode(F.array_distinct(cuts)).alias("seed_key"))
+    met = skew_join(asked, seeds, ["seed_key"], spread=key)
+    longest = met.groupBy("name_key").agg(F.max(F.struct(F.length("seed_key").alias("size"), "seed_key", "entity_id")).alias("seed"))
+    return longest.select("name_key", F.lit(0.0).alias("least"), "seed.seed_key", "seed.entity_id")
+
+
 # --- Groups of similar seeds -------------------------------------------------------------------
 
 
@@ -159,18 +197,30 @@ def _visits(groups: np.ndarray, most: np.ndarray, shortest: np.ndarray, longest:
 def _best_in_group(names: pd.DataFrame, seeds: pd.DataFrame) -> pd.DataFrame:
     """Best seed of one group for each of some names, looked at from the highest bound down to ``least``."""
     ids, keys = seeds["entity_id"].tolist(), seeds["seed_key"].tolist()
-    seed_letters, seed_lengths = _letters(keys)
-    own = names["name_key"].tolist()
+    own, leasts = names["name_key"].tolist(), names["least"].to_numpy()
+    (of_seeds, lb), (of_names, la) = _letters(keys), _letters(own)
+    small = np.uint8 if max(la.max(initial=0), lb.max(initial=0)) < 256 else np.int32
+    of_seeds, of_names = np.ascontiguousarray(of_seeds.T.astype(small)), of_names.astype(small)
     score, found = _Scores(), []
-    for name, least, letters in zip(own, names["least"].tolist(), _letters(own)[0]):
-        bound = _bounds(np.minimum(seed_letters, letters).sum(axis=1), seed_lengths + len(name))
-        best = (least, "")
-        for at in np.argsort(-bound, kind="stable"):
-            if bound[at] < best[0] or bound[at] == 0:
-                break
-            best = max(best, (score(name, keys[at]), ids[at]))
-        if best[1]:
-            found.append((name, best[1], best[0]))
+    for start in range(0, len(own), NAMES_AT_ONCE):
+        block = slice(start, start + NAMES_AT_ONCE)
+        letters = of_names[block]
+        shared = np.zeros((len(letters), len(keys)), dtype=small)
+        for kind in np.flatnonzero(letters.any(axis=0) & of_seeds.any(axis=1)):
+            shared += np.minimum(letters[:, kind, None], of_seeds[kind])
+        bounds = _bounds(shared, la[block, None] + lb)
+        wanted = (bounds >= leasts[block, None]) & (bounds > 0)
+        for row in np.flatnonzero(wanted.any(axis=1)):
+            name, bound = own[start + row], bounds[row]
+            places, best = _places(name), (float(leasts[start + row]), "")
+            open_seeds = np.flatnonzero(wanted[row])
+            for at in open_seeds[np.argsort(-bound[open_seeds], kind="stable")]:
+                if bound[at] < best[0]:
+                    break
+                if 2.0 * _common(places, len(name), keys[at]) >= best[0] * (len(name) + len(keys[at])) - 1e-6:
+                    best = max(best, (score(name, keys[at]), ids[at]))
+            if best[1]:
+                found.append((name, best[1], best[0]))
     return pd.DataFrame(found, columns=["name_key", "entity_id", "confidence"])
 
 
@@ -219,9 +269,11 @@ def match_steps(names: DataFrame, seeds: DataFrame) -> dict[str, DataFrame]:
     counts = materialize(index.groupBy("gram").agg(F.count(F.lit(1)).alias("seeds")), "gram-counts")
     grams = materialize(_with_grams(names, counts), "name-grams")
 
+    # A seed inside the name is a good start; only names without one ask their rarest grams.
+    affixed = materialize(_best(_affixes(names, seeds).mapInArrow(_score_pairs, _FOUND)), "affixed")
     rare = F.filter(F.array_distinct(F.concat("g3", "g2")), lambda g: (g["seeds"] > 0) & (g["seeds"] <= STARTER_SEEDS))
-    starters = grams.select("name_key", F.lit(0.0).alias("least"), F.slice(F.array_sort(rare), 1, STARTERS).alias("chosen"))
-    started = materialize(_best(_fetch(starters, index).mapInArrow(_score_pairs, _FOUND)), "started")
+    starters = grams.join(affixed, "name_key", "left_anti").select("name_key", F.lit(0.0).alias("least"), F.slice(F.array_sort(rare), 1, STARTERS).alias("chosen"))
+    started = materialize(_best(_fetch(starters, index).mapInArrow(_score_pairs, _FOUND)).unionByName(affixed), "started")
 
     known = names.join(started, "name_key", "left").join(grams, "name_key", "left")
     known = known.select("name_key", F.coalesce("confidence", F.lit(0.0)).alias("least"), "g2", "g3")

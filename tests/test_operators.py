@@ -350,6 +350,27 @@ def test_few_pairs_are_looked_at(spark):
     assert steps["rest"].count() < 0.01 * len(names)
 
 
+def test_a_seed_inside_the_name_starts_it(spark, monkeypatch):
+    """Names of which no gram is rare start with the seed that they begin or end with, not with every seed."""
+    monkeypatch.setattr(matching, "SEEDS_PER_GROUP", 40)
+    monkeypatch.setattr(matching, "STARTER_SEEDS", 1)
+    seeds = [(f"id{n:03d}", f"supplier{n:09d}") for n in range(300)]
+    names = [f"supplier{n:09d}labs" for n in range(0, 300, 6)] + [f"xsupplier{n:09d}" for n in range(0, 300, 6)]
+    frames = spark.createDataFrame([(n,) for n in names], "name_key string"), spark.createDataFrame(seeds, "entity_id string, seed_key string")
+    steps = match_steps(*frames)
+    assert steps["candidates"].count() <= 0.01 * len(names) * len(seeds)
+    best = {n: (f"id{n.strip('xlabs')[-3:]}", 34 / (17 + len(n))) for n in names}
+    assert {r["name_key"]: (r["entity_id"], r["confidence"]) for r in steps["started"].collect()} == best
+    assert {r["name_key"]: (r["entity_id"], r["confidence"]) for r in best_matches(*frames).collect()} == best
+
+
+def test_one_row_for_a_name_that_several_seeds_claim(spark):
+    seeds = seed_frame(spark, ("s:1", "Same", []), ("s:2", "Same Inc", []), ("s:3", "Other", ["Same Ltd"]))
+    frame = spark.createDataFrame([("same",), ("Other",)], "raw_name string")
+    got = sorted((r["raw_name"], r["canonical_entity_id"]) for r in resolve_names(frame, seeds).collect())
+    assert got == [("Other", "s:3"), ("same", "s:3")]
+
+
 def test_no_seeds_no_matches(spark):
     assert found_best(spark, ["abc"], [("x", "abc")]) == {"abc": (1.0, "x")}
     frame = spark.createDataFrame([("abc",)], "name_key string")
