@@ -32,6 +32,11 @@ def alias_keys(seeds: DataFrame) -> DataFrame:
     )
 
 
+def alias_index(seeds: DataFrame) -> DataFrame:
+    """(entity_key, entity_id) with each key once; of several entities that claim a key, the larger id, as for ties of a score."""
+    return alias_keys(seeds).groupBy("entity_key").agg(F.max("entity_id").alias("entity_id"))
+
+
 def alias_conflicts(seeds: DataFrame) -> DataFrame:
     """Keys claimed by more than one entity; an alias table must have none."""
     return (
@@ -69,10 +74,11 @@ def resolve_names(
     """Resolve distinct ``raw_name`` values against seeds.
 
     Adds canonical_name, canonical_entity_id, method, confidence and status.
-    Names equal to an alias key match exactly; only the keys left over are scored.
+    Names equal to an alias key match exactly; only the keys left over are scored. A name that
+    several seeds claim has one row still (``alias_index``); ``check_seeds`` refuses such seeds.
     """
     keyed = stage(names.select("raw_name"), {"name_key": entity_key(F.col("raw_name"))})
-    aliases = alias_keys(seeds).select(F.col("entity_key").alias("name_key"), "entity_id")
+    aliases = alias_index(seeds).select(F.col("entity_key").alias("name_key"), "entity_id")
     exact = materialize(lookup_join(keyed, aliases, ["name_key"], "left", spread=F.col("raw_name")), "exact-matches")
     blank = strip(F.col("raw_name")) == ""
     open_keys = exact.filter(F.col("entity_id").isNull() & ~blank).select("name_key").distinct()

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from lodegate.functions.text import entity_key
 from lodegate.operators.entities import (
     alias_conflicts as conflicting_aliases,
-    alias_keys,
+    alias_index,
     latest_mappings,
     mapping_rows,
     resolve,
@@ -70,7 +70,7 @@ final AS (SELECT *, CASE WHEN confidence >= 0.95 THEN 'AUTO_MATCH' WHEN confiden
 @query(f"""WITH raw AS ({plain(MENTIONS)})
 SELECT mention_id, CASE WHEN l_linenumber IN (1, 2, 7) THEN 'supplier:' || l_suppkey END AS entity_id FROM raw""")
 def exact_entities(spark: SparkSession, folder: str) -> DataFrame:
-    aliases = alias_keys(_seeds(spark, folder))
+    aliases = alias_index(_seeds(spark, folder))
     mentions = derive(spark, folder, MENTIONS).select("mention_id", entity_key(F.col("name")).alias("entity_key"))
     return lookup_join(mentions, aliases, ["entity_key"], "left", spread=F.col("mention_id")).select("mention_id", "entity_id")
 
