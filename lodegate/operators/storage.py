@@ -71,13 +71,14 @@ def inserted_flags(incoming: DataFrame, stored: DataFrame | None, key: str, orde
     """Add ``inserted``: the first row of a key that the table does not hold yet.
 
     First write wins and nothing is updated. Only one narrow row per key meets
-    the stored keys; the flag comes back over the unique order column.
+    the stored keys; the flag comes back over the unique order column. That join is a
+    merge: rows made from narrower input look small to the planner, which would broadcast them.
     """
     fresh = incoming.filter(F.col(key).isNotNull()).groupBy(key).agg(F.min(order).alias(order))
     if stored is not None:
         fresh = lookup_join(fresh, stored.select(key), [key], "left_anti", spread=F.col(order))
     flags = fresh.select(order, F.lit(True).alias("inserted"))
-    return incoming.join(flags, [order], "left").withColumn("inserted", F.coalesce("inserted", F.lit(False)))
+    return incoming.join(flags.hint("merge"), [order], "left").withColumn("inserted", F.coalesce("inserted", F.lit(False)))
 
 
 def insert_new(incoming: DataFrame, path: str, key: str, order: str) -> DataFrame:

@@ -344,6 +344,8 @@ def stored_export(spark: SparkSession, folder: str) -> DataFrame:
     valid = made.filter(F.size("problems") == 0).select("p_partkey", "record_id", "payload")
     found = directories.organization_candidates(derive(spark, folder, ORGANIZATION_PAGES), "html", "s_suppkey")
     log = ingest.startup_mappings(_with_raw(found, "ycombinator", F.col("canonical_url")), "s_suppkey", _supplier_seeds(spark, folder))
+    # Each write reads its rows twice; they are parsed and built once.
+    valid, log = materialize(valid, "products"), materialize(log, "mappings")
     for _ in range(2):
         write_batch(valid, f"{root}/products", 1, "record_id", "p_partkey")
         write_batch(log, f"{root}/entity_mapping_log", 1, "recordId", "mappingId")

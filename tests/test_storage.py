@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lodegate.operators import export
 from lodegate.operators.records import violations
-from lodegate.operators.storage import insert_new, raw_documents, read_table, write_batch, write_raw
+from lodegate.operators.storage import insert_new, inserted_flags, raw_documents, read_table, write_batch, write_raw
 from lodegate.sources import catalog, tables
 
 
@@ -21,6 +21,16 @@ def test_insert_new_is_repeatable(spark, tmp_path):
     assert read_table(spark, path).count() == 2
 
 
+def test_rows_wider_than_their_input_are_not_broadcast(spark, tmp_path):
+    """A key in a file becomes a long payload, which the planner takes for small; flags must not send it to the driver."""
+    path = str(tmp_path / "keys")
+    spark.range(100).write.parquet(path)
+    rows = spark.read.parquet(path).select("id", F.col("id").cast("string").alias("record_id"), F.repeat(F.lit("x"), 5000).alias("payload"))
+    flagged = inserted_flags(rows, None, "record_id", "id").filter("inserted")
+    assert "Broadcast" not in flagged._jdf.queryExecution().executedPlan().toString()
+    assert flagged.count() == 100
+
+
 def test_raw_evidence_is_written_once(spark, tmp_path):
     path = str(tmp_path / "raw")
     responses = spark.createDataFrame(
