@@ -2,10 +2,13 @@
 
 A word's vector is the sum of hashed embeddings of the word and of its beginnings, so forms of one
 stem share what they mean. Filters of several widths slide over the words; each keeps its largest
-value over the text, however long, and a logistic layer scores these. Training takes, in one task, a
-bounded sample of labelled rows (``sample`` rows of each class and ``sample_bytes`` of text, in the order
-of a hash of the id) and whole texts. A fifth of it is held back to set the threshold, for each
-language that the text's own function words show; a score is the logistic distance to it.
+value over the text, however long, and a logistic layer scores these. Training takes every labelled
+row, whole, where it is read: in each of two rounds the tasks go on from one network, take their rows
+in parts of about ``part_bytes`` of text or ``part_rows`` rows, and what they change is averaged, each
+weight over the tasks that changed it; over all rounds each row is taken ``EPOCHS`` times at least. No
+text is shuffled, so a network may differ with the layout of the table. Features are counted over all these rows too. A fifth of the rows is held back to set the
+threshold, for each language that the text's own function words show, from counts of their scores in
+narrow bins; a score is the logistic distance to it. The network grows with the vocabulary, not with the rows.
 
 Inputs of a score are the text's words alone.
 
@@ -17,22 +20,30 @@ share; equal rows have equal scores; an empty table gives an empty one.
 
 from __future__ import annotations
 
-import pickle
-from collections.abc import Iterator
+import copy
+import itertools
+import math
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
-from lodegate.llm.arrays import CHUNK_BYTES, LETTERS, Texts, chunks, mix, powers, prefix_hash, range_hashes
+from lodegate.llm.arrays import CHUNK_BYTES, LETTERS, Texts, chunks, mix, powers, prefix_hash, range_hashes, string_parts
 from lodegate.llm.context import materialize, prepare, texts
+from lodegate.scale import lookup_join
 
-SAMPLE, SAMPLE_BYTES = 6_000, 32 * 1024 * 1024
+PART_ROWS, PART_BYTES = 12_000, 6 * 1024 * 1024
+ROUNDS, EPOCHS = 2, 2
+BINS = 1024  # of a raw score's unit, to find a threshold
+WIRE = 1 << 16  # weights that are averaged together
 BEGINNINGS = (3, 4, 5, 6, 8)  # bytes
 DIMENSIONS, FILTERS, WIDTHS = 8, 8, (1, 2, 3)
 LEAST_TEXTS = 4  # a feature of fewer training texts has no embedding
-STEPS, BATCH, RATE, DECAY = 2_500, 32, 0.1, 1e-4
+STEPS, BATCH, RATE, DECAY = 2_500, 32, 0.1, 1e-4  # at least so many steps, over all parts
 DROPPED = 0.4  # share of a word's features left out at each step of training, so stems learn too
 _PADS = max(WIDTHS)
 
@@ -138,80 +149,85 @@ class Network:
         return 1 / (1 + np.exp(-np.clip(distance, -40, 40)))
 
 
-def _known(found: np.ndarray, which: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Features of LEAST_TEXTS texts at least."""
-    owner = np.repeat(np.arange(offsets.size - 1), np.diff(offsets))
-    pairs = np.unique(owner * np.int64(found.shape[0]) + which)
-    texts_of_word = np.bincount(pairs % max(1, found.shape[0]), minlength=found.shape[0])
-    keys, inverse = np.unique(found, return_inverse=True)
-    # Texts of a beginning: at most the sum over its words, exact enough to leave out rare ones.
-    mass = np.bincount(inverse.reshape(-1), weights=np.repeat(texts_of_word, found.shape[1]), minlength=keys.size)
-    return keys[mass >= LEAST_TEXTS]
-
-
-def train(part: Texts, labels: np.ndarray, seed: int = 17) -> Network:
-    """Fit on the texts; every fifth of each class, in order, sets the thresholds."""
+def _start(keys: np.ndarray, share: float, seed: int = 17) -> Network:
+    """A network to train, for some sorted features; without any features it gives the logistic of the class share."""
     random = np.random.default_rng(seed)
-    share = float(np.clip(labels.mean() if labels.size else 0.0, 1e-3, 1 - 1e-3))
-    flat = np.log(share / (1 - share))
-    none = np.zeros(len(_LANGUAGES) + 1)
-    if not labels.any() or labels.all():
-        empty = [np.zeros((w, DIMENSIONS, FILTERS), np.float32) for w in WIDTHS]
-        return Network(
-            np.zeros(0, np.uint64), np.zeros((1, DIMENSIONS), np.float32), empty, [np.zeros(FILTERS, np.float32) for _ in WIDTHS],
-            np.zeros(FILTERS * len(WIDTHS), np.float32), np.array([flat], np.float32), none,
-        )
-    found, which = vocabulary(part)
-    offsets = part.word_offsets
-    keys = _known(found, which, offsets)
-    net = Network(
+    spread = 1.0 if keys.size else 0.0
+    return Network(
         keys,
         np.vstack([random.normal(0, 0.1, (keys.size, DIMENSIONS)), np.zeros((1, DIMENSIONS))]).astype(np.float32),
-        [random.normal(0, 0.4, (w, DIMENSIONS, FILTERS)).astype(np.float32) for w in WIDTHS],
+        [spread * random.normal(0, 0.4, (w, DIMENSIONS, FILTERS)).astype(np.float32) for w in WIDTHS],
         [np.zeros(FILTERS, np.float32) for _ in WIDTHS],
-        random.normal(0, 0.4, FILTERS * len(WIDTHS)).astype(np.float32),
-        np.array([flat], np.float32), none,
+        (spread * random.normal(0, 0.4, FILTERS * len(WIDTHS))).astype(np.float32),
+        np.array([np.log(share / (1 - share))], np.float32),
+        np.zeros(len(_LANGUAGES) + 1),
     )
-    rows = net.rows(found)
-    ranks = np.empty(labels.size, dtype=np.int64)
-    for value in (0, 1):
-        mine = np.flatnonzero(labels == value)
-        ranks[mine] = np.arange(mine.size)
-    fitted, held = np.flatnonzero(ranks % 5 != 0), np.flatnonzero(ranks % 5 == 0)
-    state = {id(a): np.full(a.shape, 1e-2, np.float32) for a in (net.vectors, *net.filters, *net.biases, net.weights, net.bias)}
 
-    def step(array: np.ndarray, gradient: np.ndarray, at=slice(None)) -> None:
-        memory = state[id(array)]
-        memory[at] += gradient**2
-        array[at] -= RATE * gradient / np.sqrt(memory[at])
 
-    # A third of each batch is toxic; the thresholds undo what that does to the scores.
-    sides = [fitted[labels[fitted] == value] for value in (0, 1)]
-    for _ in range(STEPS):
-        batch = [random.choice(side, size) for side, size in zip(sides, (BATCH - BATCH // 3, BATCH // 3)) if side.size]
-        _learn(net, step, rows, which, offsets, np.concatenate(batch), labels, random)
-    kinds = languages(part)[held]
-    raw = np.concatenate([_forward(net, rows, which, offsets, held[k : k + 256])[0] for k in range(0, held.size, 256)])
-    overall = _threshold(raw, labels[held])
-    for kind in range(none.size):
-        mine = kinds == kind
-        positive = int(labels[held][mine].sum())
-        enough = positive >= 20 and mine.sum() - positive >= 20
-        net.thresholds[kind] = _threshold(raw[mine], labels[held][mine]) if enough else overall
-    return net
+def _weights(net: Network) -> list[np.ndarray]:
+    return [net.vectors, *net.filters, *net.biases, net.weights, net.bias]
+
 
+def _flat(arrays: list[np.ndarray]) -> np.ndarray:
+    return np.concatenate([a.reshape(-1) for a in arrays])
+
+
+def _refill(arrays: list[np.ndarray], values: np.ndarray) -> None:
+    at = 0
+    for array in arrays:
+        array[...] = values[at : at + array.size].reshape(array.shape)
+        at += array.size
+
+
+def train(net: Network, memory: list[np.ndarray], part: Texts, labels: np.ndarray, turn: int, steps: int, seed: int) -> None:
+    """One round of a part's training, on the rows whose turn it is; changes the network and its memory of gradients."""
+    found, which = vocabulary(part)
+    offsets, rows = part.word_offsets, net.rows(found)
+    random = np.random.default_rng((seed, turn))
+    state = {id(a): m for a, m in zip(_weights(net), memory)}
+
+    def step(array: np.ndarray, gradient: np.ndarray, at=slice(None)) -> None:
+        held = state[id(array)]
+        held[at] += gradient**2
+        array[at] -= RATE * gradient / np.sqrt(held[at])
 
-def _threshold(raw: np.ndarray, labels: np.ndarray) -> float:
+    # A third of each batch is toxic; the thresholds undo what that does to the scores.
+    sides = [(np.flatnonzero(labels == value), size) for value, size in ((0, BATCH - BATCH // 3), (1, BATCH // 3))]
+    sides = [(side, size) for side, size in sides if side.size]
+    count = max(math.ceil(steps / ROUNDS), *(math.ceil(EPOCHS * side.size / size / ROUNDS) for side, size in sides))
+    # Each side is gone through in whole shuffles, one after another over the rounds.
+    orders = []
+    for side, size in sides:
+        places = np.arange(turn * count * size, (turn + 1) * count * size)
+        shuffles = {k: np.random.default_rng((seed, 1000 + k)).permutation(side) for k in np.unique(places // side.size).tolist()}
+        orders.append(np.array([shuffles[p // side.size][p % side.size] for p in places.tolist()]).reshape(count, size))
+    for k in range(count):
+        _learn(net, step, rows, which, offsets, np.concatenate([order[k] for order in orders]), labels, random)
+
+
+def _threshold(places: np.ndarray, negative: np.ndarray, positive: np.ndarray) -> float:
     """The middle of the cuts with the fewest errors, a missed and a false one of equal weight."""
-    order = np.argsort(raw)
-    raw, labels = raw[order], labels[order]
-    wrong = np.concatenate([[0], np.cumsum(labels)]) + (labels.size - labels.sum()) - np.concatenate([[0], np.cumsum(1 - labels)])
+    order = np.argsort(places)
+    places, negative, positive = places[order], negative[order], positive[order]
+    wrong = np.concatenate([[0], np.cumsum(positive)]) + negative.sum() - np.concatenate([[0], np.cumsum(negative)])
     best = np.flatnonzero(wrong == wrong.min())
-    edges = np.concatenate([[raw[0] - 1], raw, [raw[-1] + 1]]).astype(np.float64)
+    edges = np.concatenate([[places[0] - 1], places, [places[-1] + 1]]).astype(np.float64)
     middles = (edges[best] + edges[best + 1]) / 2
     return float(middles[np.argmax(edges[best + 1] - edges[best])])
 
 
+def thresholds(counted: pd.DataFrame) -> np.ndarray:
+    """By language, from rows of kind, place, negative and positive counts."""
+    whole = counted.groupby("place", as_index=False)[["negative", "positive"]].sum()
+    cut = lambda rows: _threshold(*(rows[name].to_numpy() for name in ("place", "negative", "positive")))
+    overall = cut(whole) if len(whole) else 0.0
+    out = np.full(len(_LANGUAGES) + 1, overall)
+    for kind, rows in counted.groupby("kind"):
+        if rows["positive"].sum() >= 20 and rows["negative"].sum() >= 20:
+            out[kind] = cut(rows)
+    return out
+
+
 def _forward(net: Network, rows, which, offsets, batch, random=None):
     pieces = [which[offsets[d] : offsets[d + 1]] for d in batch]
     used, local = np.unique(np.concatenate(pieces), return_inverse=True)
@@ -263,32 +279,103 @@ def _learn(net: Network, step, rows, which, offsets, batch, labels, random) -> N
     step(net.vectors, total[known], unique[known])
 
 
-def _sample(docs: DataFrame, labels: DataFrame, sample: int, sample_bytes: int) -> DataFrame:
-    """Texts and labels to train on; both bounds hold whatever the tables' sizes."""
-    ranked = labels.orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = ranked.filter("toxic = 1").limit(sample).unionByName(ranked.filter("toxic = 0").limit(sample))
-    joined = docs.join(F.broadcast(materialize(chosen, "sample")), "doc_id")
-    joined = materialize(joined.groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min("text").alias("text")), "training")
-    sizes = joined.select("doc_id", "toxic", F.octet_length("text").alias("size")).collect()
-    sizes.sort(key=lambda row: (row["toxic"], hash((row["doc_id"], 31))))
-    kept, room = [], {0: sample_bytes // 2, 1: sample_bytes // 2}
-    for row in sizes:
-        if row["size"] <= room[row["toxic"]]:
-            room[row["toxic"]] -= row["size"]
-            kept.append((row["doc_id"],))
-    wanted = docs.sparkSession.createDataFrame(kept, "doc_id long")
-    return joined.join(F.broadcast(wanted), "doc_id").select("doc_id", "toxic", "text")
-
-
-def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The network, pickled, of all rows of a sample; the task holds what the sample's bounds allow."""
-    rows = sorted((row for batch in batches for row in batch.to_pylist()), key=lambda row: row["doc_id"])
-    raw = [row["text"].encode() for row in rows]
-    labels = np.array([row["toxic"] for row in rows], dtype=np.int64)
-    offsets = np.concatenate([[0], np.cumsum([len(r) for r in raw])]).astype(np.int64)
-    data = np.frombuffer(b"".join(raw), dtype=np.uint8)
-    del rows, raw
-    yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(train(Texts(data, offsets, LETTERS), labels))], pa.binary())], ["network"])
+def _parts(batches: Iterator[pa.RecordBatch], part_rows: int, part_bytes: int) -> Iterator[tuple[Texts, np.ndarray]]:
+    """The texts and labels of a task, some batches of (toxic, text) at a time."""
+    held, rows, size = [], 0, 0
+    for batch in itertools.chain(batches, [None]):
+        if held and (batch is None or rows >= part_rows or size >= part_bytes):
+            table = pa.Table.from_batches(held)
+            data, offsets = string_parts(pa.concat_arrays([c.cast(pa.large_string()) for c in table.column("text").chunks]))
+            yield Texts(data, offsets, LETTERS), table.column("toxic").to_numpy().astype(np.int64)
+            held, rows, size = [], 0, 0
+        if batch is not None and batch.num_rows:
+            held.append(batch)
+            rows, size = rows + batch.num_rows, size + batch.nbytes
+
+
+def _masses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Features and in how many texts their words occur; a beginning counts a text once for each of its words there."""
+    for batch in batches:
+        for _, _, part in chunks(batch.column(0), LETTERS):
+            found, which = vocabulary(part)
+            owner = np.repeat(np.arange(len(part)), np.diff(part.word_offsets))
+            pairs = np.unique(owner * np.int64(found.shape[0]) + which)
+            texts_of_word = np.bincount(pairs % max(1, found.shape[0]), minlength=found.shape[0])
+            keys, inverse = np.unique(found, return_inverse=True)
+            mass = np.bincount(inverse.reshape(-1), weights=np.repeat(texts_of_word, found.shape[1]), minlength=keys.size)
+            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(mass.astype(np.int64))], ["feature", "mass"])
+
+
+def _round(given: Broadcast, turn: int, steps: int, part_rows: int, part_bytes: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """What one round on a task's rows changes in the given network, and its memory, in blocks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        (net, memory), seed = copy.deepcopy(given.value), -1
+        for seed, (part, labels) in enumerate(_parts(batches, part_rows, part_bytes)):
+            train(net, memory, part, labels, turn, steps, seed)
+        if seed < 0:
+            return
+        change = _flat(_weights(net))
+        change -= _flat(_weights(given.value[0]))
+        # The memory scales steps, for which half precision will do, and the last round leaves none.
+        held = np.minimum(_flat(memory), 6e4).astype(np.float16) if turn + 1 < ROUNDS else np.zeros(0, np.float16)
+        for block, cut in enumerate(range(0, change.size, WIRE)):
+            values = [block], [change[cut : cut + WIRE].tobytes()], [held[cut : cut + WIRE].tobytes()]
+            yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(values, (pa.int32(), pa.binary(), pa.binary()))], ["block", "change", "memory"])
+
+    return run
+
+
+def _averaged(blocks: pa.Table) -> pa.Table:
+    """The mean change of each weight over the tasks that changed it, the mean memory over all of them."""
+    changes, memory = (
+        np.stack([np.frombuffer(v, kind) for v in blocks.column(name).to_pylist()]).astype(np.float32)
+        for name, kind in (("change", np.float32), ("memory", np.float16))
+    )
+    change = changes.sum(axis=0) / np.maximum((changes != 0).sum(axis=0), 1)
+    return pa.table({"block": blocks.column("block")[:1], "change": [change.astype(np.float32).tobytes()], "memory": [memory.mean(axis=0).astype(np.float16).tobytes()]})
+
+
+def fit(rows: DataFrame, part_rows: int = PART_ROWS, part_bytes: int = PART_BYTES) -> Network:
+    """The network of all rows of doc_id, toxic and text; one network at a time comes to the driver."""
+    spark = rows.sparkSession
+    told = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0)), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    count, toxic, size = told
+    share = float(np.clip(toxic / count if count else 0.0, 1e-3, 1 - 1e-3))
+    if toxic in (0, count):
+        return _start(np.zeros(0, np.uint64), share)
+    held = F.pmod(F.xxhash64("doc_id", F.lit("held")), F.lit(5)) == 0
+    features = rows.select("text").mapInArrow(_masses, "feature long, mass long").groupBy("feature").agg(F.sum("mass").alias("mass"))
+    keys = features.filter(F.col("mass") >= LEAST_TEXTS).select("feature").toPandas()["feature"].to_numpy().astype(np.int64)
+    net = _start(np.sort(keys.view(np.uint64)), share)
+    memory = [np.full(a.shape, 1e-2, np.float32) for a in _weights(net)]
+    parts = max(1, math.ceil(count / part_rows), math.ceil(size / part_bytes))
+    dealt = rows.filter(~held).select("toxic", "text").coalesce(parts)
+    steps = math.ceil(STEPS / parts)
+    for turn in range(ROUNDS):
+        given = spark.sparkContext.broadcast((net, memory))
+        kind = "block int, change binary, memory binary"
+        blocks = dealt.mapInArrow(_round(given, turn, steps, part_rows, part_bytes), kind).groupBy("block").applyInArrow(_averaged, kind).collect()
+        if not blocks:  # every row is held back
+            break
+        blocks.sort(key=lambda row: row["block"])
+        whole = lambda name, kind: np.concatenate([np.frombuffer(b[name], kind) for b in blocks])  # noqa: E731, B023
+        _refill(_weights(net), _flat(_weights(net)) + whole("change", np.float32))
+        if turn + 1 < ROUNDS:
+            _refill(memory, whole("memory", np.float16))
+        given.unpersist()
+    shared = spark.sparkContext.broadcast(net)
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for low, high, part in chunks(batch.column(1), LETTERS):
+                place = np.floor(np.clip(shared.value.raw_scores(part), -40, 40) * BINS).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([batch.column(0)[low:high], pa.array(languages(part)), pa.array(place)], ["toxic", "kind", "place"])
+
+    scored = rows.filter(held).select("toxic", "text").mapInArrow(places, "toxic int, kind long, place long")
+    counted = scored.groupBy("kind", "place").agg(F.count_if(F.col("toxic") == 0).alias("negative"), F.count_if(F.col("toxic") == 1).alias("positive"))
+    net.thresholds = thresholds(counted.toPandas()) / BINS
+    return net
 
 
 def held_out(key: str = "doc_id"):
@@ -303,8 +390,8 @@ def score(
     key: str = "doc_id",
     text: str = "text",
     label: str = "toxic",
-    sample: int = SAMPLE,
-    sample_bytes: int = SAMPLE_BYTES,
+    part_rows: int = PART_ROWS,
+    part_bytes: int = PART_BYTES,
 ) -> DataFrame:
     """doc_id, held_out, score and predicted; labels of held-out ids are not looked at."""
     spark = prepare(docs.sparkSession)
@@ -313,11 +400,8 @@ def score(
     known = labels.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.col(f"`{label}`").cast("int").alias("toxic"))
     known = known.filter(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & ~held_out())
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    fitted = _sample(lowered, known, sample, sample_bytes).repartition(1).mapInArrow(_train, "network binary").first()
-    if fitted is None:  # an empty sample may not run a task
-        net = train(Texts(np.zeros(0, np.uint8), np.zeros(1, np.int64), LETTERS), np.zeros(0, np.int64))
-    else:
-        net = pickle.loads(fitted["network"])
+    joined = lookup_join(lowered, known, ["doc_id"], "inner", spread=F.xxhash64("text"))
+    net = fit(materialize(joined.select("doc_id", "toxic", "text"), "training"), part_rows, part_bytes)
     shared = spark.sparkContext.broadcast(net)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from lodegate.llm import leaks
-from lodegate.llm.arrays import chunks
+from lodegate.llm import leaks, toxicity
+from lodegate.llm.arrays import LETTERS, Texts, chunks
 from lodegate.llm.bagminhash import near_classes, signatures
 from lodegate.llm.components import components
 from lodegate.llm.leaks import align, find_leaks
@@ -366,6 +366,17 @@ def test_toxicity_held_out(spark):
     assert right > 0.93
 
 
+def test_toxicity_learns_from_every_labelled_row(spark):
+    """A word that only toxic rows have, spread over many parts; rows beyond the first of each part count as well."""
+    rows = [(k, f"the {'venom' if k % 5 == 0 else 'water'}{k % 40} of word{k % 7} and day", int(k % 5 == 0)) for k in range(3000)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    got = score(frame.drop("toxic"), frame.drop("text"), part_rows=500).join(frame, "doc_id").collect()
+    assert len(got) == 3000 and all(r["predicted"] == r["toxic"] for r in got)
+    net = toxicity.fit(frame, part_rows=500)
+    whole = Texts(np.frombuffer(b"".join(r[1].encode() for r in rows), np.uint8), np.cumsum([0] + [len(r[1]) for r in rows]), LETTERS)
+    assert (net.rows(toxicity.vocabulary(whole)[0]) < net.keys.size).all()
+
+
 def test_toxicity_of_odd_rows(spark, odd, nothing):
     none = spark.createDataFrame([(1, None), (None, 1), (999, 1)], "doc_id long, toxic int")
     rows = score(odd, none).collect()
