@@ -36,7 +36,7 @@ from lodegate.llm.arrays import CHUNK_BYTES, LETTERS, Texts, chunks, mix, powers
 from lodegate.llm.context import materialize, prepare, texts
 from lodegate.scale import lookup_join
 
-PART_ROWS, PART_BYTES = 12_000, 6 * 1024 * 1024
+PART_ROWS, PART_BYTES = 12_000, CHUNK_BYTES  # larger parts need larger tables of powers in every worker
 ROUNDS, EPOCHS = 2, 2
 BINS = 1024  # of a raw score's unit, to find a threshold
 WIRE = 1 << 16  # weights that are averaged together
