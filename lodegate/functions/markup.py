@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import pyarrow as pa
 from pyspark.sql import Column, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_type
@@ -152,11 +154,18 @@ def _evidence_pieces(found: Column) -> Column:
     )
 
 
+def _once(udf: Callable[..., Column]) -> Callable[..., Column]:
+    """Keeps the optimizer from copying the function into filters that it makes up, which would read every document again."""
+    return udf.asNondeterministic()
+
+
+@_once
 @F.arrow_udf(FEED_ROWS)
 def feed_rows(body: pa.Array) -> pa.Array:
     return arrow_rows(body, read_feed, FEED_ROWS)
 
 
+@_once
 @F.arrow_udf(ATOM_ROWS)
 def atom_rows(body: pa.Array) -> pa.Array:
     return arrow_rows(body, read_atom, ATOM_ROWS)
