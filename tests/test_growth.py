@@ -1,5 +1,9 @@
 """Steps whose cost or memory must follow the input."""
 
+from pyspark.sql import functions as F
+
+from lodegate.functions.binding import let
+from lodegate.functions.dates import date_evidence
 from lodegate.plans.documents import feed_items
 
 
@@ -9,3 +13,11 @@ def plan(frame):
 
 def test_feeds_are_parsed_once(spark):
     assert plan(feed_items(spark, "/root/testdata/sf0.001")).count("ArrowEvalPython") == 1
+
+
+def test_bound_values_are_taken_out_of_no_array(spark):
+    rows = spark.createDataFrame([("2024-01-05",), (None,)], "v string")
+    dated = rows.select(date_evidence(F.lit("2024-01-30 12:00:00+00:00").cast("timestamp"), rss=F.col("v"))["source"].alias("r"))
+    assert "transform(" not in plan(dated)
+    assert [r["r"] for r in dated.collect()] == ["rss", None]
+    assert [r["r"] for r in rows.select(let(F.col("v"), lambda v: F.coalesce(v, F.lit("none"))).alias("r")).collect()] == ["2024-01-05", "none"]
