@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
@@ -65,9 +66,23 @@ AGE_PATTERN = r"(?iU)\b\d+\s+(?:minutes?|hours?|days?)\s+ago\b"
 DATED_PATTERN = r'"(?:datePublished|dateCreated|published_at)"\s*:\s*"([^"]+)"'
 
 
-@F.arrow_udf(EVENTS)
-def events(html: pa.Array) -> pa.Array:
-    """All events of a batch as flat columns, cut into one list per page."""
+# Characters of markup whose events are held as Python objects at once; a longer page stands alone.
+EVENTS_AT_ONCE = 1 << 20
+
+
+def _some_pages(html: pa.Array) -> Iterator[pa.Array]:
+    """Slices of a batch, of about ``EVENTS_AT_ONCE`` characters."""
+    start = held = 0
+    for at, length in enumerate(pc.utf8_length(html).to_pylist()):
+        if held and held + (length or 0) > EVENTS_AT_ONCE:
+            yield html.slice(start, at - start)
+            start, held = at, 0
+        held += length or 0
+    yield html.slice(start)
+
+
+def _events(html: pa.Array) -> pa.Array:
+    """Events of some pages as flat columns, cut into one list per page."""
     rows: list[tuple] = []
     offsets, closed, absent = [0], [], []
     for page in html.to_pylist():
@@ -81,6 +96,13 @@ def events(html: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), told, type=to_arrow_type(EVENTS), mask=pa.array(absent, pa.bool_()))
 
 
+@F.arrow_udf(EVENTS)
+def events(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """All events of each page. Slices leave as they are read, so a batch of many pages is never held as objects."""
+    for html in batches:
+        yield from map(_events, _some_pages(html))
+
+
 def _of(found: Column, kind: str, tag: str | None = None) -> Column:
     return F.filter(found, lambda e: (e["kind"] == kind) & (F.lit(True) if tag is None else e["tag"] == tag))
 

@@ -1,7 +1,9 @@
 """Steps whose cost or memory must follow the input."""
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
+from lodegate.functions import markup
 from lodegate.functions.binding import let
 from lodegate.functions.dates import date_evidence
 from lodegate.plans.documents import feed_items
@@ -21,3 +23,14 @@ def test_bound_values_are_taken_out_of_no_array(spark):
     assert "transform(" not in plan(dated)
     assert [r["r"] for r in dated.collect()] == ["rss", None]
     assert [r["r"] for r in rows.select(let(F.col("v"), lambda v: F.coalesce(v, F.lit("none"))).alias("r")).collect()] == ["2024-01-05", "none"]
+
+
+def test_events_of_a_batch_are_held_in_slices(monkeypatch):
+    monkeypatch.setattr(markup, "EVENTS_AT_ONCE", 40)
+    pages = pa.array(["<p>one</p>", None, "<p>" + "two " * 30 + "</p>", "", "<p>three</p>", "<p>four</p>", "<p>five</p>", "<p>six</p>"])
+    slices = list(markup._some_pages(pages))
+    assert [len(s) for s in slices] == [2, 1, 4, 1]
+    assert pa.concat_arrays(slices) == pages
+    assert sum(map(len, markup._some_pages(pages.slice(0, 0)))) == 0
+    whole = pa.concat_arrays([markup._events(s) for s in slices])
+    assert whole.to_pylist() == markup._events(pages).to_pylist()
