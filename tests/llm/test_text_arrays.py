@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import random
+import tracemalloc
+
 import numpy as np
 import pyarrow as pa
+import pytest
 from hypothesis import given, settings, strategies as st
 
-from lodegate.llm.arrays import chunks, range_hashes
-from lodegate.llm.suffixes import cover, repeated_starts, suffix_order
+from lodegate.llm.arrays import Texts, chunks, powers, range_hashes
+from lodegate.llm.suffixes import cover, repeated_starts, stretches, suffix_order
 from lodegate.llm.tokens import default_path, encoder
 
 BLANKS = " \t\n\x0b\x0c\r"
@@ -61,6 +65,39 @@ def test_suffix_order(text):
     assert suffix_order(text, 400).tolist() == sorted(range(len(text)), key=lambda p: text[p:])
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.binary(max_size=200) | st.text(alphabet="ab\0", max_size=200).map(str.encode), st.integers(1, 5), st.sampled_from([8, 9, 20, 200]))
+def test_suffix_order_by_few_keys(text, keys, depth):
+    order = suffix_order(text, depth, keys).tolist()
+    assert sorted(order) == list(range(len(text)))
+    assert [text[p : p + depth] for p in order] == sorted(text[p : p + depth] for p in range(len(text)))
+
+
+def _peak(run) -> int:
+    """Bytes allocated at once, by Python and numpy."""
+    tracemalloc.start()
+    run()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    return peak
+
+
+@pytest.mark.parametrize("common", [0, 590])
+def test_sorting_holds_no_copy_per_suffix(common):
+    random_ = random.Random(5)
+    strings = [("ab" * 300)[:common].encode() + "".join(random_.choice("abcdefgh ") for _ in range(600 - common)).encode() for _ in range(500)]
+    peak = _peak(lambda: repeated_starts(strings, [len(s) - 400 + 1 for s in strings], 400))
+    assert peak < 100 * 500 * 600
+
+
+def test_cutting_works_in_small_blocks():
+    data = np.random.default_rng(6).integers(97, 123, 1 << 21).astype(np.uint8)
+    part = Texts(data, np.array([0, data.size]))
+    stretches(Texts(data[:1000], np.array([0, 1000])), 400, 128)
+    powers(1 << 21)
+    assert _peak(lambda: stretches(part, 400, 128)) < 40 * data.size
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.text(alphabet="ab", min_size=9, max_size=40).map(str.encode), min_size=1, max_size=5))
 def test_repeated_starts(strings):
