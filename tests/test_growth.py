@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from lodegate.functions import markup
 from lodegate.functions.binding import let
 from lodegate.functions.dates import date_evidence
+from lodegate.functions.identity import _address, _repository, repository_url
 from lodegate.plans.documents import feed_items
 
 
@@ -34,3 +35,12 @@ def test_events_of_a_batch_are_held_in_slices(monkeypatch):
     assert sum(map(len, markup._some_pages(pages.slice(0, 0)))) == 0
     whole = pa.concat_arrays([markup._events(s) for s in slices])
     assert whole.to_pylist() == markup._events(pages).to_pylist()
+
+
+def test_plain_repository_addresses_follow_the_general_rules(spark):
+    names = ("a/b", "A/b.git", "a/.git", "a/b.git.git", "a/b/", "a/b.git/", "a//b", "a/b//", "a/b/c", "a", "a/b?x=1", "a/b#r", "a/b\n", "a/b\n/", "a /b", "a/%62", "./..")
+    hosts = ("http://github.com/", "https://www.github.com/", "HTTPS://GitHub.com/", "https://github.com:443/", "https://u@github.com/", "https://github.com.org/", " https://github.com/", "ftp://github.com/")
+    rows = spark.createDataFrame([(host + name,) for host in hosts for name in names] + [(None,), ("",)], "url string")
+    told = rows.select("url", repository_url(F.col("url")).alias("now"), _address(F.col("url"), _repository).alias("rule")).collect()
+    assert [(r["url"], r["now"]) for r in told] == [(r["url"], r["rule"]) for r in told]
+    assert {r["now"] for r in told} >= {None, "https://github.com/a/b", "https://github.com/a/b.git"}
