@@ -7,6 +7,7 @@ from lodegate.functions import markup
 from lodegate.functions.binding import let
 from lodegate.functions.dates import date_evidence
 from lodegate.functions.identity import _address, _repository, repository_url
+from lodegate.operators import ingest
 from lodegate.plans.documents import feed_items
 
 
@@ -37,6 +38,27 @@ def test_events_of_a_batch_are_held_in_slices(monkeypatch):
     assert whole.to_pylist() == markup._events(pages).to_pylist()
 
 
+def test_paper_candidates_are_made_once(spark):
+    made = spark.sparkContext.accumulator(0)
+    count = F.udf(lambda value: made.add(1) or value, "long").asNondeterministic()
+    paper = """'papers' AS source_id, concat('https://p.example.org/', id) AS canonical_url, concat('https://p.example.org/', id) AS original_url, concat('own', id) AS raw_document_id,
+      repeat('a', 64) AS content_hash, timestamp '2024-01-05 11:00:00' AS retrieved_at, cast(id AS string) AS arxiv_id, concat('https://arxiv.org/abs/', id) AS paper_url, concat('Title ', id) AS title"""
+    empty = "cast(array() AS array<string>) AS authors, cast(null AS timestamp) AS published_at, cast(null AS string) AS abstract"
+    link = "concat('http://www.github.com/C', id % 4, '/R.git') AS github_url"
+    candidates = spark.sql(f"SELECT id, {paper}, {empty}, {link} FROM range(20)").withColumn("id", count("id"))
+    told = "cast(id AS string) AS arxiv_id, concat('https://arxiv.org/abs/', id) AS paper_url, 'T' AS title, array('A') AS authors, timestamp '2024-01-02 00:00:00' AS published_at, 'x' AS abstract, concat('bib', id) AS raw_document_id"
+    bibliography = spark.sql(f"SELECT {told} FROM range(18)")
+    repositories = spark.sql("SELECT concat('https://github.com/c', id, '/r') AS normalized_url, 'n' AS full_name, id AS stars FROM range(3)")
+    stored = spark.sql("SELECT concat('own', id) AS raw_document_id FROM range(20) UNION ALL SELECT concat('bib', id) FROM range(16)")
+    rows = ingest.paper_records(candidates, bibliography, repositories, "id", raw_documents=stored).collect()
+    reasons = {r["id"]: r["reject_reason"] for r in rows}
+    assert reasons == {
+        i: "metadata_missing" if i >= 18 else "repository_unverified" if i % 4 == 3 else "raw_document_missing" if i >= 16 else None
+        for i in range(20)
+    }
+    assert made.value == 20
+
+
 def test_plain_repository_addresses_follow_the_general_rules(spark):
     names = ("a/b", "A/b.git", "a/.git", "a/b.git.git", "a/b/", "a/b.git/", "a//b", "a/b//", "a/b/c", "a", "a/b?x=1", "a/b#r", "a/b\n", "a/b\n/", "a /b", "a/%62", "./..")
     hosts = ("http://github.com/", "https://www.github.com/", "HTTPS://GitHub.com/", "https://github.com:443/", "https://u@github.com/", "https://github.com.org/", " https://github.com/", "ftp://github.com/")
