@@ -211,7 +211,8 @@ folded AS (SELECT list_reduce(rows, lambda state, r: CASE WHEN list_contains(sta
 won AS (SELECT unnest(final.ids) AS doc_id FROM folded)
 SELECT doc_id, doc_id IN (SELECT doc_id FROM won) AS claimed FROM arrivals""")
 def two_key_claim(spark: SparkSession, folder: str) -> DataFrame:
-    return claim(_arrival_keys(spark, folder), "url_key", "content_key", "doc_id").select("doc_id", "claimed")
+    arrivals = materialize(_arrival_keys(spark, folder), "arrivals")
+    return claim(arrivals, "url_key", "content_key", "doc_id").select("doc_id", "claimed")
 
 
 @query(f"""
